@@ -6,10 +6,12 @@ import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Everything that separates words; `bytes.split()` splits at exactly these.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -103,6 +105,40 @@ def _joined(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
     return table.to_batches()[0]
 
 
+def _local_ranks(group: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        part, seen = TaskContext.get().partitionId(), {}
+        for batch in batches:
+            keys = batch.column(batch.schema.get_field_index(group)).to_numpy(zero_copy_only=False)
+            order = np.argsort(keys, kind="stable")
+            ordered = keys[order]
+            starts = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]]) if len(keys) else np.zeros(0, np.int64)
+            sizes = np.diff(np.r_[starts, len(keys)])
+            base = np.array([seen.get(k, 0) for k in ordered[starts].tolist()], np.int64)
+            ranks = np.empty(len(keys), np.int64)
+            ranks[order] = np.arange(len(keys)) + np.repeat(base - starts, sizes)
+            seen.update(zip(ordered[starts].tolist(), (base + sizes).tolist(), strict=True))
+            yield pa.record_batch([*batch.columns, pa.array(np.full(len(keys), part, np.int32)), pa.array(ranks)], names=[*batch.schema.names, "part_", "local_"])
+
+    return run
+
+
+def numbered(df: DataFrame, group: str, name: str) -> DataFrame:
+    """Adds `name`: numbers from 0 without gaps within each value of the long column `group` (not null), in no given order.
+
+    Rows are counted where they lie and written down; each part of the table then starts at the sum of the parts before it,
+    so that no group comes together in one task, however large it is.
+    """
+    schema = T.StructType([*df.schema.fields, T.StructField("part_", T.IntegerType()), T.StructField("local_", T.LongType())])
+    kept = stored(df.mapInArrow(_local_ranks(group), schema))
+    counts = kept.groupBy(group, "part_").agg(F.count("*").alias("n_"))
+    before = Window.partitionBy(group).orderBy("part_").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(group, "part_", F.coalesce(F.sum("n_").over(before), F.lit(0)).alias("start_"))
+    return kept.join(starts, [group, "part_"]).withColumn(name, F.col("start_") + F.col("local_")).drop("part_", "local_", "start_")
+
+
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """(node, root): the smallest node reachable from each node that has an edge (a, b).
 

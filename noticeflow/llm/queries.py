@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, simhash, tokens, topk
+from . import flac, mixing, packing, sharding, simhash, tokens, topk
 
 
 def _tokenizer() -> str:
@@ -37,11 +37,26 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"), weights=(1, 2, 3), most=3).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), _tokenizer(), size=1024, end=2)
+
+
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(_table(spark, sf_dir, "documents"), shards=8)
+
+
+def op10_flac(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flac.round_trip(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_token_counts": op2_token_counts,
     "op3_top_k": op3_top_k,
     "op4_mixing": op4_mixing,
+    "op6_packing": op6_packing,
+    "op9_sharding": op9_sharding,
+    "op10_flac": op10_flac,
 }
 
 ORACLE: dict[str, str] = {
