@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import flac, mixing, packing, sharding, simhash, tokens, topk
+from . import flac, mixing, packing, secrets, sharding, simhash, tokens, topk, toxicity
 
 
 def _tokenizer() -> str:
@@ -41,6 +41,15 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), _tokenizer(), size=1024, end=2)
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")), threshold=0.7)
+
+
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find_secrets(_table(spark, sf_dir, "documents"))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(_table(spark, sf_dir, "documents"), shards=8)
 
@@ -55,6 +64,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_top_k": op3_top_k,
     "op4_mixing": op4_mixing,
     "op6_packing": op6_packing,
+    "op7_toxicity": op7_toxicity,
+    "op8_secrets": op8_secrets,
     "op9_sharding": op9_sharding,
     "op10_flac": op10_flac,
 }
