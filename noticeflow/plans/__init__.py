@@ -1,0 +1 @@
+"""Whole plans: the run's three steps, and one query for each operator."""
