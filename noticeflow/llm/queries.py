@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import flac, mixing, packing, secrets, sharding, simhash, tokens, topk, toxicity
+from . import flac, mixing, packing, passages, secrets, sharding, simhash, tokens, topk, toxicity
 
 
 def _tokenizer() -> str:
@@ -37,6 +37,10 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"), weights=(1, 2, 3), most=3).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.passages(_table(spark, sf_dir, "documents"), words=51, shingle=5, similarity=0.8)
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), _tokenizer(), size=1024, end=2)
 
@@ -63,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
     "op3_top_k": op3_top_k,
     "op4_mixing": op4_mixing,
+    "op5_passages": op5_passages,
     "op6_packing": op6_packing,
     "op7_toxicity": op7_toxicity,
     "op8_secrets": op8_secrets,
