@@ -18,8 +18,8 @@ def write(df: DataFrame, path: str, keep: int = 2) -> str:
     version = f"v={uuid.uuid4().hex}"
     df.write.parquet(f"{path}/{version}")
     jvm = spark._jvm
-    pointer, fs = _fs(spark, f"{path}/_CURRENT")
-    staged, _ = _fs(spark, f"{path}/_CURRENT.{version[2:]}")
+    pointer, fs = _fs(spark, f"{path}/current")
+    staged, _ = _fs(spark, f"{path}/staged.{version[2:]}")
     out = fs.create(staged, True)
     out.write(bytearray(version.encode()))
     out.close()
@@ -36,10 +36,10 @@ def write(df: DataFrame, path: str, keep: int = 2) -> str:
 
 
 def current(spark: SparkSession, path: str) -> DataFrame:
-    pointer, fs = _fs(spark, f"{path}/_CURRENT")
+    pointer, fs = _fs(spark, f"{path}/current")
     if not fs.exists(pointer):
         raise FileNotFoundError(f"no version of {path}")
-    version = spark.read.text(f"{path}/_CURRENT").first()[0]
+    version = spark.read.text(f"{path}/current").first()[0]
     return spark.read.parquet(f"{path}/{version}")
 
 
