@@ -105,6 +105,36 @@ def _joined(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
     return table.to_batches()[0]
 
 
+#: Bits of the bitmaps by which rows are told apart before a join; their size doesn't depend on the data.
+BITMAP = 1 << 26
+#: Rows of text that go to Python at a time.
+TEXT_ROWS = 2000
+
+
+def bounded(df: DataFrame) -> DataFrame:
+    """The same frame; its session from now on hands Python at most TEXT_ROWS rows at a time, which bounds what texts take."""
+    name, conf = "spark.sql.execution.arrow.maxRecordsPerBatch", df.sparkSession.conf
+    if not 0 < int(conf.get(name)) <= TEXT_ROWS:
+        conf.set(name, str(TEXT_ROWS))
+    return df
+
+
+def bitmap(hashes: DataFrame) -> DataFrame:
+    """(bucket, bits): which of BITMAP numbers the 64-bit hashes in the only column of `hashes` take; 8 MB at most."""
+    bit = F.col(hashes.columns[0]).bitwiseAND(F.lit(BITMAP - 1)) + 1
+    return hashes.groupBy(F.bitmap_bucket_number(bit).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits"))
+
+
+def maybe_in(df: DataFrame, h: str, bits: DataFrame, name: str) -> DataFrame:
+    """Adds the boolean `name`: false only where the hash in column `h` is certainly not in the bitmap. Nothing is shuffled."""
+    bit = F.col(h).bitwiseAND(F.lit(BITMAP - 1)) + 1
+    known = F.broadcast(bits.select(F.col("bucket").alias("_bucket"), F.col("bits").alias("_bits")))  # of a fixed size
+    at = F.bitmap_bit_position(bit)
+    byte = F.conv(F.hex(F.substr(F.col("_bits"), (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    out = df.withColumn("_b", F.bitmap_bucket_number(bit)).join(known, F.col("_b") == F.col("_bucket"), "left")
+    return out.withColumn(name, F.coalesce(F.getbit(byte, (at % 8).cast("int")) == 1, F.lit(False))).drop("_b", "_bucket", "_bits")
+
+
 def _local_ranks(group: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
