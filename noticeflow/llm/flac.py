@@ -432,7 +432,7 @@ def _store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _picked(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    return common.bounded(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
 
 
 def store(docs: DataFrame) -> DataFrame:

@@ -29,7 +29,7 @@ def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def sizes(docs: DataFrame) -> DataFrame:
     """(doc_id, source, size): words of the whole text, 0 for null."""
-    picked = docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), F.col("text").cast("string"))
+    picked = common.bounded(docs).select(F.col("doc_id").cast("long"), F.col("source").cast("string"), F.col("text").cast("string"))
     return picked.mapInArrow(_sizes, "doc_id long, source string, size long")
 
 

@@ -161,7 +161,7 @@ def pieces(docs: DataFrame, path: str, size: int = 1024, end: int | None = 2) ->
 
     The first piece takes what is over, so that all others are full. A null text counts as empty.
     """
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_cut(path, size, end), _PIECES)
+    return common.bounded(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_cut(path, size, end), _PIECES)
 
 
 def _place(table: dict[str, np.ndarray], ranks: int):

@@ -132,7 +132,7 @@ def find_secrets(docs: DataFrame) -> DataFrame:
     Null counts as empty: no spans. Null doc_ids and repeated rows stay; an empty table gives no rows; other columns are
     ignored.
     """
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_scan, _KINDS)
+    return common.bounded(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_scan, _KINDS)
 
 
 def masked(text: str, mask: str = "[SECRET]") -> str:
@@ -165,4 +165,4 @@ def _mask(names: list[str]):
 
 def mask_secrets(docs: DataFrame) -> DataFrame:
     """All rows and columns of `docs`, each secret in `text` replaced by [SECRET]; n_chars follows where the text changed."""
-    return docs.mapInArrow(_mask(docs.columns), docs.schema)
+    return common.bounded(docs).mapInArrow(_mask(docs.columns), docs.schema)

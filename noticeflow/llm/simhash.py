@@ -23,12 +23,12 @@ CHUNK = 1 << 16
 PAIRS = 8
 
 
-def fingerprint(features: list[bytes]) -> int:
-    """Majority bits of the XXH64 (seed 42) of all features; zero without features."""
+def fingerprint(features: list[bytes], seed: int = 42) -> int:
+    """Majority bits of the XXH64 of all features; zero without features."""
     ones = np.zeros(64, np.int64)
     for k in range(0, len(features), CHUNK):
         part = features[k : k + CHUNK]
-        h = np.fromiter((xxhash.xxh64_intdigest(x, 42) for x in part), np.dtype(">u8"), len(part))
+        h = np.fromiter((xxhash.xxh64_intdigest(x, seed) for x in part), np.dtype(">u8"), len(part))
         ones += np.unpackbits(h.view(np.uint8)).reshape(-1, 64).sum(0, dtype=np.int64)
     return int.from_bytes(np.packbits(2 * ones > len(features)).tobytes(), "big")
 
@@ -45,7 +45,7 @@ def _features(text: bytes, n: int) -> list[bytes]:
     return shingles(words, n) if n else list(set(words))
 
 
-def _fingerprints(n: int):
+def _fingerprints(n: int, seed: int = 42):
     schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -55,7 +55,7 @@ def _fingerprints(n: int):
                 out = []
                 for text in common.utf8(batch.column(1)):
                     if text not in known:
-                        fp = fingerprint(_features(text, n))
+                        fp = fingerprint(_features(text, n), seed)
                         known[text] = fp - (1 << 64) if fp >> 63 else fp
                     out.append(known[text])
                 yield common.emit({"doc_id": batch.column(0), "fp": out}, schema)
@@ -63,12 +63,13 @@ def _fingerprints(n: int):
     return run
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
+def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = 42) -> DataFrame:
     """(doc_id, fp): signed 64-bit SimHash of the lower-cased (A-Z) text's word shingles; `shingle=0` takes distinct words.
 
     Null and blank texts get 0. Other columns of `docs` are ignored, whatever their names.
     """
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_fingerprints(shingle), "doc_id long, fp long")
+    picked = common.bounded(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    return picked.mapInArrow(_fingerprints(shingle, seed), "doc_id long, fp long")
 
 
 def segments(bits: int) -> list[tuple[int, int]]:

@@ -128,6 +128,6 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 512) -> DataFrame:
     A null text counts as empty: 0 bytes, 0 tokens. Null doc_ids and repeated rows stay as they are, an empty table gives
     no rows, other columns are ignored. Nothing is shuffled.
     """
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
+    return common.bounded(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
         _counts(path, limit), "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
     )

@@ -267,11 +267,11 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
     Nothing but the text enters the score. Null and empty texts have no hits and get the score of those. Null doc_ids and
     repeated rows stay; an empty table gives no rows; other columns are ignored.
     """
-    picked = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    picked = common.bounded(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     out = picked.mapInArrow(_scores(model, None), "doc_id long, score double")
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
 def keep_civil(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
     """The rows of `docs` that score below the threshold, all columns as they are."""
-    return docs.mapInArrow(_scores(model, threshold), docs.schema)
+    return common.bounded(docs).mapInArrow(_scores(model, threshold), docs.schema)
