@@ -48,6 +48,12 @@ def stored(df: DataFrame) -> DataFrame:
     return Stored(df).df
 
 
+def clean(spark: SparkSession) -> None:
+    """Deletes all tables that operators wrote to the shared folder; frames that were made from them can't be read after."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def utf8(column: pa.Array) -> list[bytes]:
     """The texts of an Arrow string column as bytes; null counts as empty."""
     kind = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()

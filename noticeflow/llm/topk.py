@@ -26,7 +26,7 @@ DEPTHS, FEW = (0.3, 0.45, 0.6, 0.8, 1.0), 0.04
 PACKED = "block long, dim int, n int, ids binary, values binary"
 
 
-def _pack(size: int, scale: int, whole: bool):
+def _pack(size: int, scale: int):
     schema = pa.schema([("block", pa.int64()), ("dim", pa.int32()), ("n", pa.int32()), ("ids", pa.binary()), ("values", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,9 +169,10 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: int = 256)
     rows for each query; these are then ranked.
     """
     pick = [F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>")]
-    cand = common.stored(vectors.select(*pick).mapInArrow(_pack(BLOCK, scale, True), PACKED))
+    cand = common.stored(vectors.select(*pick).mapInArrow(_pack(BLOCK, scale), PACKED))
     spark = vectors.sparkSession
-    packed = common.stored(queries.select(*pick).coalesce(4).mapInArrow(_pack(QUERIES, scale, False), PACKED))
+    asked = queries.select(*pick)
+    packed = common.stored(asked.repartition(max(1, -(-asked.count() // QUERIES))).mapInArrow(_pack(QUERIES, scale), PACKED))
     asks = packed.select(F.col("block").alias("q_block"), F.col("dim"), F.col("n").alias("q_n"), F.col("ids").alias("q_ids"), F.col("values").alias("q_values"))
     pairs = asks.select("q_block", "dim").join(cand.select("block", "dim"), "dim")  # names of blocks only
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
