@@ -37,7 +37,7 @@ def _replace(df: DataFrame, folder: str, name: str) -> None:
 
 def do_search(spark: SparkSession, a: argparse.Namespace) -> int:
     given = json.loads(spark.read.text(a.config, wholetext=True).first()[0]) if a.config else {}
-    names = ("count", "time_range", "auth_level", "need_url", "need_content", "sites", "block_hosts", "industry")
+    names = ("count", "time_range", "auth_level", "need_url", "need_content", "sites", "block_hosts", "industry", "content_format")
     options = config.SearchOptions.resolve({n: getattr(a, n) for n in names}, given.get("defaults"))
     limits = search_range(options.time_range, a.today)
     listed = not a.query
@@ -207,7 +207,7 @@ def parser() -> argparse.ArgumentParser:
     out = argparse.ArgumentParser(prog="noticeflow")
     sub = out.add_subparsers(dest="command", required=True)
     s = sub.add_parser("search")
-    for name in ("--config", "--query-list", "--heading", "--queries", "--endpoint", "--time-range", "--sites", "--block-hosts", "--industry", "--fixture"):
+    for name in ("--config", "--query-list", "--heading", "--queries", "--endpoint", "--time-range", "--sites", "--block-hosts", "--industry", "--content-format", "--fixture"):
         s.add_argument(name)
     s.add_argument("--query", action="append")
     s.add_argument("--key-variable", default="NOTICE_SEARCH_KEY")

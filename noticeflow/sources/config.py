@@ -10,13 +10,14 @@ from pathlib import Path
 @dataclass(frozen=True)
 class SearchOptions:
     count: int = 20
-    time_range: str = "7d"
+    time_range: str = "45d"
     auth_level: int = 0
     need_url: bool = True
     need_content: bool = False
     sites: str = ""
     block_hosts: str = ""
     industry: str = ""
+    content_format: str = "text"
 
     @classmethod
     def resolve(cls, given: dict, defaults: dict | None = None) -> SearchOptions:
@@ -33,10 +34,12 @@ class SearchOptions:
         return out
 
     def payload(self, query: str, time_range: str | None) -> dict:
-        """A request: optional parts only where they say something, at most 20 sites and 5 blocked hosts."""
-        cut = lambda text, n: [x.strip() for x in text.split(",") if x.strip()][:n]
-        sites, blocked = cut(self.sites, 20), cut(self.block_hosts, 5)
-        body: dict = {"Query": query, "Count": self.count, "Filter": {"NeedUrl": self.need_url, "NeedContent": self.need_content}}
+        """A request: optional parts only where they say something. More than 20 sites or 5 blocked hosts are refused."""
+        sites, blocked = ([x.strip() for x in text.split(",") if x.strip()] for text in (self.sites, self.block_hosts))
+        if len(sites) > 20 or len(blocked) > 5:
+            raise ValueError("at most 20 sites and 5 blocked hosts")
+        wanted = {"NeedUrl": self.need_url, "NeedContent": self.need_content}
+        body: dict = {"Query": query, "SearchType": "web", "Count": self.count, "Filter": wanted, "ContentFormats": self.content_format}
         if time_range:
             body["TimeRange"] = time_range
         if sites:

@@ -17,7 +17,7 @@ def test_a_run_from_search_to_history(spark, tmp_path, capsys):
     answers = {"过敏原 采购": hits(("http://a.cn/1", "医院采购过敏原检测试剂公告"), ("http://c.cn/3", "职工食堂食材采购公告")), "自身抗体 招标": hits(("http://a.cn/1", "医院采购过敏原检测试剂公告"))}
     (tmp_path / "answers.json").write_text(json.dumps(answers), encoding="utf-8")
     base = ["search", "--query-list", tmp_path / "list.md", "--heading", r"## 5\. list", "--fixture", tmp_path / "answers.json", "--out", tmp_path / "runs", "--today", "2026-08-18"]
-    assert go(*base, "--dry-run") == 0 and said(capsys)["TimeRange"] == "2026-08-11..2026-08-18"
+    assert go(*base, "--dry-run") == 0 and said(capsys)["TimeRange"] == "2026-07-04..2026-08-18"
     assert go(*base, "--queries", "7") == 2 and go(*base) == 0
     assert "queries ok 2, failed 0; hits 3; candidates 2, of one query only 1" in capsys.readouterr().out
     day = tmp_path / "runs" / "2026-08-18"

@@ -32,7 +32,9 @@ def test_files(spark, tmp_path):
 def test_options(tmp_path, monkeypatch):
     o = config.SearchOptions.resolve({"count": 5, "sites": None}, {"count": 9, "sites": ["a.cn", "b.cn"], "need_content": True})
     assert (o.count, o.sites, o.need_content) == (5, "a.cn,b.cn", True)
-    assert o.payload("q", "7d") == {"Query": "q", "Count": 5, "Filter": {"NeedUrl": True, "NeedContent": True, "Sites": "a.cn|b.cn"}, "TimeRange": "7d"}
+    assert o.payload("q", "7d") == {"Query": "q", "SearchType": "web", "Count": 5, "Filter": {"NeedUrl": True, "NeedContent": True, "Sites": "a.cn|b.cn"}, "ContentFormats": "text", "TimeRange": "7d"}
+    with pytest.raises(ValueError):
+        config.SearchOptions.resolve({"block_hosts": "a,b,c,d,e,f"}).payload("q", None)
     with pytest.raises(ValueError):
         config.SearchOptions.resolve({"count": 51})
     monkeypatch.delenv("SOME_KEY", raising=False)
@@ -59,6 +61,8 @@ def test_retries_and_pace():
 
     assert search.run_query(flaky, {}, sleep=waits.append) == ({}, "", False) and waits == [1.5, 3.0]
     assert search.run_query(lambda b: (None, "no key", 10403), {}, sleep=waits.append) == (None, "no key", True)
+    waits.clear()
+    assert search.run_query(lambda b: (None, "bad", 10400), {}, sleep=waits.append) == (None, "bad", False) and not waits
     now = [0.0]
     pace = search.Pace(4, clock=lambda: now[0], sleep=lambda s: now.__setitem__(0, now[0] + s))
     for _ in range(5):
