@@ -17,7 +17,7 @@ class SearchOptions:
     sites: str = ""
     block_hosts: str = ""
     industry: str = ""
-    content_format: str = "text"
+    content_format: str = "markdown"
 
     @classmethod
     def resolve(cls, given: dict, defaults: dict | None = None) -> SearchOptions:

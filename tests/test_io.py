@@ -32,7 +32,7 @@ def test_files(spark, tmp_path):
 def test_options(tmp_path, monkeypatch):
     o = config.SearchOptions.resolve({"count": 5, "sites": None}, {"count": 9, "sites": ["a.cn", "b.cn"], "need_content": True})
     assert (o.count, o.sites, o.need_content) == (5, "a.cn,b.cn", True)
-    assert o.payload("q", "7d") == {"Query": "q", "SearchType": "web", "Count": 5, "Filter": {"NeedUrl": True, "NeedContent": True, "Sites": "a.cn|b.cn"}, "ContentFormats": "text", "TimeRange": "7d"}
+    assert o.payload("q", "7d") == {"Query": "q", "SearchType": "web", "Count": 5, "Filter": {"NeedUrl": True, "NeedContent": True, "Sites": "a.cn|b.cn"}, "ContentFormats": "markdown", "TimeRange": "7d"}
     with pytest.raises(ValueError):
         config.SearchOptions.resolve({"block_hosts": "a,b,c,d,e,f"}).payload("q", None)
     with pytest.raises(ValueError):
