@@ -212,6 +212,19 @@ def query_list(queries: DataFrame, declared: int | None = None, endings: Sequenc
     return out if declared is None else out.union(n.where(F.col("n") != declared).select(F.lit(None).cast("int"), F.lit("other total than declared")))
 
 
+def query_composition(queries: DataFrame, groups: DataFrame, most: int = 6, endings: Sequence[str] = rules.QUERY_ENDINGS, free: Sequence[str] = ("D",)) -> DataFrame:
+    """(query_no, error) of queries that mix what the prose keeps apart: more than `most` category words, another number of words
+    of intent than one, or category words of several groups. `groups` has word and grp; groups in `free` go with any."""
+    words = queries.select("query_no", F.filter(F.split(F.trim("query"), r"\s+"), lambda w: w != "").alias("w"))
+    intent = F.filter("w", lambda w: w.isin(*endings))
+    rows = words.select("query_no", errors([
+        (F.size("w") - F.size(intent) > most, "too many category words"), (F.size(intent) != 1, "not one word of intent"),
+    ]).alias("e")).select("query_no", F.explode("e").alias("error"))
+    known = words.select("query_no", F.explode("w").alias("word")).join(groups, "word").where(~F.col("grp").isin(*free))
+    mixed = known.groupBy("query_no").agg(F.countDistinct("grp").alias("n")).where("n > 1")
+    return rows.union(mixed.select("query_no", F.lit("several groups")))
+
+
 def select_queries(spark: SparkSession, queries: DataFrame, spec: str) -> DataFrame:
     """The queries of a selection like 1-4,39; all for an empty one or `all`. Unknown numbers and bad ranges fail."""
     if spec.strip() in ("", "all"):

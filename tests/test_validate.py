@@ -7,14 +7,7 @@ from pyspark.sql import functions as F
 from noticeflow import rules
 from noticeflow.operators import validate
 from noticeflow.plans import run
-
-PROOF = {"source_verified": True, "verification_level": "source", "checked_at": "2026-08-18T10:00:00+08:00", "field_evidence": dict.fromkeys(rules.CREATE_FIELDS, "原文")}
-
-
-def create(**more):
-    base = {f: 0 if f in rules.NUMBER_FIELDS else False if f in rules.BOOL_FIELDS else "null" for f in rules.CREATE_FIELDS}
-    return base | dict(title="公告", record_id="T20260811-K7X2P9", region="华北二区", purchaser="医院", category="试剂", match_level="full", matched_category="总IgE试剂", status="active", deadline="2026-09-01", source_url="https://a.cn/1") | more
-
+from tests_support import PROOF, create
 
 def update(**more):
     base = {f: 0 if f in rules.NUMBER_FIELDS else "null" for f in rules.UPDATE_FIELDS}
@@ -94,6 +87,13 @@ def test_index_and_queries(spark):
             validate.select_queries(spark, queries, bad)
 
 
+def test_query_composition(spark):
+    groups = spark.createDataFrame([("甲", "A"), ("乙", "B"), ("丁", "D")], "word string, grp string")
+    queries = spark.createDataFrame([(1, "甲 丁 采购公告"), (2, "甲 乙 招标"), (3, "a b c d e f g 采购"), (4, "甲"), (5, "甲 采购 招标")], "query_no int, query string")
+    got = {tuple(r) for r in validate.query_composition(queries, groups).collect()}
+    assert got == {(2, "several groups"), (3, "too many category words"), (4, "not one word of intent"), (5, "not one word of intent")}
+
+
 def test_batches_are_taken_whole(spark):
     batch = spark.createDataFrame([("C1",), ("C2",)], "candidate_id string")
     shape = "candidate_id string, decision string, reason string, record string, evidence string"
