@@ -61,7 +61,11 @@ def utf8(column: pa.Array) -> list[bytes]:
 
 
 def strings(column: pa.Array) -> list[str]:
-    return [x or "" for x in column.to_pylist()]
+    """The texts of an Arrow string column; null counts as empty, bytes that are no UTF-8 as replacement characters."""
+    try:
+        return [x or "" for x in column.to_pylist()]
+    except UnicodeDecodeError:
+        return [x.decode("utf-8", "replace") for x in utf8(column)]
 
 
 def by_bytes(batch: pa.RecordBatch, text: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:

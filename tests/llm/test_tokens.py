@@ -94,3 +94,8 @@ def test_plan_packs_every_document_once():
             total = int((h * np.arange(size + 1)).sum())
             alone = int(h[size // 2 + 1 :].sum())  # longer than half a sequence
             assert sum(packed.values()) <= max(alone, 1.25 * total / size) + alone * 0.25 + 2
+
+
+def test_texts_that_are_no_utf8(spark):
+    df = spark.sql("select 1L as doc_id, cast(X'61ff62' as string) as text")
+    assert [(x.n_bytes, x.n_tokens > 0) for x in tokens.count_tokens(df, PATH).collect()] == [(3, True)]
