@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
@@ -36,24 +36,35 @@ KEPT = 200_000
 class Automaton:
     """The lexicon's trie run together with the automaton of one edit; states are sets, numbered when first met."""
 
-    def __init__(self, terms: dict[str, float]):
+    def __init__(self, terms: dict[str, float], forms: dict[str, str] | None = None):
+        """forms: words that a stem covers, and the stem; they are what a misspelled word is held against."""
         self.children: list[dict[str, int]] = [{}]
         self.word: dict[int, str] = {}
         self.stem: dict[int, str] = {}
+        self.near: dict[int, str] = {}
         for term in terms:
-            node = 0
-            for c in term.rstrip("*"):
-                if c not in self.children[node]:
-                    self.children[node][c] = len(self.children)
-                    self.children.append({})
-                node = self.children[node][c]
+            node = self._add(term.rstrip("*"))
             (self.stem if term.endswith("*") else self.word)[node] = term
+            if not term.endswith("*") and len(term) >= FUZZY:
+                self.near[node] = term
+        for form, stem in (forms or {}).items():
+            if len(form) >= FUZZY:
+                self.near.setdefault(self._add(form), stem)
         self.sets: list[frozenset] = []
         self.numbers: dict[frozenset, int] = {}
         self.steps: list[dict[str, int]] = []
         self.first = self._state({(0, 0, "")})
         self.known: dict[str, tuple[str, bool] | None] = {}
 
+    def _add(self, word: str) -> int:
+        node = 0
+        for c in word:
+            if c not in self.children[node]:
+                self.children[node][c] = len(self.children)
+                self.children.append({})
+            node = self.children[node][c]
+        return node
+
     def _state(self, items: set) -> int:
         todo = list(items)
         while todo:  # letters of a term that the word lacks
@@ -112,7 +123,7 @@ class Automaton:
         if stem:
             return stem, False
         if state >= 0:
-            near = [self.word[n] for n, edits, wait in self.sets[state] if not wait and edits and n in self.word and len(self.word[n]) >= FUZZY]
+            near = [self.near[n] for n, edits, wait in self.sets[state] if not wait and edits and n in self.near]
             if near:
                 return min(near), True
         return None
@@ -126,6 +137,8 @@ class Model:
     mean: tuple[float, ...] = (0.0,) * len(FEATURES)
     scale: tuple[float, ...] = (1.0,) * len(FEATURES)
     weights: tuple[float, ...] = (0.0,) * len(FEATURES) + (-3.0,)
+    #: Words that a stem among the terms covers, and the stem.
+    forms: dict[str, str] = field(default_factory=dict)
 
     def score(self, x: np.ndarray) -> np.ndarray:
         z = (x - np.array(self.mean)) / np.array(self.scale) @ np.array(self.weights[:-1]) + self.weights[-1]
@@ -183,7 +196,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = 20_000, least: int = 4,
     """Learns from at most `most` labelled rows (a documented bound, those of the lowest MD5 of doc_id), none held out.
 
     A term is kept if at least `least` of the texts that have it, and a share of `precision` of them, are toxic; of a stem and
-    the words it covers the stem is kept; at most `terms` of them by log-odds. Where there are no labels of both kinds, the
+    the words it covers the stem is kept (and the words, if as precise, for their misspellings); at most `terms` of them by log-odds. Where there are no labels of both kinds, the
     model gives every text the same score. Null labels and doc_ids are left out, of several labels of a doc_id the highest
     counts.
     """
@@ -196,9 +209,9 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = 20_000, least: int = 4,
     good, bad = totals.get(0, 0), totals.get(1, 0)
     if not good or not bad:
         return Model(weights=(0.0,) * len(FEATURES) + (3.0 if bad else -3.0,))
-    counted = sample.mapInArrow(_term_counts, "term string, toxic int, n long").groupBy("term").agg(
+    counted = common.stored(sample.mapInArrow(_term_counts, "term string, toxic int, n long").groupBy("term").agg(
         F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("bad"), F.sum("n").alias("n")
-    )
+    ))
     odds = F.log((F.col("bad") + 0.5) / (bad + 1)) - F.log((F.col("n") - F.col("bad") + 0.5) / (good + 1))
     best = counted.where((F.col("bad") >= least) & (F.col("bad") >= precision * F.col("n"))).withColumn("odds", odds)
     found = {r["term"]: r["odds"] for r in best.orderBy(F.desc("odds"), "term").limit(8 * terms).collect()}
@@ -211,13 +224,27 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = 20_000, least: int = 4,
         if not covered and not lone:
             lexicon[term] = found[term]
     lexicon = dict(sorted(lexicon.items(), key=lambda x: (-x[1], x[0]))[:terms])
-    rows = sample.mapInArrow(_sampled(lexicon), "x array<double>, toxic int").collect()  # `most` rows of seven numbers
-    return _logistic(lexicon, np.array([r["x"] for r in rows]), np.array([r["toxic"] == 1 for r in rows], float))
+    forms = _forms(counted.where((F.col("bad") > 0) & (F.col("bad") >= precision * F.col("n"))), lexicon)
+    rows = sample.mapInArrow(_sampled(lexicon, forms), "x array<double>, toxic int").collect()  # `most` rows of seven numbers
+    return replace(_logistic(lexicon, np.array([r["x"] for r in rows]), np.array([r["toxic"] == 1 for r in rows], float)), forms=forms)
+
+
+def _forms(counted: DataFrame, lexicon: dict[str, float]) -> dict[str, str]:
+    """The words of the sample that a stem of the lexicon covers, and the stem."""
+    stems = [t for t in lexicon if t.endswith("*")]
+    if not stems:
+        return {}
+    covered = F.lit(False)
+    for n in STEMS:
+        if own := [t[:-1] for t in stems if len(t) == n + 1]:
+            covered |= F.substring("term", 1, n).isin(own)
+    words = [r["term"] for r in counted.where(~F.col("term").endswith("*") & covered).select("term").collect()]  # of `most` texts
+    return {w: next(w[:n] + "*" for n in STEMS if w[:n] + "*" in lexicon) for w in sorted(words)}
 
 
-def _sampled(lexicon: dict[str, float]):
+def _sampled(lexicon: dict[str, float], forms: dict[str, str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = Automaton(lexicon)
+        automaton = Automaton(lexicon, forms)
         for batch in batches:
             x = [features(t, lexicon, automaton) for t in common.strings(batch.column(0))]
             yield pa.record_batch([pa.array(x, pa.list_(pa.float64())), batch.column(1)], names=["x", "toxic"])
@@ -244,7 +271,7 @@ def _logistic(lexicon: dict[str, float], x: np.ndarray, y: np.ndarray) -> Model:
 
 def _scores(model: Model, keep: float | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = Automaton(model.terms)
+        automaton = Automaton(model.terms, model.forms)
         for whole in batches:
             for batch in common.by_bytes(whole, "text"):
                 texts = common.strings(batch.column(batch.schema.get_field_index("text")))
