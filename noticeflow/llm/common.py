@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,38 +20,68 @@ OUT_ROWS = 4096
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder that the driver and all executors share: `spark.checkpoint.dir`, or one of our own where none is set."""
+    """Folder that the driver and all executors share: `spark.checkpoint.dir`. Without one there is nowhere to write."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
-        context = spark.sparkContext
-        found = getattr(context, "_noticeflow_shared", None)
-        if found is None:
-            found = context._noticeflow_shared = "file://" + tempfile.mkdtemp(prefix="noticeflow-")
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return found.rstrip("/") + "/noticeflow"
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """While it lasts, Python gets at most TEXT_ROWS rows at a time; the session's own setting comes back after."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    was = spark.conf.get(name)
+    if not 0 < int(was) <= TEXT_ROWS:
+        spark.conf.set(name, str(TEXT_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, was)
+
+
 class Stored:
     """A table written to the shared folder, so that a lost executor costs no recomputation of what made it."""
 
+    made: list[Stored] = []
+
     def __init__(self, df: DataFrame):
         self.spark, self.path = df.sparkSession, f"{shared_dir(df.sparkSession)}/{uuid.uuid4().hex}"
-        df.write.parquet(self.path)
+        with small_batches(self.spark):
+            df.write.parquet(self.path)
         self.df = self.spark.read.schema(df.schema).parquet(self.path)
+        Stored.made.append(self)
 
     def drop(self) -> None:
         jvm = self.spark._jvm
         path = jvm.org.apache.hadoop.fs.Path(self.path)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        if self in Stored.made:
+            Stored.made.remove(self)
 
 
 def stored(df: DataFrame) -> DataFrame:
     return Stored(df).df
 
 
+def settled(build: Callable[[], DataFrame]) -> DataFrame:
+    """What `build` returns, written down; the tables that were written on the way to it go."""
+    before = len(Stored.made)
+    out = Stored(build())
+    for table in Stored.made[before:]:
+        if table is not out:
+            table.drop()
+    return out.df
+
+
 def clean(spark: SparkSession) -> None:
-    """Deletes all tables that operators wrote to the shared folder; frames that were made from them can't be read after."""
+    """Deletes all tables that operators wrote to the shared folder; frames that were made from them can't be read after.
+
+    An operator's result is a lazy frame over such tables: a long session calls this between one use and the next.
+    """
     path = spark._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    Stored.made.clear()
 
 
 def utf8(column: pa.Array) -> list[bytes]:
@@ -117,18 +147,10 @@ def _joined(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
 
 #: Bits of the bitmaps by which rows are told apart before a join; their size doesn't depend on the data.
 BITMAP = 1 << 26
-#: Rows of text that go to Python at a time.
+#: Rows that go to Python at a time where a table is written; Spark's own bound in bytes holds as well.
 TEXT_ROWS = 2000
 
 
-def bounded(df: DataFrame) -> DataFrame:
-    """The same frame; its session from now on hands Python at most TEXT_ROWS rows at a time, which bounds what texts take."""
-    name, conf = "spark.sql.execution.arrow.maxRecordsPerBatch", df.sparkSession.conf
-    if not 0 < int(conf.get(name)) <= TEXT_ROWS:
-        conf.set(name, str(TEXT_ROWS))
-    return df
-
-
 def bitmap(hashes: DataFrame) -> DataFrame:
     """(bucket, bits): which of BITMAP numbers the 64-bit hashes in the only column of `hashes` take; 8 MB at most."""
     bit = F.col(hashes.columns[0]).bitwiseAND(F.lit(BITMAP - 1)) + 1
@@ -179,13 +201,29 @@ def numbered(df: DataFrame, group: str, name: str) -> DataFrame:
     return kept.join(starts, [group, "part_"]).withColumn(name, F.col("start_") + F.col("local_")).drop("part_", "local_", "start_")
 
 
+#: Edges of a node from which on it is a centre, and how many centres there are at most.
+CENTRE, CENTRES = 1000, 40_000
+
+
+def _with_least(rows: DataFrame, least: DataFrame, edges: int) -> DataFrame:
+    """rows (u, v) with the m of their u from least (u, m, n), n being the edges of u.
+
+    The edges of a centre would meet in one task: its m goes to where they lie. Centres have so many edges that there can't
+    be more than CENTRES of them, which bounds what is broadcast.
+    """
+    many = max(CENTRE, 2 * edges // CENTRES)
+    centres = F.broadcast(least.where(F.col("n") > many).select("u", F.col("m").alias("cm")))
+    marked = rows.join(centres, "u", "left")
+    others = marked.where("cm is null").select("u", "v").join(least.where(F.col("n") <= many).select("u", "m"), "u")
+    return others.select("u", "v", "m").union(marked.where("cm is not null").select("u", "v", F.col("cm").alias("m")))
+
+
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """(node, root): the smallest node reachable from each node that has an edge (a, b).
 
-    Alternates large-star and small-star rounds, each written to the shared folder, until the edges stay the same.
-    Nulls and loops are ignored; without edges the result is empty.
+    Alternates large-star and small-star rounds, each written to the shared folder, until the edges stay the same. A node of
+    very many edges is not gathered in one task. Nulls and loops are ignored; without edges the result is empty.
     """
-    spark = edges.sparkSession
     now = Stored(
         edges.where("a is not null and b is not null and a <> b")
         .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
@@ -197,10 +235,10 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         if not seen[0]:
             break
         both = now.df.union(now.df.select("v", "u"))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u")
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("n"))
+        large = _with_least(both.where("v > u"), least, 2 * seen[0]).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        low = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        small = _with_least(large, low, 2 * seen[0])
         after = Stored(
             small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
             .union(low.select("u", F.col("m").alias("v")))
@@ -221,3 +259,22 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
 
 def _state(df: DataFrame) -> tuple:
     return tuple(df.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+
+
+#: Texts whose 64-bit hash another text has as well: at 10^10 texts a handful are to be expected.
+CLASHES = 1000
+
+
+def text_hash(docs: DataFrame) -> Column:
+    """A 64-bit number of the column `text` (null counts as empty) that no two different texts of `docs` share.
+
+    It is the text's hash, unless a second, independent one tells that different texts have the same: those get a number
+    from both. Two texts are taken for one only if they agree in 128 bits.
+    """
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    first, second = F.xxhash64(text), F.xxhash64(F.lit("second"), text)
+    each = docs.select(first.alias("h"), second.alias("g")).groupBy("h").agg(F.min("g").alias("lo"), F.max("g").alias("hi"))
+    clashes = [r["h"] for r in each.where("lo <> hi").select("h").limit(CLASHES).collect()]
+    if len(clashes) == CLASHES:
+        raise RuntimeError("too many texts share a hash")
+    return F.when(first.isin(clashes), F.xxhash64(first, second)).otherwise(first) if clashes else first
