@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import sys
 import zlib
-from array import array
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -139,8 +138,7 @@ def _cut(path: str, size: int, end: int | None):
         for whole in batches:
             for batch in common.by_bytes(whole, "text", tokens.BATCH):
                 out: list[list] = [[], [], [], [], []]
-                for doc, ids in zip(batch.column(0).to_pylist(), encoder.encode(common.strings(batch.column(1))), strict=True):
-                    data = array("I", ids)
+                for doc, data in zip(batch.column(0).to_pylist(), encoder.encode(common.strings(batch.column(1))), strict=True):
                     if end is not None:
                         data.append(end)
                     if sys.byteorder == "big":
@@ -161,7 +159,7 @@ def pieces(docs: DataFrame, path: str, size: int = 1024, end: int | None = 2) ->
 
     The first piece takes what is over, so that all others are full. A null text counts as empty.
     """
-    return common.bounded(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_cut(path, size, end), _PIECES)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_cut(path, size, end), _PIECES)
 
 
 def _place(table: dict[str, np.ndarray], ranks: int):

@@ -1,7 +1,8 @@
 """Token counts by batch encoding in Arrow functions.
 
-Batches are balanced by bytes. A text is split at safe boundaries: before a space that follows a character other than
-white space, where a byte-level tokenizer always starts a new piece, so that no id depends on what stands beyond.
+Batches are balanced by bytes. A text is split at safe boundaries, where a byte-level tokenizer always starts a new piece, so
+that no id depends on what stands beyond: before a single space that follows another character, and around long runs of
+white space.
 """
 
 from __future__ import annotations
@@ -9,6 +10,7 @@ from __future__ import annotations
 import json
 import os
 import re
+from array import array
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -27,6 +29,12 @@ SPLIT = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s
 SPLIT_SINGLE = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s"
 DOUBLE = re.compile(r"\s\s")
 SAFE = re.compile(r"(?<=\S) (?=\S)")
+#: What the tokenizers' patterns take for white space, and how much of it in a row is split off: their matchers recurse over it.
+SPACE = r"[\t-\r\x20\x85\xa0  -     　]"
+RUN = 256
+RUNS = re.compile(SPACE + f"{{{RUN},}}")
+#: How a part is encoded: by the file's own library, by ranks with or without two white-space characters in a row, or as one piece.
+LIBRARY, RANKS, SINGLE, PIECE = range(4)
 
 _encoders: dict[str, Encoder] = {}
 
@@ -34,8 +42,8 @@ _encoders: dict[str, Encoder] = {}
 class Encoder:
     """Ids of texts by a byte-level BPE tokenizer file (.json), as its library gives them without added special tokens.
 
-    Where the file is a plain byte-level BPE whose merges are ranked by id, texts of well-known code points go to a quicker encoder
-    built from the same file; everything else goes to the file's own library.
+    Where the file is a plain byte-level BPE whose merges are ranked by id, parts of well-known code points go to a quicker encoder
+    built from the same file; everything else goes to the file's own library. Either encodes a batch of parts at a time.
     """
 
     def __init__(self, path: str):
@@ -56,28 +64,71 @@ class Encoder:
             _encoders[path] = Encoder(path)
         return _encoders[path]
 
-    def encode(self, texts: list[str]) -> Iterator[list[int]]:
+    def encode(self, texts: list[str]) -> list[array]:
         """The ids of each text."""
-        for text in texts:
-            if self.plain and len(text) > LONG:
-                ids: list[int] = []
-                for part in self._encode(parts(text)):
-                    ids += part
-                yield ids
+        out = [array("I") for _ in texts]
+        for k, ids in self._encoded(texts):
+            out[k].extend(ids)
+        return out
+
+    def count(self, texts: list[str]) -> list[int]:
+        """The number of ids of each text; the ids themselves are never held for more than a batch of parts."""
+        out = [0] * len(texts)
+        for k, ids in self._encoded(texts):
+            out[k] += len(ids)
+        return out
+
+    def _encoded(self, texts: list[str]) -> Iterator[tuple[int, list[int]]]:
+        """(place of the text, ids) of each part of each text, in order; parts are encoded in batches of BATCH characters."""
+        held: list[tuple[int, int, str]] = []
+        size = 0
+        for k, text in enumerate(texts):
+            for how, part in self._parts(text):
+                held.append((k, how, part))
+                size += len(part)
+                if size >= BATCH:
+                    yield from self._batch(held)
+                    held, size = [], 0
+        yield from self._batch(held)
+
+    def _parts(self, text: str) -> Iterator[tuple[int, str]]:
+        if not self.plain or any(x in text for x in self.marks):
+            yield LIBRARY, text
+            return
+        for part in parts(text):
+            if not self.quick or not AGREED.fullmatch(part):
+                yield LIBRARY, part
+            elif not DOUBLE.search(part):
+                yield SINGLE, part
             else:
-                yield from self._encode([text])
+                for piece, x in split_runs(part):
+                    yield PIECE if piece else RANKS, x
+
+    def _batch(self, held: list[tuple[int, int, str]]) -> Iterator[tuple[int, list[int]]]:
+        found: dict[int, Iterator[list[int]]] = {}
+        for how in (LIBRARY, RANKS, SINGLE, PIECE):
+            own = [x for _, h, x in held if h == how]
+            if how == LIBRARY:
+                found[how] = (x.ids for x in self.tokenizer.encode_batch_fast(own, add_special_tokens=False)) if own else iter(())
+            elif how == PIECE:
+                found[how] = (self.quick[0]._encode_single_piece(x) for x in own)
+            else:
+                found[how] = iter(self.quick[how - RANKS].encode_ordinary_batch(own, num_threads=1)) if own else iter(())
+        for k, how, _ in held:
+            yield k, next(found[how])
 
-    def count(self, texts: list[str]) -> Iterator[int]:
-        """The number of ids of each text; of a long one, part by part."""
-        for text in texts:
-            yield sum(map(len, self._encode(parts(text) if self.plain else [text])))
 
-    def _encode(self, texts: Iterable[str]) -> Iterator[list[int]]:
-        for text in texts:
-            if self.plain and self.quick and AGREED.fullmatch(text) and not any(x in text for x in self.marks):
-                yield self.quick[not DOUBLE.search(text)].encode_ordinary(text)
-            else:
-                yield self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+def split_runs(text: str) -> Iterator[tuple[bool, str]]:
+    """(whether it is one piece, part): long runs of white space by themselves, but for a last character that goes with what follows."""
+    at = 0
+    for m in RUNS.finditer(text):
+        a, b = m.start(), m.end() if m.end() == len(text) else m.end() - 1
+        if a > at:
+            yield False, text[at:a]
+        yield True, text[a:b]
+        at = b
+    if at < len(text) or not text:
+        yield False, text[at:]
 
 
 def parts(text: str, most: int = LONG) -> Iterator[str]:
@@ -116,7 +167,7 @@ def _counts(path: str, limit: int):
         for whole in batches:
             for batch in common.by_bytes(whole, "text", BATCH):
                 sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).cast(pa.int64())
-                n = list(encoder.count(common.strings(batch.column(1))))
+                n = encoder.count(common.strings(batch.column(1)))
                 yield common.emit({"doc_id": batch.column(0), "n_bytes": sizes, "n_tokens": n, "over_limit": [x > limit for x in n]}, schema)
 
     return run
@@ -128,6 +179,6 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 512) -> DataFrame:
     A null text counts as empty: 0 bytes, 0 tokens. Null doc_ids and repeated rows stay as they are, an empty table gives
     no rows, other columns are ignored. Nothing is shuffled.
     """
-    return common.bounded(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
         _counts(path, limit), "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
     )

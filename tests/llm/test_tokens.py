@@ -1,5 +1,6 @@
 import array
 import random
+import re
 import zlib
 from collections import defaultdict
 
@@ -30,8 +31,26 @@ def test_ids_are_the_library_s(library, monkeypatch):
         monkeypatch.setattr(tokens, "LONG", most)
         texts = random_texts(3000, most)
         want = [library.encode(t, add_special_tokens=False).ids for t in texts]
-        assert list(encoder.encode(texts)) == want
-        assert [sum(len(x) for x in encoder._encode(tokens.parts(t, most))) for t in texts] == [len(x) for x in want]
+        assert [list(x) for x in encoder.encode(texts)] == want
+        assert encoder.count(texts) == [len(x) for x in want]
+
+
+def test_long_runs_are_the_library_s(library, monkeypatch):
+    encoder = tokens.Encoder(PATH)
+    monkeypatch.setattr(tokens, "RUNS", re.compile(tokens.SPACE + "{3,}"))
+    r = random.Random(5)
+    runs = [" ", "\n", "\t", "\xa0", "\u3000", "a", "!", "1", "é", "'s", "<|endoftext|>"]
+    texts = ["".join(r.choice(runs) * r.choice([1, 1, 2, 3, 7, 40]) for _ in range(r.randint(0, 9))) for _ in range(1500)]
+    assert [list(x) for x in encoder.encode(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+@pytest.mark.parametrize("unit", [" ", "\n", " \n\t", "a", "!", "7", "x" + " " * 999_999])
+def test_texts_of_a_million_characters_of_a_kind(library, unit):
+    encoder = tokens.Encoder(PATH)
+    text = unit * (10**6 // len(unit)) + "y"
+    assert list(encoder.encode([text])[0]) == library.encode_batch_fast([text], add_special_tokens=False)[0].ids
+    if unit in (" ", "a"):
+        assert encoder.count([unit * 10**7, "one"])[1] == 1
 
 
 def test_both_libraries_agree_on_the_code_points_that_take_the_quick_way(library):
