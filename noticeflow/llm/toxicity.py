@@ -198,13 +198,14 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = 20_000, least: int = 4,
     A term is kept if at least `least` of the texts that have it, and a share of `precision` of them, are toxic; of a stem and
     the words it covers the stem is kept (and the words, if as precise, for their misspellings); at most `terms` of them by log-odds. Where there are no labels of both kinds, the
     model gives every text the same score. Null labels and doc_ids are left out, of several labels of a doc_id the highest
-    counts.
+    counts, of several texts the first by its characters.
     """
     known = labels.where("doc_id is not null and toxic is not null").where(~held_out(F.col("doc_id")))
     known = known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
     chosen = known.orderBy(F.md5(F.col("doc_id").cast("string"))).limit(most)
     texts = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    sample = common.stored(texts.join(F.broadcast(chosen), "doc_id").select("text", "toxic"))  # `most` rows and their repeats
+    found = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
+    sample = common.stored(found.select("text", "toxic"))  # `most` rows
     totals = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     good, bad = totals.get(0, 0), totals.get(1, 0)
     if not good or not bad:
@@ -214,7 +215,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = 20_000, least: int = 4,
     ))
     odds = F.log((F.col("bad") + 0.5) / (bad + 1)) - F.log((F.col("n") - F.col("bad") + 0.5) / (good + 1))
     best = counted.where((F.col("bad") >= least) & (F.col("bad") >= precision * F.col("n"))).withColumn("odds", odds)
-    found = {r["term"]: r["odds"] for r in best.orderBy(F.desc("odds"), "term").limit(8 * terms).collect()}
+    found = {r["term"]: r["odds"] for r in best.collect()}  # of the words of `most` texts
     lexicon: dict[str, float] = {}
     for term in sorted(found, key=lambda t: (len(t.rstrip("*")), t)):  # short stems first; what they cover goes
         root = term.rstrip("*")
@@ -294,11 +295,11 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
     Nothing but the text enters the score. Null and empty texts have no hits and get the score of those. Null doc_ids and
     repeated rows stay; an empty table gives no rows; other columns are ignored.
     """
-    picked = common.bounded(docs).select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    picked = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     out = picked.mapInArrow(_scores(model, None), "doc_id long, score double")
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
 def keep_civil(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
     """The rows of `docs` that score below the threshold, all columns as they are."""
-    return common.bounded(docs).mapInArrow(_scores(model, threshold), docs.schema)
+    return docs.mapInArrow(_scores(model, threshold), docs.schema)
