@@ -82,9 +82,9 @@ ORACLE: dict[str, str] = {
             WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
         ), s AS (
             SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum([x[1] * x[2] FOR x IN list_zip(q.e, c.e)]) AS BIGINT) AS score
-            FROM v q, v c WHERE q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
+            FROM v q, v c WHERE q.vec_id % 50 = 0 AND c.vec_id IS DISTINCT FROM q.vec_id AND len(c.e) = len(q.e)
         ), r AS (
-            SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s
+            SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id NULLS LAST) AS INTEGER) AS rank, vec_id, score FROM s
         ) SELECT * FROM r WHERE rank <= 5""",
     "op4_mixing": r"""
         WITH RECURSIVE d AS (
@@ -107,6 +107,6 @@ ORACLE: dict[str, str] = {
             SELECT d.doc_id, d.size, r.*, (CAST(('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 13)) AS BIGINT) + 0.5) / 4503599627370496.0 AS u
             FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source
         ), o AS (
-            SELECT *, sum(size) OVER (PARTITION BY source ORDER BY ln(u) - ln(1 - u), doc_id ROWS UNBOUNDED PRECEDING) - size / 2 AS mid FROM z
+            SELECT *, sum(size) OVER (PARTITION BY source ORDER BY ln(u) - ln(1 - u) - 0.5 * ln(greatest(size, 1)), doc_id, size ROWS UNBOUNDED PRECEDING) - size / 2 AS mid FROM z
         ) SELECT doc_id, size, source_size, target, CAST(size * (sure + CASE WHEN p > 0 AND mid <= rest THEN 1 ELSE 0 END) AS BIGINT) AS taken FROM o""",
 }

@@ -1,10 +1,10 @@
 """Exact top-k search by inner product with no random access (NRA).
 
 Candidates come in blocks. A block has one sorted list for each dimension, read from the end that a query's sign of the
-dimension favours. All lists are read in step, to a growing depth; what was read gives each candidate a lower and an
-upper bound of its score, and the values at the depth reached bound every candidate not yet seen. Reading stops for a
-query once no outsider and only few of the seen can still reach its k-th best lower bound; the scores of those few are
-then resolved. A task carries the k-th best resolved score of each query from block to block, so later blocks stop early.
+dimension favours. All lists are read in step, a stretch at a time; what was read adds up to what is known of each candidate,
+and the values where reading stands bound every one not yet seen. Once no outsider can reach the query's k-th best score, the
+seen ones that can by their upper bounds are all that is left; reading goes on until they are few, and their scores are then
+resolved. A query's k-th best score is carried from block to block, so that later blocks are read less far.
 """
 
 from __future__ import annotations
@@ -18,14 +18,25 @@ from pyspark.sql import functions as F
 
 from . import common
 
-#: Candidates and queries in a block: bounds the memory of a task.
-BLOCK, QUERIES = 4096, 512
-#: Parts of each list that are read before bounds are drawn, and the share of a block that may be left to resolve.
-DEPTHS, FEW = (0.3, 0.45, 0.6, 0.8, 1.0), 0.04
+#: Candidates and queries in a block, and bytes of candidates that a task holds: bounds of its memory.
+BLOCK, QUERIES, HELD = 4096, 512, 64 << 20
+#: The share of each list that is read at a time, and the share of a block that may be left to resolve.
+STEP, FEW = 1 / 16, 0.1
+#: Stands for a null vec_id, which is the last among equal scores.
+NONE = 2**63 - 1
 
 PACKED = "block long, dim int, n int, ids binary, values binary"
 
 
+def scaled(vector: list | None, scale: float) -> np.ndarray | None:
+    """The whole numbers floor(scale * x), exact as doubles; None for vectors that take no part."""
+    if vector is None or None in vector:
+        return None
+    with np.errstate(over="ignore"):
+        x = np.floor(scale * np.array(vector, np.float64))
+    return x if np.isfinite(x).all() else None
+
+
 def _pack(size: int, scale: int):
     schema = pa.schema([("block", pa.int64()), ("dim", pa.int32()), ("n", pa.int32()), ("ids", pa.binary()), ("values", pa.binary())])
 
@@ -44,14 +55,11 @@ def _pack(size: int, scale: int):
 
         for batch in batches:
             for i, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if i is None or not v or None in v:
-                    continue
-                x = np.floor(scale * np.array(v, np.float64))
-                if not np.isfinite(x).all() or np.abs(x).max() >= 2**31:
+                if (x := scaled(v, scale)) is None:
                     continue
-                held.setdefault(len(v), []).append((i, x.astype(np.int32)))
-                if len(held[len(v)]) >= size:
-                    yield out(len(v))
+                held.setdefault(len(x), []).append((NONE if i is None else i, x))
+                if len(held[len(x)]) >= size:
+                    yield out(len(x))
         for dim in list(held):
             yield out(dim)
 
@@ -59,100 +67,113 @@ def _pack(size: int, scale: int):
 
 
 class Lists:
-    """The sorted lists of a block, read to one of `DEPTHS`."""
-
-    def __init__(self, values: np.ndarray):
-        self.x = values.astype(np.float64)
-        self.order = np.argsort(values, axis=0, kind="stable")
-        self.read_to: dict[float, tuple] = {}
-
-    def read(self, depth: float) -> tuple:
-        """For the high and the low ends: values read (else 0), what was read (0 or 1), the value at the depth, at the end."""
-        if depth not in self.read_to:
-            n, dim = self.x.shape
-            t = max(1, min(n, int(np.ceil(depth * n))))
-            ends = []
-            cols = np.arange(dim)
-            for rows, at, last in ((self.order[n - t :], self.order[n - t], self.order[0]), (self.order[:t], self.order[t - 1], self.order[n - 1])):
-                seen = np.zeros((n, dim))
-                seen[rows, cols] = 1
-                ends.append((self.x * seen, seen, self.x[at, cols], self.x[last, cols]))
-            self.read_to[depth] = tuple(ends)
-        return self.read_to[depth]
-
-
-def search(lists: Lists, ids: np.ndarray, queries: np.ndarray, own: np.ndarray, k: int, floor: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """(ids, scores) for each query: at least all candidates of the block that are among its k best with a score of `floor` or more."""
+    """A block's vectors, and for each dimension the candidates from the lowest value to the highest."""
+
+    def __init__(self, ids: np.ndarray, values: np.ndarray):
+        self.ids, self.x = ids, values
+        self.order = np.argsort(values, axis=0, kind="stable").astype(np.int32)
+        self.sorted = np.take_along_axis(values, self.order, axis=0)
+        self.most = float(np.abs(values).max(initial=0))
+
+
+class Reading:
+    """One query's way through the lists: what is known of each candidate, and which of its components were read."""
+
+    def __init__(self, lists: Lists, query: np.ndarray):
+        self.lists, self.n, self.at = lists, len(lists.x), 0
+        # Each side's lists: their dimensions, and whether they are read from the high end. Lists of other dimensions add nothing.
+        self.sides = [(c, top, query[c]) for c, top in ((np.flatnonzero(query > 0), True), (np.flatnonzero(query < 0), False)) if len(c)]
+        self.q = np.concatenate([q for _, _, q in self.sides]) if self.sides else np.zeros(0)
+        self.known = np.zeros(self.n)
+        self.seen = np.zeros((self.n, len(self.q)))
+
+    def row(self, at: int) -> np.ndarray:
+        """What each list adds at a place counted from its best end."""
+        return np.concatenate([self.lists.sorted[self.n - 1 - at if top else at, c] * q for c, top, q in self.sides])
+
+    def on(self, step: int) -> None:
+        """Reads the next `step` entries of each list."""
+        a, b = self.at, min(self.n, self.at + step)
+        flat, first = self.seen.reshape(-1), 0
+        for c, top, q in self.sides:
+            rows = slice(self.n - b, self.n - a) if top else slice(a, b)
+            ids = self.lists.order[rows][:, c]
+            self.known += np.bincount(ids.ravel(), (self.lists.sorted[rows][:, c] * q).ravel(), self.n)
+            flat[(ids.astype(np.int64) * len(self.q) + np.arange(first, first + len(c))).ravel()] = 1
+            first += len(c)
+        self.at = b
+        self.ahead = self.row(min(b, self.n - 1))
+
+    def outsider(self) -> float:
+        """What a candidate that no list has shown yet can have at most."""
+        return float(self.ahead.sum()) if self.at < self.n else -np.inf
+
+    def upper(self) -> np.ndarray:
+        return self.known + self.ahead.sum() - self.seen @ self.ahead
+
+    def lower(self) -> np.ndarray:
+        last = self.row(self.n - 1)
+        return self.known + last.sum() - self.seen @ last
+
+
+def search(lists: Lists, query: np.ndarray, own: int | None, k: int, floor: float) -> list[tuple[int, int]]:
+    """(score, id): at least all candidates of the block that are among the query's k best with a score of `floor` or more."""
     n, dim = lists.x.shape
-    out: list = [None] * len(queries)
-    q = queries.astype(np.float64)
-    if float(np.abs(lists.x).max(initial=0)) * float(np.abs(q).max(initial=0)) * dim >= 2**52:  # beyond what doubles add exactly
-        exact = [[sum(a * b for a, b in zip(map(int, x), map(int, y), strict=True)) for x in lists.x] for y in queries]
-        for j, scores in enumerate(exact):
-            best = sorted((i for i in range(n) if ids[i] != own[j]), key=lambda i: (-scores[i], ids[i]))[:k]
-            out[j] = (ids[best], np.array([scores[i] for i in best], object))
-        return out
-    active = np.arange(len(q))
-    for depth in DEPTHS:
-        up, down = np.maximum(q[active], 0).T, np.minimum(q[active], 0).T
-        (xu, su, fu, lu), (xd, sd, fd, ld) = lists.read(depth)
-        known = xu @ up + xd @ down
-        ahead_u, ahead_d = fu[:, None] * up, fd[:, None] * down
-        outsiders = ahead_u.sum(0) + ahead_d.sum(0)
-        upper = known + outsiders - su @ ahead_u - sd @ ahead_d
-        low = floor[active]
-        if np.isinf(low).any() and n > k:
-            rest_u, rest_d = lu[:, None] * up, ld[:, None] * down
-            lower = known + (rest_u.sum(0) + rest_d.sum(0)) - su @ rest_u - sd @ rest_d
-            lower[ids[:, None] == own[active][None, :]] = -np.inf
-            low = np.maximum(low, np.partition(lower, n - k, axis=0)[n - k])
-        can = upper >= low[None, :] - 0.5  # scores are whole numbers
-        left = can.sum(0)
-        done = (left <= max(k, FEW * n)) & (outsiders < low) | (depth == DEPTHS[-1])
-        for j in np.flatnonzero(done):
-            at = np.flatnonzero(can[:, j])
-            at = at[ids[at] != own[active[j]]]
-            scores = lists.x[at] @ q[active[j]] if depth < 1 else known[at, j]  # resolved; at full depth all is read
-            if len(at) > k:
-                keep = np.flatnonzero(scores >= np.partition(scores, len(scores) - k)[len(scores) - k])
-                at, scores = at[keep], scores[keep]
-            best = np.lexsort((ids[at], -scores))[:k]
-            out[active[j]] = (ids[at[best]], scores[best])
-        active = active[~done]
-        if not len(active):
+    others = lists.ids != own
+    if lists.most * float(np.abs(query).max(initial=0)) * max(1, dim) >= 2**52:  # beyond what doubles add exactly
+        q = [int(v) for v in query]
+        exact = [(max(-(2**63), min(2**63 - 1, sum(int(a) * b for a, b in zip(x, q, strict=True)))), int(i)) for x, i in zip(lists.x, lists.ids, strict=True) if i != own]
+        return sorted(exact, key=lambda s: (-s[0], s[1]))[:k]
+    reading = Reading(lists, query)
+    step = max(1, int(np.ceil(n * STEP)))
+    left: np.ndarray | None = None
+    while reading.at < n and len(reading.q):
+        reading.on(step)
+        low = floor
+        if low == -np.inf:
+            lower = reading.lower()[others]
+            if len(lower) > k:
+                low = float(np.partition(lower, len(lower) - k)[len(lower) - k])
+        if reading.outsider() >= low:
+            continue
+        if left is None:
+            left = np.flatnonzero(others)  # those that no list has shown yet have the outsider's bound
+        left = left[reading.upper()[left] >= low - 0.5]  # scores are whole numbers
+        if len(left) <= max(k, FEW * n):
             break
-    return out
+    if left is None:
+        left = np.flatnonzero(others)
+    scores = lists.x[left] @ query  # resolved
+    if len(left) > k:
+        keep = scores >= np.partition(scores, len(scores) - k)[len(scores) - k]
+        left, scores = left[keep], scores[keep]
+    best = np.lexsort((lists.ids[left], -scores))[:k]
+    return [(int(scores[b]), int(lists.ids[left[b]])) for b in best]
 
 
 def _search(k: int):
     schema = pa.schema([("query_id", pa.int64()), ("qb", pa.int64()), ("qi", pa.int32()), ("vec_id", pa.int64()), ("score", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best: dict[int, tuple] = {}
-        block, lists, ids = None, None, None
-
-        def out(qb: int) -> pa.RecordBatch:
-            qids, _, found = best.pop(qb)
-            return common.emit({"query_id": [int(qids[j]) for j, f in enumerate(found) for _ in f], "qb": [qb for f in found for _ in f], "qi": [j for j, f in enumerate(found) for _ in f], "vec_id": [x[1] for f in found for x in f], "score": [-x[0] for f in found for x in f]}, schema)
-
+        """Of each group its blocks of candidates come first, then blocks of queries one after the other."""
+        group, held = None, []
         for batch in batches:
             for r in range(batch.num_rows):
                 row = {f: batch.column(i)[r].as_py() for i, f in enumerate(batch.schema.names)}
-                if block != row["block"]:
-                    block, ids = row["block"], np.frombuffer(row["ids"], np.int64)
-                    lists = Lists(np.frombuffer(row["values"], np.int32).reshape(row["n"], row["dim"]))
-                if (qb := row["q_block"]) not in best:
-                    for other in list(best):
-                        yield out(other)
-                    qids = np.frombuffer(row["q_ids"], np.int64)
-                    best[qb] = (qids, np.frombuffer(row["q_values"], np.int32).reshape(row["q_n"], row["dim"]), [[] for _ in qids])
-                qids, values, found = best[qb]
-                floor = np.array([-f[k - 1][0] if len(f) == k else -np.inf for f in found])
-                for j, (got, scores) in enumerate(search(lists, ids, values, qids, k, floor)):
-                    if len(got):
-                        found[j] = sorted(found[j] + [(-int(s), int(i)) for i, s in zip(got, scores, strict=True)])[:k]
-        for qb in list(best):
-            yield out(qb)
+                if row["grp"] != group:
+                    group, held = row["grp"], []
+                ids, values = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["values"], np.float64).reshape(row["n"], row["dim"])
+                if not row["asks"]:
+                    held.append(Lists(ids, values))
+                    continue
+                out: list[tuple] = []
+                for qi, (own, query) in enumerate(zip(ids.tolist(), values, strict=True)):
+                    found: list[tuple[int, int]] = []
+                    for lists in held:
+                        floor = float(found[k - 1][0]) if len(found) == k else -np.inf
+                        found = sorted(found + search(lists, query, None if own == NONE else own, k, floor), key=lambda s: (-s[0], s[1]))[:k]
+                    out += [(None if own == NONE else own, row["block"], qi, None if i == NONE else i, s) for s, i in found]
+                yield common.emit(dict(zip(schema.names, map(list, zip(*out, strict=True)) if out else [[]] * 5, strict=True)), schema)
 
     return run
 
@@ -161,26 +182,30 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: int = 256)
     """(query_id, rank, vec_id, score): for each row of `queries` its k highest integer inner products with `vectors`.
 
     Both have vec_id and embedding; each component x counts as floor(scale * x). A query's own vec_id is no candidate;
-    equal scores rank by vec_id; fewer candidates give fewer rows, none gives no row. Vectors take no part that are null or
-    empty, hold null or non-finite components, have no vec_id, or exceed 31 bits when scaled; vectors of different lengths
-    don't meet. Repeated rows count each by itself. Other columns are ignored.
+    equal scores rank by vec_id, null last; fewer candidates give fewer rows, none gives no row. Vectors take no part that are
+    null or hold null or non-finite components (also those that scaling takes beyond a double); vectors of different lengths
+    don't meet. Sums are exact at any size; a score beyond 64 bits counts as the nearest long. Repeated rows count each by
+    itself. Other columns are ignored.
 
-    Blocks of queries meet blocks of candidates in an equality join on (query block, candidate block), each task keeping k
-    rows for each query; these are then ranked.
+    Candidate blocks are dealt to groups, each shuffled once; every block of queries goes to each group, whose task holds
+    the group's blocks and streams the queries. Each task keeps k rows for each query; these are then ranked.
     """
     pick = [F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>")]
     cand = common.stored(vectors.select(*pick).mapInArrow(_pack(BLOCK, scale), PACKED))
     spark = vectors.sparkSession
     asked = queries.select(*pick)
     packed = common.stored(asked.repartition(max(1, -(-asked.count() // QUERIES))).mapInArrow(_pack(QUERIES, scale), PACKED))
-    asks = packed.select(F.col("block").alias("q_block"), F.col("dim"), F.col("n").alias("q_n"), F.col("ids").alias("q_ids"), F.col("values").alias("q_values"))
-    pairs = asks.select("q_block", "dim").join(cand.select("block", "dim"), "dim")  # names of blocks only
-    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
+    shape = cand.agg(F.count("*").alias("blocks"), F.sum(F.octet_length("values")).alias("bytes")).first()
+    groups = max(1, -(-(shape["bytes"] or 0) // HELD), min(shape["blocks"], 2 * spark.sparkContext.defaultParallelism))
+    there = common.numbered(cand.withColumn("one", F.lit(0).cast("long")), "one", "nr").withColumn("grp", F.pmod("nr", F.lit(groups))).drop("one", "nr")
+    there = common.stored(there)
+    names = there.select("grp", "dim").distinct()
+    asks = packed.join(names, "dim").select("grp", F.lit(True).alias("asks"), "block", "dim", "n", "ids", "values")
     met = (
-        pairs.join(asks.drop("dim"), "q_block").join(cand.drop("dim"), "block")
-        .repartition(n, "q_block", F.pmod(F.xxhash64("block"), F.lit(n)))
-        .sortWithinPartitions("q_block", "block")
+        there.select("grp", F.lit(False).alias("asks"), "block", "dim", "n", "ids", "values").union(asks)
+        .withColumn("grp", F.struct("grp", "dim")).repartition(groups, "grp").sortWithinPartitions("grp", "asks", "block")
+        .withColumn("grp", F.xxhash64("grp"))
     )
     found = met.mapInArrow(_search(k), "query_id long, qb long, qi int, vec_id long, score long")
-    order = Window.partitionBy("qb", "qi").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("qb", "qi").orderBy(F.desc("score"), F.asc_nulls_last("vec_id"))
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

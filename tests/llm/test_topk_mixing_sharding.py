@@ -9,17 +9,18 @@ def test_top_k_against_brute_force(spark, monkeypatch):
     r = random.Random(1)
     hot = [r.uniform(-1, 1) for _ in range(16)]
     rows = [(k, [r.gauss(0, 0.3) for _ in range(16)] if k % 3 else hot) for k in range(400)]
-    rows += [(1000, None), (1050, []), (1100, [float("nan")] * 16), (1150, [1.0, None] * 8), (1200, [float("inf")] * 16), (None, hot), (1250, [1.0, 2.0]), (1300, [0.5, 0.25]), (150, hot), (1350, [3e38] * 16), (1400, [3e6] * 16), (1450, [-2.9e6] * 16)]
+    rows += [(1000, None), (1050, []), (1100, [float("nan")] * 16), (1150, [1.0, None] * 8), (1200, [float("inf")] * 16), (None, hot), (1250, [1.0, 2.0]), (1300, [0.5, 0.25]), (150, hot), (1500, [1e7] + [0.0] * 15), (1550, [1.0] * 16), (None, [2e6] + [0.0] * 15), (1350, [3e38] * 16), (1400, [3e6] * 16), (1450, [-2.9e6] * 16)]
     df = spark.createDataFrame([(i, v, 0) for i, v in rows], "vec_id long, embedding array<double>, rank int").repartition(5)
     monkeypatch.setattr(topk, "BLOCK", 64)
     got = {(x.query_id, x.rank, x.vec_id, x.score) for x in topk.top_k(df, df.where("vec_id % 50 = 0"), 5).collect()}
-    good = [(i, [math.floor(256 * x) for x in v]) for i, v in rows if i is not None and v and all(x is not None and math.isfinite(x) and abs(256 * x) < 2**31 for x in v)]
+    good = [(i, [math.floor(256 * x) for x in v]) for i, v in rows if v is not None and all(x is not None and math.isfinite(x) for x in v)]
     want = set()
     for q, x in good:
-        if q % 50 == 0:
-            scores = sorted((-sum(a * b for a, b in zip(x, y)), i) for i, y in good if i != q and len(y) == len(x))[:5]
-            want |= {(q, k + 1, i, -s) for k, (s, i) in enumerate(scores)}
-    assert got == want
+        if q is not None and q % 50 == 0:
+            clip = lambda s: max(-(2**63), min(2**63 - 1, s))
+            scores = sorted((-clip(sum(a * b for a, b in zip(x, y))), i is None, i or 0) for i, y in good if i != q and len(y) == len(x))[:5]
+            want |= {(q, k + 1, None if none else i, -s) for k, (s, none, i) in enumerate(scores)}
+    assert got == want and any(i is None for _, _, i, _ in got) and any(s == 2**63 - 1 for *_, s in got)
     assert topk.top_k(df.limit(0), df.limit(0)).collect() == []
 
 
@@ -27,6 +28,7 @@ def test_mix(spark):
     r = random.Random(2)
     rows = [(k, " ".join("w" * r.randint(1, 5) for _ in range(r.choice([0, 3, 20, 20, 300]))), r.choice(["b", "a", "a", "a", "a", None, "é", "tiny"])) for k in range(2000)]
     rows = [(i, t, s if s != "tiny" or i % 40 == 0 else "a") for i, t, s in rows] + [(9999, "x " * 40_000, "b"), (None, "n u l l", "a"), (3, rows[3][1], rows[3][2]), (10_000, None, "only blank"), (10_001, "\n", "only blank")]
+    rows += [(None, "seven words that many rows have alike", "b")] * 700
     df = spark.createDataFrame([(i, t, s, 1, 2.0) for i, t, s in rows], "doc_id long, text string, source string, size int, z double").repartition(4)
     got = mixing.mix(df).collect()
     size, weight = defaultdict(int), {}
@@ -53,6 +55,14 @@ def test_mix(spark):
     assert len(got) == len(rows) and all(abs(taken[s] - target[s]) <= largest[s] / 2 + 1e-6 for s in size)
     assert sorted(map(repr, mixing.mix(df.repartition(3)).collect())) == sorted(map(repr, got))
     assert mixing.mix(df.limit(0)).collect() == []
+    # Ranked by random odds over inclusion odds: longer documents are taken more often than shorter ones of their source.
+    own = spark.createDataFrame([(k, "w " * (400 if k % 2 else 25), "a" if k < 4000 else "b") for k in range(6000)], "doc_id long, text string, source string")
+    many = [x for x in mixing.mix(own, weights=(1, 8)).collect() if x.source == "a"]
+    share = {n: sum(x.copies for x in many if x.size == n) / sum(x.size == n for x in many) for n in (25, 400)}
+    odds = {n: p / (1 - p) for n, p in share.items()}
+    assert 2.8 < odds[400] / odds[25] < 5.6  # (400 / 25) ** 0.5 is 4
+    alike = spark.createDataFrame([(5, "one two three", "a")] * 900 + [(6, "w " * 3000, "b")] * 2, "doc_id long, text string, source string").repartition(7)
+    assert abs(sum(x.taken for x in mixing.mix(alike, weights=(1, 2)).collect() if x.source == "a") - 2900) <= 1.5
 
 
 def test_shards(spark):
