@@ -74,6 +74,11 @@ def settled(build: Callable[[], DataFrame]) -> DataFrame:
     return out.df
 
 
+def small(spark: SparkSession, columns: dict[str, tuple[pa.DataType, list]]) -> DataFrame:
+    """A small table of the driver's, made without a job, to be broadcast."""
+    return F.broadcast(spark.createDataFrame(pa.table({n: pa.array(v, t) for n, (t, v) in columns.items()})))
+
+
 def clean(spark: SparkSession) -> None:
     """Deletes all tables that operators wrote to the shared folder; frames that were made from them can't be read after.
 

@@ -81,3 +81,40 @@ def test_shards(spark):
     assert sharding.shard(df.limit(0)).collect() == []
     one = sharding.shard(spark.createDataFrame([(k, "same", "en", "s") for k in range(20)], "doc_id long, text string, lang string, source string")).collect()
     assert len({x.shard for x in one}) == 1 and sorted(x.slot for x in one) == list(range(20))
+
+
+def plain_tree(groups, shards, ranges=None, first=0):
+    """The shard of each (coordinates, hash, weight) by a k-d tree in the plainest way."""
+    if shards == 1 or not groups:
+        return {g: first for g in groups}
+    dims = range(len(groups[0][0]))
+    width = [max(g[0][d] for g in groups) - min(g[0][d] for g in groups) for d in dims]
+    ranges = ranges or [w or 1.0 for w in width]
+    dim = max(dims, key=lambda d: width[d] / ranges[d])
+    order = sorted(groups, key=lambda g: (g[0][dim], g[1]))
+    goal, before, cut = sum(g[2] for g in groups) * (shards // 2) / shards, 0, 0
+    while cut < len(order) and before + order[cut][2] < goal:
+        before += order[cut][2]
+        cut += 1
+    if cut < len(order) and before + order[cut][2] - goal < goal - before:
+        cut += 1
+    return plain_tree(order[:cut], shards // 2, ranges, first) | plain_tree(order[cut:], shards - shards // 2, ranges, first + shards // 2)
+
+
+def test_tree_against_a_plain_one(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "NEAR", 0.0)
+    monkeypatch.setattr(sharding, "LEVEL_BINS", 256)
+    r = random.Random(4)
+    rows = {((float(r.choice([0, 0, 0, 1, 7])), r.choice([0.0, 1.0]), round(r.random() * 9, 2)), r.randrange(2**62), r.randrange(1, 50)) for _ in range(700)}
+    df = spark.createDataFrame([(*c, h, w) for c, h, w in rows], "a double, b double, c double, h long, w long").repartition(5)
+    for shards in (1, 2, 7, 16):
+        got, _ = sharding.split_tree(df, ["a", "b", "c"], shards)
+        assert {((x.a, x.b, x.c), x.h, x.w): x.shard for x in got.collect()} == plain_tree(list(rows), shards)
+
+
+def test_sources_are_told_apart_to_the_last_character(spark):
+    rows = [(k, f"text {k:05d}", "en", f"a_long_common_beginning_{'ab'[k % 2]}") for k in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(3)
+    got = {x.doc_id: x.shard for x in sharding.shard(df, 2).collect()}
+    assert len({got[k] for k in range(0, 400, 2)}) == 1 and len(set(got.values())) == 2
+    assert max(x.shard for x in sharding.shard(df, target=500).collect()) == -(-400 * 11 // 500) - 1
