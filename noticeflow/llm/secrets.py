@@ -1,7 +1,8 @@
 """Secret scans: fixed patterns, and values in a credential's place that are hard to guess.
 
 How many guesses a value takes is the cheapest of all ways to cut it into known words, dates, repeats, keyboard walks,
-sequences and brute-force spans, found by dynamic programming.
+sequences and brute-force spans, found by dynamic programming. Words are known from a fixed list and from the corpus: its most
+frequent ones, counted over all documents. A value that could be a plain word, a name, a number or an address is no secret.
 """
 
 from __future__ import annotations
@@ -9,8 +10,8 @@ from __future__ import annotations
 import hashlib
 import math
 import re
-from collections.abc import Iterator
-from functools import lru_cache
+from collections import Counter
+from collections.abc import Iterator, Mapping
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -46,66 +47,152 @@ DATE = re.compile(r"(?:19|20)\d\d[-/._]?(?:0[1-9]|1[0-2])[-/._]?(?:0[1-9]|[12]\d
 LEET = str.maketrans("4@301!5$7+", "aaeoiisstt")
 #: Decimal digits of guesses from which on a value counts as a secret, the cost of one more span, and of a brute-force character.
 GUESSES, SPAN, BRUTE = 9.0, 0.3, 1.0
+#: Words of the corpus that are known, and in how many documents one has to be (documented bounds of the frequency table).
+MOST, LEAST = 50_000, 5
+#: Letters of a word of the corpus.
+LETTERS = (3, 20)
+#: Values whose guesses a worker keeps.
+KEPT = 20_000
+#: Characters around a value that belong to the sentence, and values that are addresses.
+EDGES = "()[]{}.!?:*`"
+ADDRESS = re.compile(r"[a-z][a-z0-9+.-]*://[^/@]*(?:/|$)|[\w.+-]+@[\w-]+\.[\w.-]+$|www\.", re.IGNORECASE | re.ASCII)
+#: Signs between words.
+JOINTS = "-_./'"
 
-_RANK = {w: k + 1 for k, w in enumerate(COMMON)}
-_LONGEST = max(map(len, COMMON))
 _NEXT = {a + b for row in (*KEYBOARD, *ORDERED) for line in (row, row[::-1]) for a, b in zip(line, line[1:], strict=False)}
 
 
-@lru_cache(maxsize=20_000)
-def guesses(value: str) -> float:
-    """The decimal logarithm of the guesses that the cheapest segmentation of the value takes."""
+def spans(value: str, rank: Mapping[str, int], longest: int) -> list[tuple[int, int, float]]:
+    """(start, end, cost) of all stretches of the value that are a known word, a date, a repeat, a walk or a sequence."""
     n = len(value)
     low = value.lower()
     plain = low.translate(LEET)
-    ends: list[list[tuple[int, float]]] = [[] for _ in range(n + 1)]  # by end: (start, cost)
+    out: list[tuple[int, int, float]] = []
     for i in range(n):
-        for j in range(i + 3, min(n, i + _LONGEST) + 1):
+        for j in range(i + 3, min(n, i + longest) + 1):
             for text, twist in ((low[i:j], 0.0), (plain[i:j], 0.5)):
-                if text in _RANK:
+                if text in rank:
                     case = 0.0 if value[i:j] == low[i:j] else 0.3 if value[i + 1 : j] == low[i + 1 : j] or value[i:j].isupper() else 1.0
-                    ends[j].append((i, math.log10(_RANK[text] + 1) + twist + case))
+                    out.append((i, j, math.log10(rank[text] + 1) + twist + case))
                     break
     for m in DATE.finditer(value):
-        ends[m.end()].append((m.start(), 2.1 if m.end() - m.start() == 4 else 4.6))
+        out.append((*m.span(), 2.1 if m.end() - m.start() == 4 else 4.6))
     i = 0
     while i < n:  # runs of one character, and of keyboard or alphabet neighbours
         j = i + 1
         while j < n and value[j] == value[i]:
             j += 1
         if j - i >= 3:
-            ends[j] += [(s, math.log10(95 * (j - s))) for s in range(i, min(j - 2, i + 2))]
+            out += [(s, j, math.log10(95 * (j - s))) for s in range(i, min(j - 2, i + 2))]
         k = i + 1
         while k < n and low[k - 1] + low[k] in _NEXT:
             k += 1
         if k - i >= 3:
-            ends[k].append((i, math.log10(47 * 4 * (k - i))))
+            out.append((i, k, math.log10(47 * 4 * (k - i))))
         i = max(i + 1, j - 1 if j - i >= 3 else 0, k - 1 if k - i >= 3 else 0)
-    for size in range(2, min(32, n // 2) + 1):  # a block that comes again at once
+    for size in range(2, min(math.ceil(GUESSES / BRUTE), n // 2) + 1):  # a block that comes again at once; a longer one costs GUESSES by itself
         i = 0
         while i + 2 * size <= n:
             reps = 1
             while value[i : i + size] == value[i + reps * size : i + (reps + 1) * size] and len(set(value[i : i + size])) > 1:
                 reps += 1
             if reps > 1:
-                ends[i + reps * size].append((i, size * BRUTE + math.log10(reps)))
+                out.append((i, i + reps * size, size * BRUTE + math.log10(reps)))
                 i += reps * size
             else:
                 i += 1
-    spans, brute = [0.0] + [math.inf] * n, [math.inf] * (n + 1)  # the last span is of a known kind, or brute force
-    for j in range(1, n + 1):
-        brute[j] = min(brute[j - 1], spans[j - 1] + SPAN) + BRUTE
-        spans[j] = min([math.inf, *(min(spans[i], brute[i]) + cost + SPAN for i, cost in ends[j])])
-    return min(spans[n], brute[n])
+    return out
 
 
-def scan(text: str) -> list[tuple[int, int, int]]:
+class Guesser:
+    """How hard values are to guess, given the words of a corpus, the most frequent first."""
+
+    def __init__(self, words: tuple[str, ...] = ()):
+        self.rank = {w: k + 1 for k, w in reversed([*enumerate(COMMON), *enumerate(words, len(COMMON))])}
+        self.longest = max(map(len, self.rank))
+        self.known: dict[str, float] = {}
+
+    def guesses(self, value: str) -> float:
+        """The decimal logarithm of the guesses that the cheapest segmentation of the value takes."""
+        if value not in self.known:
+            if len(self.known) >= KEPT:
+                self.known.clear()
+            self.known[value] = self._guesses(value)
+        return self.known[value]
+
+    def _guesses(self, value: str) -> float:
+        n = len(value)
+        ends: list[list[tuple[int, float]]] = [[] for _ in range(n + 1)]  # by end: (start, cost)
+        for i, j, cost in spans(value, self.rank, self.longest):
+            ends[j].append((i, cost))
+        last, brute = [0.0] + [math.inf] * n, [math.inf] * (n + 1)  # the last span is of a known kind, or brute force
+        for j in range(1, n + 1):
+            brute[j] = min(brute[j - 1], last[j - 1] + SPAN) + BRUTE
+            last[j] = min([math.inf, *(min(last[i], brute[i]) + cost + SPAN for i, cost in ends[j])])
+        return min(last[n], brute[n])
+
+    def secret(self, text: str, start: int, end: int) -> tuple[int, int] | None:
+        """Where a value in a credential's place is without the sentence's signs, if it is a secret."""
+        while end > start and text[end - 1] in EDGES:
+            end -= 1
+        while start < end and text[start] in EDGES:
+            start += 1
+        value = text[start:end]
+        if end - start < 6 or ADDRESS.match(value):
+            return None
+        letters = [c for c in value if c.isalpha()]
+        plain = all(w.islower() or w.isupper() or w.istitle() for w in re.split(r"[^A-Za-z]+", value) if w)
+        signs = any(not c.isalnum() and c not in JOINTS for c in value)
+        if not letters or not (signs or not plain or any(c.isdigit() for c in value)):
+            return None
+        return (start, end) if self.guesses(value) >= GUESSES else None
+
+
+def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    shape, counts = re.compile(rb"[a-z]{%d,%d}" % LETTERS), Counter()
+
+    def flat() -> pa.RecordBatch:
+        return pa.record_batch([pa.array([w.decode() for w in counts], pa.string()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
+
+    for whole in batches:
+        for batch in common.by_bytes(whole, "text"):
+            for text in common.utf8(batch.column(0)):
+                counts.update(w for w in set(text.lower().translate(None, b".,;:!?\"'()").split()) if shape.fullmatch(w))
+            if len(counts) > 200_000:
+                yield flat()
+                counts.clear()
+    yield flat()
+
+
+def lexicon(docs: DataFrame, most: int = MOST, least: int = LEAST) -> tuple[str, ...]:
+    """The words (a to z, 3 to 20 letters) that most documents have, `least` of them at least; `most` words at most.
+
+    All documents are counted. Only the words above a number of documents that fewer than `most` words reach go to the driver.
+    """
+    counts = common.stored(docs.select(F.col("text").cast("string").alias("text")).mapInArrow(_word_counts, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= least))
+    step = F.floor(8 * F.log2(F.col("n").cast("double")))  # eight steps for each doubling
+    levels, total, cut = counts.groupBy(step.alias("step")).count().orderBy(F.desc("step")).collect(), 0, None
+    for level in levels:
+        total += level["count"]
+        if total > most:
+            break
+        cut = level["step"]
+    if cut is None:
+        return ()
+    found = counts.where(step >= cut).collect()
+    return tuple(r["word"] for r in sorted(found, key=lambda r: (-r["n"], r["word"])))
+
+
+_fixed = Guesser()
+
+
+def scan(text: str, guesser: Guesser = _fixed) -> list[tuple[int, int, int]]:
     """(start, kind as a place in KINDS, end) of all secrets, in order; offsets are code points, ends exclusive."""
     found = [(m.start(), 1, m.end()) for m in ACCESS.finditer(text)] + [(m.start(), 2, m.end()) for m in HEX.finditer(text)]
     low = text.lower()
     if any(m in low for m in MARKS):
         found += [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 12]
-        found += [(*m.span(1)[:1], 3, m.end(1)) for m in CONTEXT.finditer(text) if guesses(m[1]) >= GUESSES]
+        found += [(at[0], 3, at[1]) for m in CONTEXT.finditer(text) if (at := guesser.secret(text, *m.span(1)))]
     return sorted(found)
 
 
@@ -116,42 +203,49 @@ def spelled(spans: list[tuple[int, int, int]]) -> str:
 _KINDS = "doc_id long, n_assign long, n_access long, n_hex long, n_guess long, base_sha256 string, spans string"
 
 
-def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _scan(words: tuple[str, ...]):
     schema = pa.schema([("doc_id", pa.int64()), *((f"n_{k}", pa.int64()) for k in KINDS), ("base_sha256", pa.string()), ("spans", pa.string())])
-    for whole in batches:
-        for batch in common.by_bytes(whole, "text"):
-            all_ = [scan(t) for t in common.strings(batch.column(1))]
-            base = [hashlib.sha256(spelled([x for x in s if x[1] < 3]).encode()).hexdigest() for s in all_]
-            counts = {f"n_{name}": [sum(x[1] == k for x in s) for s in all_] for k, name in enumerate(KINDS)}
-            yield common.emit({"doc_id": batch.column(0), **counts, "base_sha256": base, "spans": [spelled(s) for s in all_]}, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        guesser = Guesser(words)
+        for whole in batches:
+            for batch in common.by_bytes(whole, "text"):
+                all_ = [scan(t, guesser) for t in common.strings(batch.column(1))]
+                base = [hashlib.sha256(spelled([x for x in s if x[1] < 3]).encode()).hexdigest() for s in all_]
+                counts = {f"n_{name}": [sum(x[1] == k for x in s) for s in all_] for k, name in enumerate(KINDS)}
+                yield common.emit({"doc_id": batch.column(0), **counts, "base_sha256": base, "spans": [spelled(s) for s in all_]}, schema)
+
+    return run
 
 
-def find_secrets(docs: DataFrame) -> DataFrame:
+def find_secrets(docs: DataFrame, words: tuple[str, ...] | None = None) -> DataFrame:
     """(doc_id, n_assign, n_access, n_hex, n_guess, base_sha256, spans) of every row's whole text.
 
-    Null counts as empty: no spans. Null doc_ids and repeated rows stay; an empty table gives no rows; other columns are
-    ignored.
+    `words` are those that make a value easy to guess, the most frequent first; by default the `lexicon` of `docs`. Null counts
+    as empty: no spans. Null doc_ids and repeated rows stay; an empty table gives no rows; other columns are ignored.
     """
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_scan, _KINDS)
+    known = lexicon(docs) if words is None else words
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_scan(known), _KINDS)
 
 
-def masked(text: str, mask: str = "[SECRET]") -> str:
+def masked(text: str, guesser: Guesser = _fixed, mask: str = "[SECRET]") -> str:
     """The text with each stretch of overlapping secrets replaced."""
     out, at, end = [], 0, -1
-    for a, _, b in scan(text):
+    for a, _, b in scan(text, guesser):
         if a >= end:
             out += [text[at:a], mask]
         end = at = max(end, b)
     return "".join([*out, text[at:]])
 
 
-def _mask(names: list[str]):
+def _mask(names: list[str], words: tuple[str, ...]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        guesser = Guesser(words)
         for whole in batches:
             for batch in common.by_bytes(whole, "text"):
                 at = names.index("text")
                 texts = batch.column(at).to_pylist()
-                new = [t if t is None else masked(t) for t in texts]
+                new = [t if t is None else masked(t, guesser) for t in texts]
                 columns = list(batch.columns)
                 columns[at] = pa.array(new, batch.schema.field(at).type)
                 if "n_chars" in names:
@@ -163,6 +257,6 @@ def _mask(names: list[str]):
     return run
 
 
-def mask_secrets(docs: DataFrame) -> DataFrame:
+def mask_secrets(docs: DataFrame, words: tuple[str, ...] | None = None) -> DataFrame:
     """All rows and columns of `docs`, each secret in `text` replaced by [SECRET]; n_chars follows where the text changed."""
-    return docs.mapInArrow(_mask(docs.columns), docs.schema)
+    return docs.mapInArrow(_mask(docs.columns, lexicon(docs) if words is None else words), docs.schema)
