@@ -15,12 +15,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import common
+from . import common, passages
 
 #: Shingles hashed at a time.
 CHUNK = 1 << 16
 #: Runs of one key up to this length are compared pair by pair; longer ones are linked through a spanning forest.
 PAIRS = 8
+#: Rows of one key that a task holds; of a key with more the fingerprints meet under finer keys.
+LARGE = 1 << 16
 
 
 def fingerprint(features: list[bytes], seed: int = 42) -> int:
@@ -60,7 +62,7 @@ def _fingerprints(n: int, seed: int = 42):
                     out.append(known[text])
                 yield common.emit({"doc_id": batch.column(0), "fp": out}, schema)
 
-    return run
+    return common.lean(run)
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = 42) -> DataFrame:
@@ -100,7 +102,7 @@ def _variants(bits: int):
                             keys[at + i] ^= np.uint64(xxhash.xxh64_intdigest(bytes([i]), 42))
                 yield common.emit({"key": pa.array(keys.ravel().view(np.int64)), "fp": pa.array(np.tile(fp, 64).view(np.int64))}, schema)
 
-    return run
+    return common.lean(run)
 
 
 def spanning(fp: np.ndarray, bits: int) -> list[tuple[int, int]]:
@@ -120,13 +122,68 @@ def spanning(fp: np.ndarray, bits: int) -> list[tuple[int, int]]:
     return edges
 
 
-def _links(bits: int, pairs: int):
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+def _finer(key: int, fp: np.ndarray, bits: int) -> np.ndarray:
+    """(bits + 1, fingerprint): keys of which two fingerprints of one key within `bits` bits share one at least.
 
+    The bits outside the key's segment are cut into as many parts: one of them is the same in both.
+    """
+    place = key >> 56 & 63
+    at, width = next((a, w) for a, w in segments(bits) if a <= place < a + w)
+    rest = np.array([i for i in range(64) if not at <= i < at + width], np.uint64)
+    out = np.empty((bits + 1, len(fp)), np.uint64)
+    for k, part in enumerate(np.array_split(rest, bits + 1)):
+        mask = np.uint64(sum(1 << int(i) for i in part))
+        salt = np.uint64(xxhash.xxh64_intdigest(f"{key} {k}".encode(), 42))
+        out[k] = passages.mix((fp & mask) ^ salt, 3)
+    return out
+
+
+#: Of a row: kind 0 is a link (a, b), kind 1 a fingerprint b under the finer key a.
+_FOUND = pa.schema([("kind", pa.int32()), ("a", pa.int64()), ("b", pa.int64())])
+
+
+def _bounded_runs(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[bool, pa.RecordBatch]]:
+    """(whether it is part of a key with more than `most` rows, or a batch more, rows): other rows come in whole runs of their key."""
+    held: list[pa.RecordBatch] = []  # rows of the last key so far
+    large = None
+    whole = lambda parts: pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+    for batch in batches:
+        keys = batch.column(0).to_numpy()
+        if large is not None and len(keys):
+            others = np.flatnonzero(keys != large)
+            lead = int(others[0]) if len(others) else len(keys)
+            if lead:
+                yield True, batch.slice(0, lead)
+            batch, keys = batch.slice(lead), keys[lead:]
+        if not len(keys):
+            continue
+        large = None
+        others = np.flatnonzero(keys != keys[-1])
+        last = int(others[-1]) + 1 if len(others) else 0
+        if not last and (not held or held[0].column(0)[0].as_py() == keys[0]):
+            held.append(batch)
+        else:
+            if done := [*held, batch.slice(0, last)] if last else held:
+                yield False, whole(done)
+            held = [batch.slice(last)]
+        if sum(x.num_rows for x in held) > most:
+            for x in held:
+                yield True, x
+            held, large = [], keys[-1]
+    if held:
+        yield False, whole(held)
+
+
+def _links(bits: int, pairs: int, most: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in common.runs(batches, "key"):
+        runs = _bounded_runs(batches, most) if most else ((False, x) for x in common.runs(batches, "key"))
+        for large, batch in runs:
             key = batch.column(0).to_numpy()
             fp = batch.column(1).to_numpy().view(np.uint64)
+            if large:
+                finer = _finer(int(key[0]) & (2**64 - 1), fp, bits)
+                yield common.emit({"kind": pa.array(np.ones(finer.size, np.int32)), "a": pa.array(finer.ravel().view(np.int64)), "b": pa.array(np.tile(fp, bits + 1).view(np.int64))}, _FOUND)
+                continue
             starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
             sizes = np.diff(np.r_[starts, len(key)])
             a, b = [], []
@@ -142,20 +199,27 @@ def _links(bits: int, pairs: int):
                     a.append(run_fp[found[:, 0]])
                     b.append(run_fp[found[:, 1]])
             if a and len(both := np.unique(np.c_[np.concatenate(a), np.concatenate(b)], axis=0)):
-                yield common.emit({"a": pa.array(both[:, 0].copy().view(np.int64)), "b": pa.array(both[:, 1].copy().view(np.int64))}, schema)
+                yield common.emit({"kind": pa.array(np.zeros(len(both), np.int32)), "a": pa.array(both[:, 0].copy().view(np.int64)), "b": pa.array(both[:, 1].copy().view(np.int64))}, _FOUND)
 
-    return run
+    return common.lean(run)
 
 
 def links(fps: DataFrame, bits: int = 2, pairs: int = PAIRS) -> DataFrame:
     """(a, b): links between distinct fingerprints `fp` at `bits` or fewer differing bits.
 
     All linked pairs that share a key with fewer than `pairs` others are there; of larger groups a spanning forest, so
-    the components are those of all pairs. Rows: 64 keys for each distinct fingerprint, in one shuffle.
+    the components are those of all pairs. Rows: 64 keys for each distinct fingerprint, in one shuffle. Fingerprints of a key
+    that more than LARGE of them have are dealt anew by finer keys, so that no task holds them all.
     """
     index = fps.where("fp is not null").select("fp").distinct().mapInArrow(_variants(bits), "key long, fp long")
     ordered = index.repartition("key").sortWithinPartitions("key", "fp")
-    return ordered.mapInArrow(_links(bits, pairs), "a long, b long").distinct()
+    shape = "kind int, a long, b long"
+    first = common.stored(ordered.mapInArrow(_links(bits, pairs, LARGE), shape))
+    finer = first.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("fp"))
+    out = first.where("kind = 0")
+    if not finer.isEmpty():
+        out = out.union(finer.repartition("key").sortWithinPartitions("key", "fp").mapInArrow(_links(bits, pairs, None), shape))
+    return out.select("a", "b").distinct()
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, bits: int = 2) -> DataFrame:

@@ -1,5 +1,6 @@
 import random
 
+import pytest
 import xxhash
 
 from noticeflow.llm import simhash
@@ -39,7 +40,9 @@ def test_against_brute_force(spark):
     assert sorted(((x.doc_id, x.fingerprint, x.component_id) for x in got.collect()), key=repr) == brute(rows)
 
 
-def test_links_find_all_components_of_a_large_group(spark):
+@pytest.mark.parametrize("large", [simhash.LARGE, 3])
+def test_links_find_all_components_of_a_large_group(spark, monkeypatch, large):
+    monkeypatch.setattr(simhash, "LARGE", large)
     r = random.Random(5)
     centre = r.getrandbits(64)
     fps = {centre}
