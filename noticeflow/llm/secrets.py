@@ -148,6 +148,7 @@ class Guesser:
         return (start, end) if self.guesses(value) >= GUESSES else None
 
 
+@common.lean
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     shape, counts = re.compile(rb"[a-z]{%d,%d}" % LETTERS), Counter()
 
@@ -158,7 +159,7 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.by_bytes(whole, "text"):
             for text in common.utf8(batch.column(0)):
                 counts.update(w for w in set(text.lower().translate(None, b".,;:!?\"'()").split()) if shape.fullmatch(w))
-            if len(counts) > 200_000:
+            if len(counts) > 50_000:
                 yield flat()
                 counts.clear()
     yield flat()
@@ -215,7 +216,7 @@ def _scan(words: tuple[str, ...]):
                 counts = {f"n_{name}": [sum(x[1] == k for x in s) for s in all_] for k, name in enumerate(KINDS)}
                 yield common.emit({"doc_id": batch.column(0), **counts, "base_sha256": base, "spans": [spelled(s) for s in all_]}, schema)
 
-    return run
+    return common.lean(run)
 
 
 def find_secrets(docs: DataFrame, words: tuple[str, ...] | None = None) -> DataFrame:
@@ -254,7 +255,7 @@ def _mask(names: list[str], words: tuple[str, ...]):
                     columns[k] = pa.array([n if t == o else len(t) for n, t, o in zip(old, new, texts, strict=True)], batch.schema.field(k).type)
                 yield pa.record_batch(columns, schema=batch.schema)
 
-    return run
+    return common.lean(run)
 
 
 def mask_secrets(docs: DataFrame, words: tuple[str, ...] | None = None) -> DataFrame:

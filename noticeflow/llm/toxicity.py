@@ -30,7 +30,7 @@ QUOTES = "\"“”„«»‘’"
 FUZZY, STEMS = 5, (4, 5, 6, 7, 8)
 FEATURES = ("hits", "fuzzy", "quoted", "addressed", "weight", "distinct", "share")
 #: Distinct words whose hits a worker keeps.
-KEPT = 200_000
+KEPT = 100_000
 
 
 class Automaton:
@@ -170,6 +170,7 @@ def features(text: str, terms: dict[str, float], automaton: Automaton) -> list[f
     return [np.log1p(exact), np.log1p(fuzzy), quoted / len(hits), addressed / len(hits), np.log1p(weight), np.log1p(len({t for _, (t, _) in hits})), np.log1p(100 * len(hits) / len(words))]
 
 
+@common.lean
 def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: Counter = Counter()
     for batch in batches:
@@ -177,7 +178,7 @@ def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words = {w for w in WORDS.findall(text.lower()) if len(w) > 2 and not w.isdigit()}
             own = words | {w[:n] + "*" for w in words for n in STEMS if len(w) > n}
             counts.update((t, toxic) for t in own)
-        if len(counts) > 2_000_000:
+        if len(counts) > 300_000:
             yield _flat(counts)
             counts.clear()
     yield _flat(counts)
@@ -250,7 +251,7 @@ def _sampled(lexicon: dict[str, float], forms: dict[str, str]):
             x = [features(t, lexicon, automaton) for t in common.strings(batch.column(0))]
             yield pa.record_batch([pa.array(x, pa.list_(pa.float64())), batch.column(1)], names=["x", "toxic"])
 
-    return run
+    return common.lean(run)
 
 
 def _logistic(lexicon: dict[str, float], x: np.ndarray, y: np.ndarray) -> Model:
@@ -286,7 +287,7 @@ def _scores(model: Model, keep: float | None):
                 else:
                     yield batch.filter(pa.array(score < keep))
 
-    return run
+    return common.lean(run)
 
 
 def score(docs: DataFrame, model: Model, threshold: float = 0.7) -> DataFrame:
