@@ -20,8 +20,9 @@ from . import common
 
 #: Candidates and queries in a block, and bytes of candidates that a task holds: bounds of its memory.
 BLOCK, QUERIES, HELD = 4096, 512, 64 << 20
-#: The share of each list that is read at a time, and the share of a block that may be left to resolve.
-STEP, FEW = 1 / 16, 0.1
+#: The share of each list that is read first, where nothing tells how far to read, and at a time after, and the share of a block
+#: that may be left to resolve.
+FIRST, STEP, FEW = 0.3, 1 / 12, 0.15
 #: Stands for a null vec_id, which is the last among equal scores.
 NONE = 2**63 - 1
 
@@ -104,6 +105,13 @@ class Reading:
         self.at = b
         self.ahead = self.row(min(b, self.n - 1))
 
+    def depth(self, low: float, step: int) -> int:
+        """How far to read, in whole steps, until no outsider reaches `low`; the lists' values alone tell it."""
+        at = np.arange(step, self.n, step)
+        sums = sum((self.lists.sorted[self.n - 1 - at if top else at][:, c] @ q for c, top, q in self.sides), np.zeros(len(at)))
+        enough = np.flatnonzero(sums < low)
+        return int(at[enough[0]]) if len(enough) else self.n
+
     def outsider(self) -> float:
         """What a candidate that no list has shown yet can have at most."""
         return float(self.ahead.sum()) if self.at < self.n else -np.inf
@@ -128,7 +136,10 @@ def search(lists: Lists, query: np.ndarray, own: int | None, k: int, floor: floa
     step = max(1, int(np.ceil(n * STEP)))
     left: np.ndarray | None = None
     while reading.at < n and len(reading.q):
-        reading.on(step)
+        if reading.at:
+            reading.on(step)
+        else:
+            reading.on(max(step, int(n * FIRST)) if floor == -np.inf else reading.depth(floor, step))
         low = floor
         if low == -np.inf:
             lower = reading.lower()[others]
@@ -196,7 +207,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: int = 256)
     asked = queries.select(*pick)
     packed = common.stored(asked.repartition(max(1, -(-asked.count() // QUERIES))).mapInArrow(_pack(QUERIES, scale), PACKED))
     shape = cand.agg(F.count("*").alias("blocks"), F.sum(F.octet_length("values")).alias("bytes")).first()
-    groups = max(1, -(-(shape["bytes"] or 0) // HELD), min(shape["blocks"], 2 * spark.sparkContext.defaultParallelism))
+    groups = max(1, -(-(shape["bytes"] or 0) // HELD), min(shape["blocks"], spark.sparkContext.defaultParallelism))
     there = common.numbered(cand.withColumn("one", F.lit(0).cast("long")), "one", "nr").withColumn("grp", F.pmod("nr", F.lit(groups))).drop("one", "nr")
     there = common.stored(there)
     names = there.select("grp", "dim").distinct()
