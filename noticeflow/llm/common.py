@@ -227,13 +227,15 @@ def numbered(df: DataFrame, group: str, name: str) -> DataFrame:
 CENTRE, CENTRES = 1000, 40_000
 
 
-def _with_least(rows: DataFrame, least: DataFrame, edges: int) -> DataFrame:
+def _with_least(rows: DataFrame, least: DataFrame, edges: int, most: int) -> DataFrame:
     """rows (u, v) with the m of their u from least (u, m, n), n being the edges of u.
 
     The edges of a centre would meet in one task: its m goes to where they lie. Centres have so many edges that there can't
-    be more than CENTRES of them, which bounds what is broadcast.
+    be more than CENTRES of them, which bounds what is broadcast. No node has more than `most` edges.
     """
     many = max(CENTRE, 2 * edges // CENTRES)
+    if most <= many:
+        return rows.join(least.select("u", "m"), "u").select("u", "v", "m")
     centres = F.broadcast(least.where(F.col("n") > many).select("u", F.col("m").alias("cm")))
     marked = rows.join(centres, "u", "left")
     others = marked.where("cm is null").select("u", "v").join(least.where(F.col("n") <= many).select("u", "m"), "u")
@@ -258,9 +260,9 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
             break
         both = now.df.union(now.df.select("v", "u"))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("n"))
-        large = _with_least(both.where("v > u"), least, 2 * seen[0]).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = _with_least(both.where("v > u"), least, *seen[::2]).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
-        small = _with_least(large, low, 2 * seen[0])
+        small = _with_least(large, low, *seen[::2])  # no node has more edges to lower ones than it had before
         after = Stored(
             small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
             .union(low.select("u", F.col("m").alias("v")))
@@ -279,8 +281,12 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     return found.union(roots).select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
-def _state(df: DataFrame) -> tuple:
-    return tuple(df.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+def _state(df: DataFrame) -> tuple[int, int, int]:
+    """Twice the number of edges, a hash of them all, and the most edges of a node."""
+    ends = df.select("u", F.xxhash64("u", "v").alias("h")).union(df.select("v", F.lit(0).cast("long")))
+    each = ends.groupBy("u").agg(F.count("*").alias("n"), F.bit_xor("h").alias("h"))
+    n, h, most = each.agg(F.sum("n"), F.bit_xor("h"), F.max("n")).first()
+    return n or 0, h or 0, most or 0
 
 
 #: Texts whose 64-bit hash another text has as well: at 10^10 texts a handful are to be expected.
