@@ -44,7 +44,7 @@ def has_any(text: Column, words: Sequence[str]) -> Column:
 
 
 def matches(text: Column, rule: rules.Rule) -> Column:
-    return F.coalesce(text.rlike(rules.FLAGS + rule.pattern), F.lit(False))
+    return F.coalesce(text.rlike(rules.java(rule.pattern)), F.lit(False))
 
 
 def first_match(text: Column, ordered: Sequence[rules.Rule]) -> Column:
@@ -83,6 +83,16 @@ def contact(html: Column) -> Column:
     return F.when(F.size(found) > 0, F.element_at(found, -1)).otherwise(F.lit("null"))
 
 
+#: Words before the name of a person to ask, and the name.
+CONTACT = r"(?:联\s*系\s*人|联系人姓名|经办人)\s*(?:及电话|及联系方式)?\s*[:：]?\s*([\p{IsHan}]{2,4}(?:老师|先生|女士|主任|经理)?)"
+
+
+def contact_name(html: Column) -> Column:
+    """The last name that a page gives of a person to ask, or the string null."""
+    found = F.regexp_extract_all(html_text(html), F.lit(CONTACT), 1)
+    return F.when(F.size(found) > 0, F.element_at(found, -1)).otherwise(F.lit("null"))
+
+
 def record_id(day: Column, key: Column) -> Column:
     """T, the day as yyyyMMdd, and six characters without 0, O, 1 and I drawn from the key's SHA-256."""
     letters = F.lit("ABCDEFGHJKLMNPQRSTUVWXYZ23456789")

@@ -27,7 +27,7 @@ def _encoded(c: Column) -> Column:
 def normalize_url(raw: Column, keys: tuple[str, ...] = rules.TRACKING_KEYS, prefix: str = rules.TRACKING_PREFIX) -> Column:
     """Scheme and host in lower case, no fragment, no trailing slashes, no tracking parameters; blank values and order stay.
 
-    A null counts as an empty URL, which becomes /.
+    A null counts as an empty URL, which becomes /. A URL whose host is none only loses its trailing slashes.
     """
     url = strip(F.coalesce(raw, F.lit("")))
     part = lambda i: F.regexp_extract(url, _PARTS, i)
@@ -43,12 +43,15 @@ def normalize_url(raw: Column, keys: tuple[str, ...] = rules.TRACKING_KEYS, pref
     )
     kept = F.filter(pairs, lambda p: ~F.lower(p["k"]).isin(*keys) & ~F.startswith(F.lower(p["k"]), F.lit(prefix)))
     text = F.array_join(F.transform(kept, lambda p: F.concat(_encoded(p["k"]), F.lit("="), _encoded(p["v"]))), "&")
-    return F.concat(
+    whole = F.concat(
         F.when(scheme != "", F.concat(scheme, F.lit(":"))).otherwise(F.lit("")),
         F.when(host != "", F.concat(F.lit("//"), host)).otherwise(F.lit("")),
         F.when((host != "") & ~F.startswith(path, F.lit("/")), F.concat(F.lit("/"), path)).otherwise(path),
         F.when(text != "", F.concat(F.lit("?"), text)).otherwise(F.lit("")),
     )
+    # A host with one square bracket, or with something else than an address in a pair of them, is none.
+    broken = host.rlike(r"^[^\[\]]*[\[\]][^\[\]]*$|\][^\[]*\[") | (F.contains(host, F.lit("[")) & ~host.rlike(r"^([^@]*@)?\[([0-9a-f:.]+|v[0-9a-f]+\..+)\](:\d*)?$"))
+    return F.when(broken, F.regexp_replace(url, "/+$", "")).otherwise(whole)
 
 
 def is_http(c: Column) -> Column:

@@ -24,6 +24,23 @@ def kind(v: Column, key: str) -> Column:
     )
 
 
+def bound(value: Column, use) -> Column:
+    """use(value) with the value worked out once, however often it stands in the result."""
+    return F.transform(F.array(value), use)[0]
+
+
+def kinds(v: Column) -> Column:
+    """A map from the keys of an object to the kinds of their values: as `kind`, and EMPTY for an empty string."""
+
+    def of(x: Column) -> Column:
+        return bound(F.schema_of_variant(x), lambda k: (
+            F.when((k == "STRING") & (F.try_variant_get(x, "$", "string") == ""), F.lit("EMPTY")).when(k.isin("VOID", "BOOLEAN", "STRING"), k)
+            .when(k.rlike("^(OBJECT|ARRAY)"), F.lit("NESTED")).otherwise(F.lit("NUMBER"))
+        ))
+
+    return F.transform_values(F.try_variant_get(v, "$", "map<string,variant>"), lambda _, x: of(x))
+
+
 def text(v: Column, key: str) -> Column:
     return F.try_variant_get(v, f"$['{key}']", "string")
 

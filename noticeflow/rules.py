@@ -8,6 +8,15 @@ from dataclasses import dataclass
 FLAGS = "(?iuUd)"
 
 
+#: A word boundary by letters, digits and underscore of any script, whatever the Java version takes for \b.
+BOUNDARY = r"(?:(?<=[\p{L}\p{N}_])(?![\p{L}\p{N}_])|(?<![\p{L}\p{N}_])(?=[\p{L}\p{N}_]))"
+
+
+def java(pattern: str) -> str:
+    """A pattern as Java is to read it."""
+    return FLAGS + pattern.replace(r"\b", BOUNDARY)
+
+
 @dataclass(frozen=True)
 class Rule:
     """A named pattern; of an exclusion the pattern is the name."""
@@ -16,11 +25,6 @@ class Rule:
     pattern: str
 
 
-def _word(text: str) -> str:
-    """A word as such, also next to Han characters' boundaries, whatever the Java version takes for a boundary."""
-    return rf"(?<![\p{{L}}\p{{N}}_]){text}(?![\p{{L}}\p{{N}}_])"
-
-
 # Enumerations, field orders, word lists and patterns of the data model.
 MODES = ("daily-push", "search-only", "verify-only", "report-only", "update-only")
 DECISIONS = ("create", "update", "exclude", "manual")
@@ -81,16 +85,15 @@ EXCLUSIONS = tuple(
         "行业报告|市场分析|操作指南|使用说明|招聘公告", "会议通知|培训通知|展会通知",
     )
 )
-_CLIA, _NEAR, _CONTROL = "化学发光", "(?:免疫|分析仪|试剂|检测)", "(?:质控品|校准品)"
 SIGNALS = (
     Rule("过敏原sIgE试剂", r"过敏原|过敏源|变应原|特异性\s*IgE|sIgE"),
     Rule("总IgE试剂", r"总\s*IgE|tIgE"),
-    Rule("自身抗体/自身免疫试剂", rf"自身抗体|自身免疫|抗核抗体|{_word('ANA')}|{_word('ENA')}|双链\s*DNA|dsDNA|{_word('ANCA')}"),
-    Rule("酶联免疫(ELISA)试剂", f"酶联免疫|{_word('ELISA')}"),
-    Rule("化学发光免疫", f"{_CLIA}.{{0,8}}{_NEAR}|{_NEAR}.{{0,8}}{_CLIA}|发光免疫"),
-    Rule("免疫荧光/免疫印迹", "免疫荧光|免疫印迹"),
-    Rule("免疫质控品/校准品", f"免疫.{{0,8}}{_CONTROL}|{_CONTROL}.{{0,8}}免疫"),
-    Rule("免疫分析仪器", "化学发光免疫分析仪|免疫分析仪|全自动酶免|酶免工作站|酶免仪|酶标仪|洗板机"),
+    Rule("自身抗体/自身免疫试剂", r"自身抗体|自身免疫|抗核抗体|\bANA\b|\bENA\b|双链\s*DNA|dsDNA|\bANCA\b"),
+    Rule("酶联免疫(ELISA)试剂", r"酶联免疫|\bELISA\b"),
+    Rule("化学发光免疫", r"化学发光.{0,8}(?:免疫|分析仪|试剂|检测)|(?:免疫|分析仪|试剂|检测).{0,8}化学发光|发光免疫"),
+    Rule("免疫荧光/免疫印迹", r"免疫荧光|免疫印迹|免疫印迹仪"),
+    Rule("免疫质控品/校准品", r"免疫.{0,8}(?:质控品|校准品)|(?:质控品|校准品).{0,8}免疫"),
+    Rule("免疫分析仪器", r"化学发光免疫分析仪|免疫分析仪|全自动酶免|酶免工作站|酶免仪|酶标仪|洗板机"),
 )
 SIGNAL_CATEGORIES = {
     "过敏原sIgE试剂": ("过敏原sIgE试剂",),
@@ -107,6 +110,8 @@ METHOD_WORDS = (
     "30T/盒", "微流控化学发光法", "量子点免疫", "流式荧光", "干式荧光", "磁条码免疫荧光", "综合22项", "斑点酶", "荧光免疫法", "间接免疫荧光法（IIF）",
     "蛋白芯片法", "时间分辨荧光免疫层析法", "免疫组化", "生物芯片", "免疫比浊法", "流式细胞仪", "免疫印迹",
 )
+#: Names under which anything may be bought.
+GENERIC_WORDS = ("试剂一批", "生物试剂盒")
 UNVERIFIED_WORDS = ("无法访问", "访问失败", "打不开", "未核实", "反爬", "登录墙")
 BY_HAND = "人工"
 INTEL_NOTICES = ("单一来源", "中标", "成交", "合同", "意向")

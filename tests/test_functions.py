@@ -66,16 +66,18 @@ def test_links_and_contacts(spark):
     page = F.lit("http://h.cn/p/q.html?x=1")
     assert column(spark, ["/a/b.pdf", "https://o.com/c", "d.zip", "//k.cn/z"], lambda c: U.absolute(c, page)) == ["http://h.cn/a/b.pdf", "https://o.com/c", "http://h.cn/p/d.zip", "http://k.cn/z"]
     assert column(spark, [html, "<p>none</p>"], T.contact) == ["0991-4881798", "null"]
+    assert column(spark, ["<td>联系人：</td><td>王小明</td><p>联 系 人: 李老师 0991-4881798</p>", "<p>none</p>"], T.contact_name) == ["李老师", "null"]
 
 
 def test_times(spark):
-    given = ["2026-08-19T10:30:00+08:00", "2026-08-19T10:30:00Z", "2026-08-19T10:30:00", "2026-08-19 10:30:00+0800", "yesterday", None]
-    assert [x is not None for x in column(spark, given, D.zoned)] == [True, True, False, True, False, False]
+    given = ["2026-08-19T10:30:00+08:00", "2026-08-19T10:30:00Z", "2026-08-19T10:30:00", "2026-08-19 10:30:00+0800", "20260819T103000+0800", "2026-08-19T10+08", "2026-13-19T10:30Z", "yesterday", None]
+    assert [x is not None for x in column(spark, given, D.zoned)] == [True, True, False, True, True, True, False, False, False]
     now = F.to_timestamp(F.lit("2026-08-19 08:00:00"))
     assert column(spark, ["2026-08-19T09:00", "2026-07-15T09:30", "null", "soon"], lambda c: D.overdue(F.lit("active"), c, now)) == [False, True, False, False]
     today = datetime.date(2026, 8, 18)
     assert D.time_range("7d", today) == "2026-08-11..2026-08-18" and D.time_range("none", today) is None and D.time_range("OneWeek", today) == "OneWeek"
-    for bad in ("2026-08-02..2026-08-01", "x"):
+    assert D.time_range(" 45d ", today) == "2026-07-04..2026-08-18" and D.time_range("2026-08-01..2026-08-10", today) == "2026-08-01..2026-08-10"
+    for bad in ("2026-08-02..2026-08-01", "x", "d", "-3d", "2026-08-01", "20260801..20260802", "2026-02-30..2026-03-01", "a..b..c"):
         with pytest.raises(ValueError):
             D.time_range(bad, today)
     assert column(spark, ["2019-001", "2026-1", "none"], lambda c: D.stale(c, F.lit("null"), F.lit("null"), now)) == [True, False, False]
