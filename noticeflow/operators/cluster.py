@@ -18,7 +18,7 @@ def cluster(candidates: DataFrame, short: int = SHORT) -> DataFrame:
     rows = candidates.groupBy(key.alias("cluster_key")).agg(
         F.min_by(F.struct(*candidates.columns), F.col("ord")).alias("first"),
         F.array_sort(F.collect_list(member)).alias("all"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("found_by_query")))).alias("queries"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("found_by_query")))).alias("queries"),
     )
     kept = [F.col(f"first.{c}").alias(c) for c in candidates.columns if c != "found_by_query"]
     return rows.select(

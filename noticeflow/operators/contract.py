@@ -56,12 +56,16 @@ def attachments(pages: DataFrame, types: Sequence[str] | None = rules.ATTACHMENT
     return full.withColumn("main", best)
 
 
-def best_category(matched: Column, order: Sequence[str] = rules.MATCHED_CATEGORIES) -> Column:
-    """(matched_category, category, match_level, others) from all matched categories: the first in `order`, others for notes."""
+def best_category(matched: Column, text: Column, order: Sequence[str] = rules.MATCHED_CATEGORIES, generic: Sequence[str] = rules.GENERIC_WORDS) -> Column:
+    """(matched_category, category, match_level, others) from all matched categories: the first in `order`, others for notes.
+
+    A product named as such makes the match full, or partial where the notice also buys under a generic name; without one the
+    level is unknown, whatever the generic name suggests.
+    """
     ranked = F.array_compact(F.array(*[F.when(F.array_contains(matched, c), F.lit(c)) for c in order]))
     top = F.when(F.size(ranked) > 0, ranked[0]).otherwise(F.lit("其他"))
     kinds = F.create_map(*[F.lit(x) for pair in rules.CATEGORY_OF.items() for x in pair])
-    level = F.when(F.size(ranked) == 0, "unknown").when(F.size(ranked) == 1, "full").otherwise("partial")
+    level = F.when(F.size(ranked) == 0, "unknown").when(T.has_any(text, generic), "partial").otherwise("full")
     return F.struct(top.alias("matched_category"), kinds[top].alias("category"), level.alias("match_level"), F.array_except(ranked, F.array(top)).alias("others"))
 
 

@@ -60,6 +60,11 @@ def redundancy(stats: DataFrame) -> DataFrame:
     return stats.withColumn("redundancy", F.when(F.col("raw") > 0, 1 - F.col("unique") / F.col("raw")))
 
 
+def contribution(stats: DataFrame) -> DataFrame:
+    """(query_no, contributes): whether a query found what no other did, by number."""
+    return stats.select("query_no", (F.col("unique") > 0).alias("contributes")).orderBy(F.col("query_no").cast("int"))
+
+
 def run_totals(hits: DataFrame, candidates: DataFrame, queries: DataFrame) -> DataFrame:
     """One row: queries that went well and failed, hits, candidates, and the share found by one query only."""
     failed = hits.where(F.coalesce(F.col("error"), F.lit("")) != "").agg(F.countDistinct("query_no").alias("query_failed"))

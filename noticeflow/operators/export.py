@@ -36,12 +36,21 @@ def counts(df: DataFrame, column: str, domain: Sequence[str]) -> DataFrame:
     return df.agg(*[F.count_if(F.col(column).eqNullSafe(F.lit(x))).alias(x) for x in domain])
 
 
-def summary(results: DataFrame) -> DataFrame:
-    """(part, n): how the run's results split, each part there, zero included."""
+def summary(results: DataFrame, stats: DataFrame | None = None, failures: DataFrame | None = None) -> DataFrame:
+    """(part, n): how the run's results split, each part there, zero included.
+
+    With `failures` (query_no) also the queries that failed, with `stats` (raw, unique, pushed) hits, candidates of one query
+    only and pushed ones.
+    """
     d, s = F.col("decision"), F.col("status")
     parts = {
         "active": (d == "create") & (s == "active"), "intel": (d == "create") & (s == "intel"), "pushed_manual": (d == "create") & (s == "manual"),
         "local_manual": d == "manual", "excluded": d == "exclude", "update": d == "update",
     }
     row = results.agg(*[F.count_if(F.coalesce(c, F.lit(False))).alias(p) for p, c in parts.items()])
-    return row.select(F.explode(F.map_from_arrays(F.array(*[F.lit(p) for p in parts]), F.array(*[F.col(p) for p in parts]))).alias("part", "n"))
+    if failures is not None:
+        row = row.crossJoin(failures.agg(F.countDistinct("query_no").alias("failed")))  # one row
+    if stats is not None:
+        row = row.crossJoin(stats.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(f"attribution_{c}") for c in ("raw", "unique", "pushed")]))  # one row
+    names = row.columns
+    return row.select(F.explode(F.map_from_arrays(F.array(*[F.lit(p) for p in names]), F.array(*[F.col(p) for p in names]))).alias("part", "n"))

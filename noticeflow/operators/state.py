@@ -47,6 +47,37 @@ def same_record(a: str, b: str) -> Column:
     return out
 
 
+def create_actions(creates: DataFrame, seen: DataFrame) -> DataFrame:
+    """(candidate_id, action) of records to be added: append; recovered where history has the same record, all 26 fields, and
+    pushed, and no other like it; conflict where it or another of `creates` has its record_id, dedup_key or URL."""
+    known = duplicates(creates, seen).groupBy("candidate_id").agg(F.count("*").alias("n"), F.min("seen_id").alias("seen_id"))
+    fields = F.struct(*rules.CREATE_FIELDS)
+    old = seen.groupBy(F.col("record_id").alias("seen_id")).agg(F.count("*").alias("rows"), F.first(fields).alias("old"), F.max(F.coalesce("pushed", F.lit(False))).alias("was_pushed"))
+    j = creates.select("candidate_id", fields.alias("new")).join(known, "candidate_id", "left").join(old, "seen_id", "left")
+    same = F.coalesce((F.col("n") == 1) & (F.col("rows") == 1) & F.col("was_pushed") & same_record("new", "old"), F.lit(False))
+    twice = _repeated(creates).withColumn("twice", F.lit(True))
+    action = F.when(F.col("twice") | F.col("n").isNotNull() & ~same, "conflict").when(same, "recovered").otherwise("append")
+    return j.join(twice, "candidate_id", "left").select("candidate_id", action.alias("action"))
+
+
+def _repeated(creates: DataFrame) -> DataFrame:
+    """(candidate_id) of records that share a record_id, dedup_key or URL with another."""
+    keys = {"k0": F.col("record_id"), "k1": dedup_key(F.col("project_code"), F.col("purchaser"), F.col("source_url")), "k2": normalize_url(F.col("source_url"))}
+    each = creates.select("candidate_id", F.explode(F.array(*[F.struct(F.lit(n).alias("n"), c.alias("k")) for n, c in keys.items()])).alias("x")).select("candidate_id", "x.n", "x.k")
+    shared = each.groupBy("n", "k").agg(F.min("candidate_id").alias("lo"), F.max("candidate_id").alias("hi")).where("lo <> hi")
+    return each.join(shared, ["n", "k"], "left_semi").select("candidate_id").distinct()
+
+
+def fold_updates(updates: DataFrame) -> DataFrame:
+    """One update for each record_id: the last by confirmed_at (where given) and candidate_id, with the queries of all."""
+    order = [c for c in ("confirmed_at", "candidate_id") if c in updates.columns]
+    fields = [c for c in updates.columns if c not in ("record_id", "found_by_query")]
+    return updates.groupBy("record_id").agg(
+        F.max_by(F.struct(*fields), F.struct(*[F.col(c).alias(f"o{k}") for k, c in enumerate(order or fields)])).alias("f"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set("found_by_query")))).alias("found_by_query"),
+    ).select("record_id", *[F.col(f"f.{c}").alias(c) for c in fields], "found_by_query")
+
+
 def check_receipts(receipts: DataFrame, payloads: DataFrame, mode: str) -> DataFrame:
     """Each receipt with its errors: payload known once, path and hash equal, HTTP 200 and code 0, flow sent in this mode."""
     known = payloads.groupBy("flow", "candidate_id").agg(F.count("*").alias("_n"), F.max("path").alias("_path"), F.max("sha256").alias("_sha"))
@@ -76,11 +107,13 @@ def append_ledger(ledger: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def upsert_seen(seen: DataFrame, creates: DataFrame, updates: DataFrame, day: str) -> DataFrame:
-    """History after a day's pushes. Creates are added unless their record_id is there; updates overwrite their 12 fields.
+    """History after a day's pushes. Creates are added; updates overwrite their 12 fields, one after the other.
 
-    Both carry found_by_query, which is united with what is known. Updates without a history row are left out; the caller
-    checks them before (`missing_targets`).
+    Both carry found_by_query, which is united with what is known. The caller checks before that creates are new
+    (`create_actions`) and that updates have a history row (`missing_targets`): those whose record_id is there, or isn't, are
+    left out here.
     """
+    updates = fold_updates(updates)
     changed = [f for f in rules.UPDATE_FIELDS if f not in ("record_id", "change_type")]
     u = updates.select("record_id", *[F.col(f).alias(f"_{f}") for f in changed], F.col("found_by_query").alias("_q"), F.lit(True).alias("_hit"))
     j = seen.join(u, "record_id", "left")

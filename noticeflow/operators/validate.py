@@ -30,26 +30,32 @@ def flat_record(json: Column, fields: Sequence[str], duplicates_ok: bool = False
 
     A text that doesn't parse (also one with a key twice) is one error.
     """
-    v = V.parsed(json)
-    found = V.keys(json)
-    missing, extra = F.array_sort(F.array_except(_set(fields), found)), F.array_sort(F.array_except(found, _set(fields)))
-    tests: list = [
-        (F.size(missing) > 0, F.concat(F.lit("missing: "), F.array_join(missing, ","))),
-        (F.size(extra) > 0, F.concat(F.lit("extra: "), F.array_join(extra, ","))),
-    ]
-    for f in fields:
-        k = V.kind(v, f)
-        want = "NUMBER" if f in rules.NUMBER_FIELDS else "BOOLEAN" if f in rules.BOOL_FIELDS else "STRING"
-        tests += [
-            (k == "VOID", f"{f}: null"), (k == "NESTED", f"{f}: nested"), (k.isNotNull() & (k != want), f"{f}: not a {want.lower()}"),
-            ((k == "STRING") & (V.text(v, f) == ""), f"{f}: empty string"),
+
+    def found(kinds: Column) -> Column:
+        keys = F.map_keys(kinds)
+        missing, extra = F.array_sort(F.array_except(_set(fields), keys)), F.array_sort(F.array_except(keys, _set(fields)))
+        tests: list = [
+            (F.size(missing) > 0, F.concat(F.lit("missing: "), F.array_join(missing, ","))),
+            (F.size(extra) > 0, F.concat(F.lit("extra: "), F.array_join(extra, ","))),
         ]
-    return F.when(V.is_object(v), errors(tests)).otherwise(F.array(F.lit("not an object")))
+        for f in fields:
+            k = F.try_element_at(kinds, F.lit(f))
+            want = "NUMBER" if f in rules.NUMBER_FIELDS else "BOOLEAN" if f in rules.BOOL_FIELDS else "STRING"
+            right = ("STRING", "EMPTY") if want == "STRING" else (want,)
+            tests += [
+                (k == "VOID", f"{f}: null"), (k == "NESTED", f"{f}: nested"), (~k.isin(*right), f"{f}: not a {want.lower()}"), (k == "EMPTY", f"{f}: empty string"),
+            ]
+        return F.when(kinds.isNull(), F.array(F.lit("not an object"))).otherwise(errors(tests))
+
+    return V.bound(V.kinds(V.parsed(json)), found)
 
 
 def evidence(json: Column, allow_search_content: Column) -> Column:
     """Errors of an evidence object: level, verified flag, time with zone, and texts for fields."""
-    v = V.parsed(json)
+    return V.bound(V.parsed(json), lambda v: _evidence(v, allow_search_content))
+
+
+def _evidence(v: Column, allow_search_content: Column) -> Column:
     verified = F.when(V.kind(v, "source_verified") == "BOOLEAN", F.try_variant_get(v, "$.source_verified", "boolean"))
     said = V.kind(v, "verification_level")
     level = F.when((said.isNull() | (said == "VOID")) & verified, F.lit("source")).when(said == "STRING", V.text(v, "verification_level"))
@@ -72,11 +78,19 @@ def evidence(json: Column, allow_search_content: Column) -> Column:
 
 def evidenced(json: Column, required: Column) -> Column:
     """An error naming the required fields that the evidence lacks."""
-    v = V.parsed(json)
+    return V.bound(V.parsed(json), lambda v: _evidenced(v, required))
+
+
+def _evidenced(v: Column, required: Column) -> Column:
     fields = F.coalesce(F.try_variant_get(v, "$.field_evidence", "map<string,string>"), F.create_map().cast("map<string,string>"))
     there = F.map_keys(F.map_filter(fields, lambda _, x: F.coalesce(x, F.lit("")) != ""))
-    missing = F.array_sort(F.array_except(required, there))
-    return F.when(F.size(missing) > 0, F.array(F.concat(F.lit("no evidence: "), F.array_join(missing, ",")))).otherwise(F.array().cast("array<string>"))
+    none = F.array().cast("array<string>")
+    return V.bound(F.array_sort(F.array_except(required, there)), lambda missing: F.when(F.size(missing) > 0, F.array(F.concat(F.lit("no evidence: "), F.array_join(missing, ",")))).otherwise(none))
+
+
+def _read(json: Column, proof: Column, fields: Sequence[str], use) -> Column:
+    """use(record, evidence, errors of the record's fields), each worked out once."""
+    return V.bound(F.struct(V.parsed(json).alias("v"), V.parsed(proof).alias("e"), flat_record(json, fields).alias("flat")), lambda b: use(b["v"], b["e"], b["flat"]))
 
 
 def _common(v: Column, regions: Sequence[str] | None, status: Sequence[str]) -> list:
@@ -89,7 +103,10 @@ def _common(v: Column, regions: Sequence[str] | None, status: Sequence[str]) ->
 
 def create_record(json: Column, proof: Column) -> Column:
     """Errors of a record to be created, with its evidence; if its fields are wrong, only those and the evidence's errors."""
-    v = V.parsed(json)
+    return _read(json, proof, rules.CREATE_FIELDS, _create)
+
+
+def _create(v: Column, proof: Column, flat: Column) -> Column:
     t = lambda f: V.text(v, f)
     active, manual = t("status") == "active", t("status") == "manual"
     vague = ~t("match_level").isin("full", "partial")
@@ -107,14 +124,16 @@ def create_record(json: Column, proof: Column) -> Column:
         *[F.lit(x) for x in ("title", "purchaser", "source_url", "matched_category")], F.when(active, F.lit("deadline")),
         F.when(V.number(v, "budget") > 0, F.lit("budget")), *[F.when(t(f) != "null", F.lit(f)) for f in ("contact", "attachment")],
     ))
-    flat = flat_record(json, rules.CREATE_FIELDS)
-    good = F.concat(errors(tests), evidence(proof, F.coalesce(manual, F.lit(False))), evidenced(proof, required))
-    return F.when(F.size(flat) > 0, F.concat(flat, evidence(proof, F.lit(False)))).otherwise(good)
+    good = F.concat(errors(tests), _evidence(proof, F.coalesce(manual, F.lit(False))), _evidenced(proof, required))
+    return F.when(F.size(flat) > 0, F.concat(flat, _evidence(proof, F.lit(False)))).otherwise(good)
 
 
 def update_record(json: Column, proof: Column) -> Column:
     """Errors of an update record, with its evidence."""
-    v = V.parsed(json)
+    return _read(json, proof, rules.UPDATE_FIELDS, _update)
+
+
+def _update(v: Column, proof: Column, flat: Column) -> Column:
     t = lambda f: V.text(v, f)
     change = t("change_type")
     tests = [*_common(v, None, rules.UPDATE_STATUSES), (~change.isin(*rules.CHANGE_TYPES), "change_type")]
@@ -123,9 +142,8 @@ def update_record(json: Column, proof: Column) -> Column:
         *[F.lit(x) for x in ("source_url", "notice_type", "publish_date")], F.when(turned, F.lit("status")), F.when(turned & (t("winner") != "null"), F.lit("winner")),
         F.when(turned & (V.number(v, "award_amount") > 0), F.lit("award_amount")), F.when(change == "deadline_change", F.lit("deadline")),
     ))
-    flat = flat_record(json, rules.UPDATE_FIELDS)
-    good = F.concat(errors(tests), evidence(proof, F.lit(False)), evidenced(proof, required))
-    return F.when(F.size(flat) > 0, F.concat(flat, evidence(proof, F.lit(False)))).otherwise(good)
+    good = F.concat(errors(tests), _evidence(proof, F.lit(False)), _evidenced(proof, required))
+    return F.when(F.size(flat) > 0, F.concat(flat, _evidence(proof, F.lit(False)))).otherwise(good)
 
 
 def payload_file(flow: str, json: Column) -> Column:
@@ -139,10 +157,14 @@ def payload_file(flow: str, json: Column) -> Column:
 
 def structure(json: Column, fields: Sequence[str]) -> Column:
     """The sender's check: an object, no nulls or nesting, exactly these fields (case counts)."""
-    v, found = V.parsed(json), V.keys(json)
-    tests: list = [(F.size(F.array_except(_set(fields), found)) > 0, "missing"), (F.size(F.array_except(found, _set(fields))) > 0, "extra")]
-    tests += [(V.kind(v, f).isin("VOID", "NESTED"), f"{f}: null or nested") for f in fields]
-    return F.when(V.is_object(v), errors(tests)).otherwise(F.array(F.lit("not an object")))
+
+    def found(kinds: Column) -> Column:
+        keys = F.map_keys(kinds)
+        tests: list = [(F.size(F.array_except(_set(fields), keys)) > 0, "missing"), (F.size(F.array_except(keys, _set(fields))) > 0, "extra")]
+        tests += [(F.try_element_at(kinds, F.lit(f)).isin("VOID", "NESTED"), f"{f}: null or nested") for f in fields]
+        return F.when(kinds.isNull(), F.array(F.lit("not an object"))).otherwise(errors(tests))
+
+    return V.bound(V.kinds(V.parsed(json)), found)
 
 
 def search_fallback(
@@ -167,7 +189,7 @@ def search_fallback(
         (normalize_url(V.text(r, "source_url")) != normalize_url(F.col("url")), "source_url is not the candidate's"),
         (~F.coalesce(V.text(e, "content_path").eqNullSafe(F.col("content_path")), F.lit(False)), "content_path is not the candidate's"),
         (F.size(own) > 0, F.concat(F.lit("generated keys given: "), F.array_join(own, ","))),
-        (~notes.rlike(rules.FLAGS + engine), "notes don't name the search engine"),
+        (~notes.rlike(rules.java(engine)), "notes don't name the search engine"),
         (~T.has_any(notes, rules.UNVERIFIED_WORDS), "notes don't say why the page is unverified"),
         (~F.contains(notes, F.lit(rules.BY_HAND)), "notes don't ask for a check by hand"),
         (excluded.isNotNull(), F.concat(F.lit("title is excluded: "), excluded)), (~T.has_any(F.col("title"), intent), "title has no intent"),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import rules
 from ..operators import cluster, dedup, export, match, route, state, validate
+from ..sources import files
 
 
 class Rejected(ValueError):
@@ -44,6 +45,8 @@ def prepare(index: DataFrame, contents: DataFrame, seen: DataFrame, mode: str =
     """Validates an index, clusters it, matches it with history, routes it and assigns batches: one lazy plan."""
     check_mode(mode, batch_size)
     _raise(validate.candidate_index(index, contents), "index")
+    read = files.with_content(index.select("candidate_id", "url"), contents)
+    _raise(read.where("content_error is not null").select("candidate_id", "content_error"), "contents")
     matched = match.match_seen(cluster.cluster(index), seen)
     routed = route.with_evidence(route.route(matched), contents)
     queue = route.assign_batches(routed.where("flow_hint is not null"), batch_size)
@@ -60,7 +63,8 @@ def record(receipts: DataFrame, payloads: DataFrame, ledger: DataFrame, seen: Da
     """(history, ledger) after receipts. History is to be written before the ledger: a run that breaks off between the two
     finds its records in history and adds nothing twice.
 
-    `records` has flow, candidate_id, found_by_query and the record's fields.
+    A record to be created that history has under its record_id, dedup_key or URL is refused, and with it the whole step, unless
+    it is the very same one. Several updates of a record are taken in the order of their confirmation. `records` has flow, candidate_id, found_by_query and the record's fields.
     """
     checked = state.check_receipts(receipts, payloads, mode)
     _raise(checked.where("size(errors) > 0").select("candidate_id", F.array_join("errors", ",")), "receipts")
@@ -68,9 +72,13 @@ def record(receipts: DataFrame, payloads: DataFrame, ledger: DataFrame, seen: Da
     _raise(acted.where("action = 'conflict'").select("candidate_id", F.lit("another payload was sent")), "ledger")
     new = acted.where("action = 'append'").drop("action")
     todo = records.join(new.select("flow", "candidate_id"), ["flow", "candidate_id"], "left_semi")
-    updates = todo.where("flow = 'update'")
+    creates = todo.where("flow = 'create'")
+    found = state.create_actions(creates, seen)
+    _raise(found.where("action = 'conflict'").select("candidate_id", F.lit("record_id, dedup_key or URL is in history or sent twice")), "creates")
+    fresh = creates.join(found.where("action = 'append'"), "candidate_id", "left_semi")
+    updates = todo.where("flow = 'update'").join(new.select("flow", "candidate_id", "confirmed_at"), ["flow", "candidate_id"])
     _raise(state.missing_targets(updates, seen).select("record_id", F.lit("not in history")), "updates")
-    history = state.upsert_seen(seen, todo.where("flow = 'create'"), updates, day)
+    history = state.upsert_seen(seen, fresh, updates, day)
     rows = new.join(records.select("flow", "candidate_id", "record_id", "found_by_query"), ["flow", "candidate_id"]).withColumn("run_id", F.lit(day))
     return history, state.append_ledger(ledger, rows)
 

@@ -1,6 +1,7 @@
 import random
 from difflib import SequenceMatcher
 
+import pytest
 from pyspark.sql import functions as F
 
 from noticeflow import rules, schemas
@@ -126,7 +127,7 @@ def seen_frame(spark, rows):
 
 
 def test_record_and_replay(spark):
-    seen = seen_frame(spark, [record(record_id="R0", status="active", dedup_key="k", first_seen="d0", last_seen="d0", pushed=True, found_by_query=[2])])
+    seen = seen_frame(spark, [record(record_id="R0", source_url="http://z.cn/0", status="active", dedup_key="k", first_seen="d0", last_seen="d0", pushed=True, found_by_query=[2])])
     shape = "decision string, candidate_id string, flow string, found_by_query array<int>, " + schemas.record_type(rules.CREATE_FIELDS)
     rec = [record(decision="create", flow="create", candidate_id="C1", found_by_query=[39, 1]), record(record_id="R0", decision="update", flow="update", candidate_id="C2", status="closed", winner="某公司", found_by_query=[7])]
     records = frame(spark, rec, shape)
@@ -147,6 +148,39 @@ def test_record_and_replay(spark):
     assert {(r.day, r.query_no): r.pushed for r in state.pushed_stats(stats, ledger, "d1").collect()} == {("d1", 1): 1, ("d1", 2): 0, ("d1", 7): 1, ("d1", 39): 1, ("d0", 1): 5}
 
 
+def test_creates_that_history_has_are_refused(spark):
+    shape = "decision string, candidate_id string, flow string, found_by_query array<int>, " + schemas.record_type(rules.CREATE_FIELDS)
+    new = lambda **more: frame(spark, [record(decision="create", flow="create", candidate_id="C1", found_by_query=[1], **more)], shape)
+    known = dict(dedup_key="http://a.cn/1", first_seen="d0", last_seen="d0", pushed=True, found_by_query=[2])
+    receipts = lambda p: spark.createDataFrame([(1, r.flow, r.candidate_id, r.path, r.sha256, 200, 0, "t") for r in p.collect()], schemas.RECEIPT)
+    empty = spark.createDataFrame([], schemas.LEDGER)
+
+    def push(seen, records):
+        p = export.payloads(records)
+        return run.record(receipts(p), p, empty, seen, records, "daily-push", "d1")
+
+    for other in (dict(), dict(record_id="T20260811-K7X2P8"), dict(source_url="http://A.cn/1/?utm_x=1", record_id="T20260811-K7X2P8", project_code="P", dedup_key="P|x")):
+        with pytest.raises(run.Rejected):  # the same record_id, dedup_key or URL, but not the same record
+            push(seen_frame(spark, [record(**{**known, "title": "另一个", **other})]), new())
+    with pytest.raises(run.Rejected):  # the same record, never pushed
+        push(seen_frame(spark, [record(**{**known, "pushed": False})]), new())
+    with pytest.raises(run.Rejected):  # two of one push are like each other
+        push(seen_frame(spark, []), new().union(new().withColumn("candidate_id", F.lit("C2")).withColumn("record_id", F.lit("T20260811-K7X2P9"))))
+    history, ledger = push(seen_frame(spark, [record(**known)]), new())  # what a run that broke off left
+    assert history.count() == 1 and ledger.count() == 1 and history.first().last_seen == "d0"
+
+
+def test_updates_of_one_record_are_taken_in_order(spark):
+    seen = seen_frame(spark, [record(record_id="R0", source_url="http://z.cn/0", status="active", dedup_key="k", first_seen="d0", last_seen="d0", pushed=True, found_by_query=[2])])
+    shape = "decision string, candidate_id string, flow string, found_by_query array<int>, " + schemas.record_type(rules.CREATE_FIELDS)
+    records = frame(spark, [record(record_id="R0", decision="update", flow="update", candidate_id=c, status=x, found_by_query=[q]) for c, x, q in (("C1", "canceled", 7), ("C2", "closed", 1))], shape)
+    p = export.payloads(records)
+    for order, last in (({"C1": "t1", "C2": "t2"}, "closed"), ({"C1": "t2", "C2": "t1"}, "canceled")):
+        receipts = spark.createDataFrame([(1, r.flow, r.candidate_id, r.path, r.sha256, 200, 0, order[r.candidate_id]) for r in p.collect()], schemas.RECEIPT)
+        history, ledger = run.record(receipts, p, spark.createDataFrame([], schemas.LEDGER), seen, records, "daily-push", "d1")
+        assert [(r.record_id, r.status, r.found_by_query) for r in history.collect()] == [("R0", last, [1, 2, 7])] and ledger.count() == 2
+
+
 def test_contract_operators(spark):
     one = spark.createDataFrame([("河南", "更正公告", "2026-01-01T09:00"), ("火星", "中标公告", "null"), (None, "招标公告", "2099-01-01")], "p string, n string, d string")
     now = F.to_timestamp(F.lit("2026-08-19 08:00:00"))
@@ -158,8 +192,8 @@ def test_contract_operators(spark):
     assert [tuple(r[0]) for r in changed.select(contract.change_of(F.col("t"), F.col("d"), F.lit("2026-08-01"))).collect()] == [("status_change", "closed"), ("status_change", "canceled"), ("deadline_change", None), ("correction", None)]
     pages = spark.createDataFrame([(1, "http://h.cn/a/b", '<a href="/x/公告.pdf"><a href="https://o.cn/采购文件.docx">')], "page_id int, url string, html string")
     assert [(r.ord, r.url, r.main) for r in contract.attachments(pages).orderBy("ord").collect()] == [(0, "http://h.cn/x/公告.pdf", False), (1, "https://o.cn/采购文件.docx", True)]
-    best = spark.createDataFrame([(["酶标仪", "总IgE试剂"],), ([],)], "m array<string>").select(contract.best_category(F.col("m")).alias("b")).collect()
-    assert [tuple(r.b) for r in best] == [("总IgE试剂", "试剂", "partial", ["酶标仪"]), ("其他", "其他", "unknown", [])]
+    best = spark.createDataFrame([(["酶标仪", "总IgE试剂"],), ([],)], "m array<string>").select(contract.best_category(F.col("m"), F.lit("试剂")).alias("b")).collect()
+    assert [tuple(r.b) for r in best] == [("总IgE试剂", "试剂", "full", ["酶标仪"]), ("其他", "其他", "unknown", [])]
     masked = contract.masked_defaults(spark.createDataFrame([(None, None, None, "n")], "purchaser string, region string, budget double, notes string")).first()
     assert tuple(masked) == (rules.MASKED_PURCHASER, rules.NO_REGION, 0.0, "n")
     tags = spark.createDataFrame([("甲牌与乙牌 流式荧光 送检",)], "t string").select(contract.tags(F.col("t"), ["甲牌"], ["乙牌", "丙牌"]).alias("t")).first().t
