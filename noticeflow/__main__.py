@@ -1,7 +1,7 @@
-"""python -m noticeflow search | prepare | status | next-batch | submit-batch | validate-payload | record-push
+"""python -m noticeflow search | prepare | status | next-batch | submit-batch | validate-payload | send | record-push
 
 A run is a folder of versioned tables in any store that Spark reads. Exit codes: 0 done, 1 some queries failed, 2 wrong input,
-3 the search was stopped by a fatal answer.
+3 the search was stopped by a fatal answer. Of send: 1 nothing confirmed, 2 refused.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from . import rules, schemas
 from .operators import dedup, export, route, state, validate
 from .plans import report, run
-from .sinks import versioned
+from .sinks import outbox, versioned
 from .sources import config, files, search
 
 
@@ -63,7 +63,10 @@ def do_search(spark: SparkSession, a: argparse.Namespace) -> int:
     if a.fixture:
         reader = reader.option("fixture", spark.read.text(a.fixture, wholetext=True).first()[0]).option("qps", "1000")
     else:
-        reader = reader.option("endpoint", a.endpoint or given.get("endpoint", "")).option("key", config.api_key(a.key_variable, given))
+        config.api_key(a.key_variable, given)  # that there is one; the reader looks it up where it runs
+        reader = reader.option("endpoint", a.endpoint or given.get("endpoint", "")).option("keyvariable", a.key_variable)
+        if a.config:
+            reader = reader.option("config", a.config)
     folder = f"{a.out}/{a.today}"
     _replace(reader.load(), folder, "hits")
     hits = _table(spark, folder, "hits")
@@ -77,7 +80,8 @@ def do_search(spark: SparkSession, a: argparse.Namespace) -> int:
     if whole and not a.no_stats:
         versioned.replace_day(stats.withColumn("day", F.lit(a.today)), f"{a.out}/query_stats")
     failures = hits.where("coalesce(error, '') <> ''")
-    print(report.text(stats, totals, index, failures, None if a.report_all else a.report_limit))
+    for line in report.lines(stats, totals, index, failures, None if a.report_all else a.report_limit):
+        print(line)
     if failures.where(F.col("error").startswith("stopped:")).limit(1).count():
         return 3
     return 1 if failures.limit(1).count() else 0
@@ -102,6 +106,8 @@ def do_prepare(spark: SparkSession, a: argparse.Namespace) -> int:
     _replace(got.routed, folder, "routed")
     _replace(got.queue, folder, "queue")
     _replace(got.funnel, folder, "funnel")
+    versioned.write_routes(got.routed, f"{folder}/routes")
+    versioned.write_batches(_table(spark, folder, "queue"), f"{folder}/batches")
     empty = "batch_id string, candidate_id string, decision string, reason string, record string, evidence string, submitted_at string"
     _replace(spark.createDataFrame([], empty), folder, "results")
     _replace(spark.createDataFrame([(a.mode, a.batch_size)], "mode string, batch_size int"), folder, "options")
@@ -122,11 +128,18 @@ def _manifest(spark: SparkSession, run_dir: str) -> DataFrame:
     batches = route.batches(_table(spark, folder, "queue"), done)
     payloads = _table(spark, folder, "payloads", "flow string, candidate_id string, path string, json string, sha256 string")
     ledger = _table(spark, folder, "ledger", schemas.LEDGER)
-    return report.manifest(os.path.basename(run_dir), o.mode, o.batch_size, _table(spark, folder, "funnel"), batches, None, payloads, ledger)
+    try:
+        totals = versioned.current(spark, f"{run_dir}/totals")
+    except FileNotFoundError:
+        totals = None
+    return report.manifest(os.path.basename(run_dir), o.mode, o.batch_size, _table(spark, folder, "funnel"), batches, totals, payloads, ledger)
 
 
 def do_status(spark: SparkSession, a: argparse.Namespace) -> int:
-    print(json.dumps(report.compact(_manifest(spark, a.run_dir)), ensure_ascii=False))
+    """The manifest follows from the run's tables; a copy of it is written for those who only read files."""
+    said = json.dumps(report.compact(_manifest(spark, a.run_dir)), ensure_ascii=False)
+    versioned.put(spark, f"{a.run_dir}/pipeline/manifest.json", said + "\n")
+    print(said)
     return 0
 
 
@@ -156,7 +169,13 @@ def do_submit_batch(spark: SparkSession, a: argparse.Namespace) -> int:
     run.submit(results, batch, o.mode)
     if wrong := fallback.where("size(fallback_errors) > 0").select("candidate_id", "fallback_errors").limit(20).collect():
         raise run.Rejected("; ".join(f"{r[0]}: {', '.join(r[1])}" for r in wrong))
-    all_ = done.unionByName(results.withColumns({"batch_id": F.lit(a.batch), "submitted_at": F.lit(a.now)}))
+    bound = F.map_zip_with(  # what was worked out here goes with the evidence
+        F.coalesce(F.try_variant_get(F.try_parse_json("evidence"), "$", "map<string,variant>"), F.create_map().cast("map<string,variant>")),
+        F.map_from_arrays(F.array(F.lit("content_sha256"), F.lit("category_signals")), F.array(F.try_parse_json(F.concat(F.lit('"'), "content_sha256", F.lit('"'))), F.try_parse_json(F.to_json("category_signals")))),
+        lambda _, given, own: F.coalesce(own, given),
+    )
+    kept = fallback.withColumn("evidence", F.when(F.col("content_sha256").isNotNull(), F.to_json(bound)).otherwise(F.col("evidence"))).select(*results.columns)
+    all_ = done.unionByName(kept.withColumns({"batch_id": F.lit(a.batch), "submitted_at": F.lit(a.now)}))
     _replace(all_, folder, "results")
     if _manifest(spark, a.run_dir).first().state == "VALIDATED":
         _replace(_payloads(_table(spark, folder, "results")), folder, "payloads")
@@ -180,6 +199,41 @@ def do_validate_payload(spark: SparkSession, a: argparse.Namespace) -> int:
     return 2 if found else 0
 
 
+def do_send(spark: SparkSession, a: argparse.Namespace) -> int:
+    """One payload of a validated run to the address that an environment variable has; a confirmed send leaves a receipt."""
+    folder = f"{a.run_dir}/pipeline"
+    data = bytes(spark.read.format("binaryFile").load(a.payload).first().content) if a.payload else None
+    manifest = _manifest(spark, a.run_dir).first()
+    known = _table(spark, folder, "payloads", "flow string, candidate_id string, path string, json string, sha256 string").where((F.col("flow") == a.flow) & (F.col("candidate_id") == a.candidate)).collect()
+    if len(known) != 1:
+        raise run.Rejected("no single validated payload of this flow and candidate")
+    data = known[0].json.encode("utf-8") if data is None else data
+    if wrong := spark.createDataFrame([(data.decode("utf-8"),)], "j string").select(validate.structure(F.col("j"), rules.CREATE_FIELDS if a.flow == "create" else rules.UPDATE_FIELDS)).first()[0]:
+        raise run.Rejected("; ".join(wrong))
+    if a.dry_run:
+        print(json.dumps({"flow": a.flow, "candidate_id": a.candidate, "sha256": known[0].sha256, "bytes": len(data)}))
+        return 0
+    if manifest.state != "VALIDATED":
+        raise run.Rejected(f"the run is {manifest.state}, not VALIDATED")
+    sent = outbox.Payload(a.flow, a.candidate, f"payloads/{a.flow}/{a.candidate}.json", data, known[0].sha256)
+    try:
+        outbox.gate(sent, manifest.mode, a.live, known[0].path)
+    except outbox.NotSent as e:
+        raise run.Rejected(str(e)) from e
+    url = os.environ.get(a.url_variable or f"NOTICE_{a.flow.upper()}_URL")
+    try:
+        if not url:
+            raise outbox.NotSent("no address in the environment")
+        receipt = outbox.send(sent, manifest.mode, outbox.http_post(url), a.now, a.live, known[0].path)
+    except outbox.NotSent as e:
+        print(f"error: {e}", file=sys.stderr)
+        return 1
+    path = f"{folder}/receipts/{a.flow}-{a.candidate}.json"
+    versioned.put(spark, path, json.dumps(receipt, ensure_ascii=False) + "\n")
+    print(json.dumps({"receipt": path}))
+    return 0
+
+
 def do_record_push(spark: SparkSession, a: argparse.Namespace) -> int:
     """History is written before the ledger, so that a run that breaks off between the two can be repeated."""
     folder = f"{a.run_dir}/pipeline"
@@ -207,7 +261,8 @@ def parser() -> argparse.ArgumentParser:
     out = argparse.ArgumentParser(prog="noticeflow")
     sub = out.add_subparsers(dest="command", required=True)
     s = sub.add_parser("search")
-    for name in ("--config", "--query-list", "--heading", "--queries", "--endpoint", "--time-range", "--sites", "--block-hosts", "--industry", "--content-format", "--fixture"):
+    s.add_argument("--heading", default="## 5.")
+    for name in ("--config", "--query-list", "--queries", "--endpoint", "--time-range", "--sites", "--block-hosts", "--industry", "--content-format", "--fixture"):
         s.add_argument(name)
     s.add_argument("--query", action="append")
     s.add_argument("--key-variable", default="NOTICE_SEARCH_KEY")
@@ -239,6 +294,16 @@ def parser() -> argparse.ArgumentParser:
             p.add_argument("--receipt", required=True)
             p.add_argument("--seen", required=True)
             p.add_argument("--stats")
+    p = sub.add_parser("send", help="the address comes from the environment only")
+    p.add_argument("run_dir")
+    p.add_argument("--flow", choices=("create", "update"), required=True)
+    p.add_argument("--candidate", required=True)
+    p.add_argument("--payload", help="a file with the bytes to send; by default those of the run")
+    p.add_argument("--url-variable")
+    p.add_argument("--now", default=datetime.datetime.now().astimezone().isoformat(timespec="seconds"))
+    for name in ("--live", "--dry-run"):
+        p.add_argument(name, action="store_true")
+    p.set_defaults(do=do_send)
     p = sub.add_parser("validate-payload")
     p.add_argument("--flow", choices=("create", "update"), required=True)
     p.add_argument("path")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,8 +31,9 @@ def compact(row: DataFrame) -> dict:
     return {k: v for k, v in row.first().asDict().items() if v is not None}
 
 
-def text(stats: DataFrame, totals: DataFrame, index: DataFrame, failures: DataFrame, limit: int | None = 20) -> str:
-    """Totals, failed queries, attribution by query, authority histogram and a preview; `limit` None previews all."""
+def lines(stats: DataFrame, totals: DataFrame, index: DataFrame, failures: DataFrame, limit: int | None = 20) -> Iterator[str]:
+    """Totals, failed queries, attribution by query, authority histogram and a preview; `limit` None previews all, of which the
+    driver holds a part at a time."""
     t = totals.first()
     lines = [f"queries ok {t.query_ok}, failed {t.query_failed}; hits {t.raw}; candidates {t.candidates}, of one query only {t.single}"]
     lines += [f"failed {r.query_no}: {r.error}" for r in failures.select("query_no", "error").distinct().orderBy("query_no").collect()]
@@ -39,5 +42,10 @@ def text(stats: DataFrame, totals: DataFrame, index: DataFrame, failures: DataFr
     if none := [str(r.query_no) for r in rows if not r.unique]:
         lines.append("no contribution: " + ", ".join(none))
     lines += [f"{r.key}: {r.n}" for r in dedup.histogram(index, F.col("auth_info_des"), rules.NO_AUTHORITY).collect()]
-    lines += [f"{r.title} | {r.site_name} | {r.url}" for r in dedup.preview(index, limit).select("title", "site_name", "url").collect()]
-    return "\n".join(lines)
+    yield from lines
+    for r in dedup.preview(index, limit).select("title", "site_name", "url").toLocalIterator():
+        yield f"{r.title} | {r.site_name} | {r.url}"
+
+
+def text(*tables: DataFrame, limit: int | None = 20) -> str:
+    return "\n".join(lines(*tables, limit=limit))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import json
+import urllib.error
+import urllib.request
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -46,9 +48,28 @@ def confirmed(status: int, body: bytes) -> bool:
     return status == 200 and code == 0 and not isinstance(code, bool)
 
 
-def send(payload: Payload, mode: str, post: Post, now: str, live: bool = False) -> dict:
-    """The receipt of one confirmed send; raises NotSent otherwise, and then there is no receipt."""
-    gate(payload, mode, live)
+def http_post(url: str, timeout: float = 30) -> Post:
+    """A POST of the very bytes; the status and body of any answer, and NotSent where there is none."""
+
+    def post(data: bytes) -> tuple[int, bytes]:
+        request = urllib.request.Request(url, data, {"Content-Type": "application/json; charset=utf-8"}, method="POST")
+        try:
+            with urllib.request.urlopen(request, timeout=timeout) as answer:
+                return answer.status, answer.read()
+        except urllib.error.HTTPError as e:
+            return e.code, e.read()
+        except OSError as e:
+            raise NotSent(f"network: {e}") from e
+
+    return post
+
+
+def send(payload: Payload, mode: str, post: Post, now: str, live: bool = False, declared: str | None = None) -> dict:
+    """The receipt of one confirmed send; raises NotSent otherwise, and then there is no receipt.
+
+    `declared` is the path that the manifest has for the payload.
+    """
+    gate(payload, mode, live, declared)
     status, body = post(payload.data)
     if not confirmed(status, body):
         raise NotSent(f"not confirmed: HTTP {status}")

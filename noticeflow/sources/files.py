@@ -20,12 +20,20 @@ def read_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def bad_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file, text) of lines that are no JSON objects."""
-    lines = spark.read.text(path).select(F.input_file_name().alias("file"), F.col("value").alias("text")).where(F.trim("text") != "")
+    """(file, line, text) of lines that are no JSON objects; lines count from 1. Files are read whole: meant for what a run writes."""
+    whole = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), F.posexplode(F.split("value", r"\r?\n")).alias("at", "text"))
+    lines = whole.where(F.trim("text") != "").select("file", (F.col("at") + 1).alias("line"), "text")
     v = F.try_parse_json("text")
     return lines.where(v.isNull() | ~F.startswith(F.schema_of_variant(v), F.lit("OBJECT")))
 
 
+def checked_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """One object for each line, blank lines skipped; the first line that is none fails with its file and number."""
+    if wrong := bad_lines(spark, path).orderBy("file", "line").limit(1).collect():
+        raise ValueError(f"{wrong[0].file}:{wrong[0].line}: no JSON object")
+    return read_jsonl(spark, path, schema)
+
+
 def read_seen(spark: SparkSession, path: str) -> DataFrame:
     """History from {"records": [...]}, numbered in its order; missing columns are null. No list of records fails."""
     doc = spark.read.schema(f"records array<struct<{schemas.SEEN.replace(' ', ': ').replace(',: ', ', ')}>>, _corrupt_record string").option("multiLine", True).json(path)
@@ -34,9 +42,9 @@ def read_seen(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_query_list(spark: SparkSession, path: str, heading: str) -> DataFrame:
-    """(query_no, query): numbered lines of a Markdown file between a heading and the next of its level."""
+    """(query_no, query): numbered lines of a Markdown file between a heading, as it is written, and the next of its level."""
     text = spark.read.text(path, wholetext=True).select("value")
-    part = F.regexp_extract("value", rf"(?s)(?:^|\n){heading}[^\n]*\n(.*?)(?=\n## |\z)", 1)
+    part = F.regexp_extract("value", rf"(?s)(?:^|\n)\Q{heading}\E[^\n]*\n(.*?)(?=\n## |\z)", 1)
     line = text.select(F.explode(F.split(part, r"\r?\n")).alias("line"))
     pattern = r"^(\d+)\.\s+(\S.*?)\s*$"
     return line.where(F.col("line").rlike(pattern)).select(

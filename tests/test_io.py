@@ -1,5 +1,6 @@
 import hashlib
 import json
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,10 +13,12 @@ from noticeflow.streaming import receipts
 
 def test_files(spark, tmp_path):
     (tmp_path / "q.md").write_text("# x\n\n共 **3 条**\n\n## 5. list\n\n1. 甲 采购公告 \n text\n2.  乙 招标\n\n## 6. next\n\n3. no\n", encoding="utf-8")
-    assert [tuple(r) for r in files.read_query_list(spark, str(tmp_path / "q.md"), r"## 5\. list").collect()] == [(1, "甲 采购公告"), (2, "乙 招标")]
+    assert [tuple(r) for r in files.read_query_list(spark, str(tmp_path / "q.md"), "## 5. list").collect()] == [(1, "甲 采购公告"), (2, "乙 招标")]
     assert files.declared_total(spark, str(tmp_path / "q.md")).first().declared == 3
     (tmp_path / "a.jsonl").write_text('{"candidate_id":"a"}\n\n[1]\n{"b\n', encoding="utf-8")
-    assert {r.text for r in files.bad_lines(spark, str(tmp_path / "a.jsonl")).collect()} == {"[1]", '{"b'}
+    assert {(r.line, r.text) for r in files.bad_lines(spark, str(tmp_path / "a.jsonl")).collect()} == {(3, "[1]"), (4, '{"b')}
+    with pytest.raises(ValueError, match=r"a\.jsonl:3"):
+        files.checked_jsonl(spark, str(tmp_path / "a.jsonl"), "candidate_id string")
     with pytest.raises(Exception):
         files.read_jsonl(spark, str(tmp_path / "a.jsonl"), "candidate_id string").collect()
     (tmp_path / "seen.json").write_text(json.dumps({"records": [{"record_id": "R1", "budget": 5, "pushed": True, "source_url": "u", "found_by_query": [2]}, {"record_id": "R2"}]}), encoding="utf-8")
@@ -70,6 +73,25 @@ def test_retries_and_pace():
     assert now[0] == pytest.approx(1.0)
 
 
+def test_a_fatal_answer_stops_all_lanes():
+    asked, lock = [], threading.Lock()
+
+    def call(body):
+        with lock:
+            asked.append(body["Query"])
+        return (None, "no key", 10403) if body["Query"] == "q3" else ({"WebResults": []}, "", None)
+
+    pace = search.Pace(200)
+    got = list(search.run_all(call, {}, [(k, f"q{k}") for k in range(60)], pace, lanes=4, wait=0.0))
+    assert [n for n, *_ in got] == list(range(60)) and got[3][3] == "stopped: no key"
+    assert len(asked) <= 8 and all(e == "stopped: no key" for n, _, r, e in got if r is None) and sum(r is None for *_, r, _ in got) >= 52
+    slots = []
+    flaky = lambda body: (None, "x", 10500)
+    counted = search.Pace(1000, sleep=slots.append)
+    counted.take = lambda take=counted.take: (slots.append("slot"), take())
+    assert list(search.run_all(flaky, {}, [(1, "q")], counted, wait=0.0, sleep=lambda s: None)) == [(1, "q", None, "x")] and slots.count("slot") == 3
+
+
 def test_versioned_tables(spark, tmp_path):
     path = str(tmp_path / "t")
     for k in range(4):
