@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager, suppress
@@ -22,10 +23,18 @@ OUT_ROWS = 4096
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder that the driver and all executors share: `spark.checkpoint.dir`. Without one there is nowhere to write."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    """Folder that the driver and all executors share: `spark.checkpoint.dir`.
+
+    Where it isn't set, a session of one machine (master local) gets a temporary folder; on a cluster there is nowhere to write.
+    """
+    context = spark.sparkContext
+    found = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     if not found:
-        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        found = getattr(context, "_noticeflow_shared", None)
+        if found is None:
+            found = context._noticeflow_shared = "file://" + tempfile.mkdtemp(prefix="noticeflow-")
     return found.rstrip("/") + "/noticeflow"
 
 
