@@ -105,9 +105,9 @@ def test_tree_against_a_plain_one(spark, monkeypatch):
     monkeypatch.setattr(sharding, "NEAR", 0.0)
     monkeypatch.setattr(sharding, "LEVEL_BINS", 256)
     r = random.Random(4)
-    rows = {((float(r.choice([0, 0, 0, 1, 7])), r.choice([0.0, 1.0]), round(r.random() * 9, 2)), r.randrange(2**62), r.randrange(1, 50)) for _ in range(700)}
+    rows = {((float(r.choice([0, 0, 0, 1, 7])), r.choice([0.0, 1.0]), round(r.random() * 9, 2)), r.randrange(2**62), r.randrange(1, 50)) for _ in range(400)}
     df = spark.createDataFrame([(*c, h, w) for c, h, w in rows], "a double, b double, c double, h long, w long").repartition(5)
-    for shards in (1, 2, 7, 16):
+    for shards in (1, 7):
         got, _ = sharding.split_tree(df, ["a", "b", "c"], shards)
         assert {((x.a, x.b, x.c), x.h, x.w): x.shard for x in got.collect()} == plain_tree(list(rows), shards)
 
