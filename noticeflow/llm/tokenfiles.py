@@ -9,10 +9,13 @@ smallest and largest doc_id, so that a range of documents is read without the pa
 from __future__ import annotations
 
 import itertools
+import json
 import os
+import re
+import unicodedata
 import uuid
 import zlib
-from array import array
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,8 +26,32 @@ from pyspark.sql import types as T
 
 from . import common
 
-#: Bytes of text encoded at a time, words that a task remembers, and bytes of a word up to which it does.
-BATCH, WORDS, WORD = 2 << 20, 1 << 18, 64
+#: Bytes of text encoded at a time.
+BATCH = 2 << 20
+#: White space of ASCII, which every rule takes for such and which cuts texts into words.
+SPACES = " \t\n\x0b\x0c\r"
+#: Code points for which this module and the tokenizer's library agree on case, composition and kind; the tests hold all of them.
+AGREED = "\t-\r -~\u00a1-\u017f\u0391-\u03a1\u03a4-\u03ce\u0400-\u0482\u048a-\u04ff\u2010-\u2027\u2030-\u205e\u20a0-\u20ac\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3"
+SAFE = re.compile(f"[{AGREED}]*")
+UNSAFE = re.compile(f"[^{AGREED}]")
+#: The split that the quick way knows, as tokenizer files write it.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def _class(kind: str) -> str:
+    """The AGREED code points of a general category, as ranges for a pattern."""
+    points = [k for k in range(0x10000) if SAFE.fullmatch(chr(k)) and unicodedata.category(chr(k))[0] == kind]
+    starts = [k for k in points if k - 1 not in set(points[max(0, bisect_left(points, k) - 1) : bisect_left(points, k)])]
+    ends = [points[(bisect_left(points, b) if b else len(points)) - 1] for b in [*starts[1:], None]]
+    return "".join(f"\\u{a:04x}-\\u{b:04x}" for a, b in zip(starts, ends, strict=True))
+
+
+#: The same for lower-case texts of AGREED code points.
+PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_class('L')}]+|[{_class('N')}]|[^\s{_class('L')}{_class('N')}]+")
+ASCII_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
+#: What ends a piece for the quick way; no text that goes there has it.
+END = "\x00"
+
 #: Layout of the files: bytes of a row group and of a page, rows of a page.
 LAYOUT = {"parquet.block.size": 64 << 20, "parquet.page.size": 1 << 20, "parquet.page.row.count.limit": 2000, "parquet.dictionary.page.size": 1 << 20, "parquet.writer.version": "v2", "parquet.enable.dictionary": "true"}
 
@@ -34,8 +61,9 @@ _encoders: dict[str, WordEncoder] = {}
 class WordEncoder:
     """Ids by a tokenizer file (.json) whose pieces never hold white space, as its library gives them without special tokens.
 
-    Then a text's ids are those of its words one after the other, whatever stands between: each different word is encoded once, by
-    the library, and remembered. Only the six white-space characters of ASCII cut words, which every rule takes for white space.
+    Then a text's ids are those of its words one after the other, whatever stands between. Where the file is a byte-level BPE with
+    word ends whose merges are ranked by id, words of AGREED code points go to a quicker encoder built from the same file; all
+    others, and those with a special token's string, to the library.
     """
 
     def __init__(self, path: str):
@@ -45,9 +73,11 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.known: dict[bytes, array] = {}
+        spec = json.loads(self.tokenizer.to_str())
+        self.marks = [x["content"] for x in spec.get("added_tokens") or ()]
         probe = lambda text: self.tokenizer.encode(text, add_special_tokens=False).ids
-        self.by_words = all(probe(f"a{x}{y}b") == probe("a") + probe("b") for x in " \t\n\x0b\x0c\r" for y in (x, "")) and not any(set(x.content) & set(" \t\n\x0b\x0c\r") for x in self.tokenizer.get_added_tokens_decoder().values())
+        self.by_words = all(probe(f"a{x}{y}b") == probe("a") + probe("b") for x in SPACES for y in (x, "")) and not any(set(x) & set(SPACES) for x in self.marks)
+        self.quick, self.ids = _ranked(spec) if self.by_words else (None, None)
 
     @staticmethod
     def of(path: str) -> WordEncoder:
@@ -55,18 +85,70 @@ class WordEncoder:
             _encoders[path] = WordEncoder(path)
         return _encoders[path]
 
-    def encode(self, texts: list[bytes]) -> list[array]:
-        """The ids of each text, given as UTF-8."""
-        if not self.by_words:
-            return [array("I", x.ids) for x in self.tokenizer.encode_batch_fast([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)]
-        split = [t.split() for t in texts]
-        if len(self.known) > WORDS:
-            self.known.clear()
-        new = list(set().union(*split) - self.known.keys())
-        found = dict(zip(new, (array("I", x.ids) for x in self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)), strict=True))
-        self.known.update((w, ids) for w, ids in found.items() if len(w) <= WORD)
-        found.update((w, self.known[w]) for w in set().union(*split) - found.keys())
-        return [array("I", itertools.chain.from_iterable(map(found.__getitem__, words))) for words in split]
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text."""
+        if self.quick is None:
+            return [np.array(x.ids, np.uint32) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        parts = [part for text in texts for part in self._parts(text)]
+        own = [x for quick, x in parts if quick]
+        fast = iter(self.quick.encode_ordinary_batch([_pieces(x) for x in own], num_threads=1) if own else ())
+        rest = [x for quick, x in parts if quick is False]
+        slow = iter(self.tokenizer.encode_batch_fast(rest, add_special_tokens=False) if rest else ())
+        out, held = [], []
+        for quick, _ in parts:
+            if quick is None:  # the text's end
+                out.append(np.concatenate(held) if held else np.zeros(0, np.uint32))
+                held = []
+            else:
+                held.append(self.ids[next(fast)] if quick else np.array(next(slow).ids, np.uint32))
+        return out
+
+    def _parts(self, text: str) -> Iterator[tuple[bool | None, str]]:
+        """Stretches of words for the quick way (True) and for the library, and None for the text's end."""
+        if SAFE.fullmatch(text) and not any(x in text for x in self.marks):
+            yield True, text
+        else:
+            strange = lambda word: bool(UNSAFE.search(word)) or any(x in word for x in self.marks)
+            for odd, words in itertools.groupby(re.split(f"[{SPACES}]+", text), strange):
+                yield not odd, " ".join(words)
+        yield None, ""
+
+
+def _pieces(text: str) -> str:
+    """The pieces of a text of AGREED code points, each with its END."""
+    found = (ASCII_PIECES if text.isascii() else PIECES).findall(text.lower())
+    return END.join(found) + END if found else ""
+
+
+def _ranked(spec: dict):
+    """An encoder of pieces with their END, and the ids of what it gives, if the file is of the kind known; else (None, None)."""
+    model, split = spec["model"], {"type": "Split", "pattern": {"Regex": SPLIT}, "behavior": "Removed", "invert": True}
+    case = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+    level = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+    if spec["normalizer"] != case or spec["pre_tokenizer"] != {"type": "Sequence", "pretokenizers": [split, level]} or model.get("type") != "BPE":
+        return None, None
+    end = model.get("end_of_word_suffix")
+    if not end or any(model.get(k) for k in ("continuing_subword_prefix", "byte_fallback", "dropout", "ignore_merges")):
+        return None, None
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that stand for themselves in such files
+    letters = {x: chr(x) for x in plain} | {x: chr(256 + k) for k, x in enumerate(sorted({*range(256)} - {*plain}))}
+    back = {c: x for x, c in letters.items()}
+
+    def raw(token: str) -> bytes:
+        word = token.removesuffix(end)
+        return bytes(back[c] for c in word) + (END.encode() if word != token else b"")
+
+    vocab = model["vocab"]
+    merges = [x.split(" ") if isinstance(x, str) else x for x in model["merges"]]
+    made = [a + b for a, b in merges]
+    if any(t not in vocab for t in made) or len(set(made)) != len(made) or any(letters[x] + e not in vocab for x in range(256) for e in ("", end)):
+        return None, None
+    # a last byte joins its END before anything else, single bytes are what is left, then the merges in their order
+    order = [*[letters[x] + end for x in range(256)], *[letters[x] for x in range(256)], *made]
+    import tiktoken
+
+    encoding = tiktoken.Encoding("words", pat_str=f"[^{END}]*{END}", mergeable_ranks={raw(t): k for k, t in enumerate(order)}, special_tokens={})
+    return encoding, np.array([vocab[t] for t in order], np.uint32)
 
 
 def _encode(path: str, end: int | None):
@@ -78,12 +160,11 @@ def _encode(path: str, end: int | None):
         encoder, part, place = WordEncoder.of(path), TaskContext.get().partitionId(), 0
         for whole in batches:
             for batch in common.by_bytes(whole, "text", BATCH):
-                ids = encoder.encode(common.utf8(batch.column(1)))
+                ids = encoder.encode(common.strings(batch.column(1)))
                 if end is not None:
-                    for x in ids:
-                        x.append(end)
+                    ids = [np.append(x, np.uint32(end)) for x in ids]
                 sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-                values = np.frombuffer(b"".join(x.tobytes() for x in ids), np.uint32).astype(np.int32)
+                values = np.concatenate(ids).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32)), pa.array(values))
                 n = batch.num_rows
                 yield pa.record_batch([batch.column(0), pa.array(np.full(n, part, np.int32)), pa.array(np.arange(place, place + n)), lists, *batch.columns[2:]], names=["doc_id", "part", "place", "ids", *batch.schema.names[2:]])
