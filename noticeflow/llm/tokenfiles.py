@@ -46,11 +46,13 @@ def _class(kind: str) -> str:
     return "".join(f"\\u{a:04x}-\\u{b:04x}" for a, b in zip(starts, ends, strict=True))
 
 
-#: The same for lower-case texts of AGREED code points.
-PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_class('L')}]+|[{_class('N')}]|[^\s{_class('L')}{_class('N')}]+")
-ASCII_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
+#: The same for lower-case texts of AGREED code points; kinds of pieces begin with different letters.
+PIECES = re.compile(rf"[{_class('L')}]+|'(?:[stmd]|re|ve|ll)|[{_class('N')}]|[^\s{_class('L')}{_class('N')}]+")
+ASCII_PIECES = re.compile(r"[a-z]+|'(?:[stmd]|re|ve|ll)|[0-9]|[^\sa-z0-9]+")
 #: What ends a piece for the quick way; no text that goes there has it.
 END = "\x00"
+#: Pieces whose ids a worker keeps, and letters of one up to which it does.
+KEPT, KEPT_LETTERS = 1 << 18, 32
 
 #: Layout of the files: bytes of a row group and of a page, rows of a page.
 LAYOUT = {"parquet.block.size": 64 << 20, "parquet.page.size": 1 << 20, "parquet.page.row.count.limit": 2000, "parquet.dictionary.page.size": 1 << 20, "parquet.writer.version": "v2", "parquet.enable.dictionary": "true"}
@@ -77,7 +79,7 @@ class WordEncoder:
         self.marks = [x["content"] for x in spec.get("added_tokens") or ()]
         probe = lambda text: self.tokenizer.encode(text, add_special_tokens=False).ids
         self.by_words = all(probe(f"a{x}{y}b") == probe("a") + probe("b") for x in SPACES for y in (x, "")) and not any(set(x) & set(SPACES) for x in self.marks)
-        self.quick, self.ids = _ranked(spec) if self.by_words else (None, None)
+        self.pieces = _ranked(spec) if self.by_words else None
 
     @staticmethod
     def of(path: str) -> WordEncoder:
@@ -87,20 +89,19 @@ class WordEncoder:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
-        if self.quick is None:
+        if self.pieces is None:
             return [np.array(x.ids, np.uint32) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
         parts = [part for text in texts for part in self._parts(text)]
-        own = [x for quick, x in parts if quick]
-        fast = iter(self.quick.encode_ordinary_batch([_pieces(x) for x in own], num_threads=1) if own else ())
+        fast = (self.pieces.ids(x) for quick, x in parts if quick)
         rest = [x for quick, x in parts if quick is False]
         slow = iter(self.tokenizer.encode_batch_fast(rest, add_special_tokens=False) if rest else ())
         out, held = [], []
         for quick, _ in parts:
             if quick is None:  # the text's end
-                out.append(np.concatenate(held) if held else np.zeros(0, np.uint32))
+                out.append(held[0] if len(held) == 1 else np.concatenate(held) if held else np.zeros(0, np.uint32))
                 held = []
             else:
-                held.append(self.ids[next(fast)] if quick else np.array(next(slow).ids, np.uint32))
+                held.append(next(fast) if quick else np.array(next(slow).ids, np.uint32))
         return out
 
     def _parts(self, text: str) -> Iterator[tuple[bool | None, str]]:
@@ -114,22 +115,34 @@ class WordEncoder:
         yield None, ""
 
 
-def _pieces(text: str) -> str:
-    """The pieces of a text of AGREED code points, each with its END."""
-    found = (ASCII_PIECES if text.isascii() else PIECES).findall(text.lower())
-    return END.join(found) + END if found else ""
+class Pieces(dict):
+    """The ids of pieces as bytes: those that have come before are kept, a bounded number of them, others are encoded."""
 
+    def __init__(self, encoding, ids: np.ndarray):
+        self.encoding, self.order = encoding, ids
 
-def _ranked(spec: dict):
-    """An encoder of pieces with their END, and the ids of what it gives, if the file is of the kind known; else (None, None)."""
+    def __missing__(self, piece: str) -> bytes:
+        found = self.order[self.encoding._encode_single_piece((piece + END).encode())].tobytes()
+        if len(self) < KEPT and len(piece) <= KEPT_LETTERS:
+            self[piece] = found
+        return found
+
+    def ids(self, text: str) -> np.ndarray:
+        """The ids of a text of AGREED code points."""
+        found = (ASCII_PIECES if text.isascii() else PIECES).findall(text.lower())
+        return np.frombuffer(b"".join(map(self.__getitem__, found)), np.uint32)
+
+
+def _ranked(spec: dict) -> Pieces | None:
+    """The pieces' encoder, if the file is of the kind known."""
     model, split = spec["model"], {"type": "Split", "pattern": {"Regex": SPLIT}, "behavior": "Removed", "invert": True}
     case = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
     level = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
     if spec["normalizer"] != case or spec["pre_tokenizer"] != {"type": "Sequence", "pretokenizers": [split, level]} or model.get("type") != "BPE":
-        return None, None
+        return None
     end = model.get("end_of_word_suffix")
     if not end or any(model.get(k) for k in ("continuing_subword_prefix", "byte_fallback", "dropout", "ignore_merges")):
-        return None, None
+        return None
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that stand for themselves in such files
     letters = {x: chr(x) for x in plain} | {x: chr(256 + k) for k, x in enumerate(sorted({*range(256)} - {*plain}))}
     back = {c: x for x, c in letters.items()}
@@ -142,13 +155,13 @@ def _ranked(spec: dict):
     merges = [x.split(" ") if isinstance(x, str) else x for x in model["merges"]]
     made = [a + b for a, b in merges]
     if any(t not in vocab for t in made) or len(set(made)) != len(made) or any(letters[x] + e not in vocab for x in range(256) for e in ("", end)):
-        return None, None
+        return None
     # a last byte joins its END before anything else, single bytes are what is left, then the merges in their order
     order = [*[letters[x] + end for x in range(256)], *[letters[x] for x in range(256)], *made]
     import tiktoken
 
     encoding = tiktoken.Encoding("words", pat_str=f"[^{END}]*{END}", mergeable_ranks={raw(t): k for k, t in enumerate(order)}, special_tokens={})
-    return encoding, np.array([vocab[t] for t in order], np.uint32)
+    return Pieces(encoding, np.array([vocab[t] for t in order], np.uint32))
 
 
 def _encode(path: str, end: int | None):

@@ -20,9 +20,10 @@ def library():
     return lambda text: found.encode(text, add_special_tokens=False).ids
 
 
-def test_ids_are_the_library_s(library):
+def test_ids_are_the_library_s(library, monkeypatch):
     encoder = tokenfiles.WordEncoder(PATH)
-    assert encoder.by_words and encoder.quick
+    assert encoder.by_words and encoder.pieces is not None
+    monkeypatch.setattr(tokenfiles, "KEPT", 200)  # most pieces are not kept
     r = random.Random(5)
     texts = ["".join(r.choice(PIECES) for _ in range(r.randint(0, 14))) for _ in range(3000)] + ["", " ", "x" * 5000, "Aé " * 4000]
     texts += [" ".join("".join(r.choice("theornadilsu'S1.") for _ in range(r.randint(1, 14))) for _ in range(30)) for _ in range(300)]
