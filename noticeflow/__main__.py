@@ -19,20 +19,17 @@ from . import rules, schemas
 from .operators import dedup, export, route, state, validate
 from .plans import report, run
 from .sinks import outbox, versioned
+from .sinks.history import History
+from .sinks.store import Conflict, Store
 from .sources import config, files, search
 
 
-def _table(spark: SparkSession, folder: str, name: str, schema: str | None = None) -> DataFrame:
-    try:
-        return versioned.current(spark, f"{folder}/{name}")
-    except FileNotFoundError:
-        if schema is None:
-            raise
-        return spark.createDataFrame([], schema)
+RESULTS = "batch_id string, candidate_id string, decision string, reason string, record string, evidence string, submitted_at string"
+PAYLOADS = "flow string, candidate_id string, path string, json string, sha256 string"
 
 
-def _replace(df: DataFrame, folder: str, name: str) -> None:
-    versioned.write(df, f"{folder}/{name}")
+def _pipeline(spark: SparkSession, run_dir: str) -> Store:
+    return Store(spark, f"{run_dir}/pipeline")
 
 
 def do_search(spark: SparkSession, a: argparse.Namespace) -> int:
@@ -68,14 +65,17 @@ def do_search(spark: SparkSession, a: argparse.Namespace) -> int:
         if a.config:
             reader = reader.option("config", a.config)
     folder = f"{a.out}/{a.today}"
-    _replace(reader.load(), folder, "hits")
-    hits = _table(spark, folder, "hits")
-    index, contents, stats = run.search_step(hits, chosen)
-    _replace(index, folder, "index")
-    _replace(contents, folder, "contents")
-    candidates = dedup.dedup_hits(dedup.successes(hits))
-    totals = dedup.run_totals(hits, candidates, chosen)
-    _replace(totals, folder, "totals")
+    store = Store(spark, folder)
+    with store.begin() as commit:  # hits, index, contents and totals become current together
+        counted = commit.replace("hits", reader.load(), count=dedup.hit_counts())
+        hits = commit.written("hits")
+        index, contents, stats = run.search_step(hits, chosen)
+        counted |= commit.replace("index", index, count=dedup.index_counts())
+        commit.replace("contents", contents)
+        row = (len(queries) - counted["query_failed"], *(counted[k] for k in ("query_failed", "raw", "candidates", "single")))
+        totals = spark.createDataFrame([row], "query_ok bigint, query_failed bigint, raw bigint, candidates bigint, single bigint")
+        commit.replace("totals", totals)
+    index = store.read("index")
     whole = listed and not a.queries  # a targeted search leaves the day's statistics alone
     if whole and not a.no_stats:
         versioned.replace_day(stats.withColumn("day", F.lit(a.today)), f"{a.out}/query_stats")
@@ -94,45 +94,41 @@ def search_range(value: str, today: str) -> str | None:
 
 
 def do_prepare(spark: SparkSession, a: argparse.Namespace) -> int:
-    folder = f"{a.run_dir}/pipeline"
-    exists = True
-    try:
-        versioned.current(spark, f"{folder}/options")
-    except FileNotFoundError:
-        exists = False
-    run.check_mode(a.mode, a.batch_size, exists, a.force)
-    seen = _seen(spark, a.seen)
-    got = run.prepare(_table(spark, a.run_dir, "index"), _table(spark, a.run_dir, "contents"), seen, a.mode, a.batch_size)
-    _replace(got.routed, folder, "routed")
-    _replace(got.queue, folder, "queue")
-    _replace(got.funnel, folder, "funnel")
-    versioned.write_routes(got.routed, f"{folder}/routes")
-    versioned.write_batches(_table(spark, folder, "queue"), f"{folder}/batches")
-    empty = "batch_id string, candidate_id string, decision string, reason string, record string, evidence string, submitted_at string"
-    _replace(spark.createDataFrame([], empty), folder, "results")
-    _replace(spark.createDataFrame([(a.mode, a.batch_size)], "mode string, batch_size int"), folder, "options")
+    store, found = _pipeline(spark, a.run_dir), Store(spark, a.run_dir)
+    with store.begin() as commit:
+        run.check_mode(a.mode, a.batch_size, "options" in commit.base.tables, a.force)
+        at = found.latest()
+        index = files.checked_jsonl(spark, a.index, schemas.CANDIDATE_INDEX) if a.index else found.read("index", at)
+        contents = files.checked_jsonl(spark, a.contents, schemas.CANDIDATE_CONTENT) if a.contents else found.read("contents", at)
+        got = run.prepare(index, contents, _seen(spark, a.seen), a.mode, a.batch_size)
+        commit.replace("routed", got.routed)
+        routed = commit.written("routed")
+        for name, rows in versioned.routes(routed).items():
+            commit.replace(f"routes_{name}", rows, "json")
+        commit.replace("queue", route.assign_batches(routed.where("flow_hint is not null"), a.batch_size))
+        commit.replace("batches", versioned.batch_files(commit.written("queue")), "json")
+        commit.replace("funnel", route.funnel(routed, index.count()))
+        commit.replace("contents", contents)
+        commit.replace("results", spark.createDataFrame([], RESULTS))
+        commit.replace("payloads", spark.createDataFrame([], PAYLOADS))
+        commit.replace("options", spark.createDataFrame([(a.mode, a.batch_size)], "mode string, batch_size int"))
     return do_status(spark, a)
 
 
 def _seen(spark: SparkSession, path: str) -> DataFrame:
     if path.endswith(".json"):
         return files.read_seen(spark, path)
-    found = _table(spark, path, "seen", schemas.SEEN)
-    return found.withColumn("seen_ord", F.xxhash64("record_id"))
+    return History(Store(spark, path)).rows()
 
 
 def _manifest(spark: SparkSession, run_dir: str) -> DataFrame:
-    folder = f"{run_dir}/pipeline"
-    o = _table(spark, folder, "options").first()
-    done = _table(spark, folder, "results")
-    batches = route.batches(_table(spark, folder, "queue"), done)
-    payloads = _table(spark, folder, "payloads", "flow string, candidate_id string, path string, json string, sha256 string")
-    ledger = _table(spark, folder, "ledger", schemas.LEDGER)
-    try:
-        totals = versioned.current(spark, f"{run_dir}/totals")
-    except FileNotFoundError:
-        totals = None
-    return report.manifest(os.path.basename(run_dir), o.mode, o.batch_size, _table(spark, folder, "funnel"), batches, totals, payloads, ledger)
+    store, found = _pipeline(spark, run_dir), Store(spark, run_dir)
+    at = store.latest()  # all of it as of one moment
+    o = store.read("options", at).first()
+    batches = route.batches(store.read("queue", at), store.read("results", at))
+    ledger = store.read("ledger", at, schemas.LEDGER)
+    totals = found.read("totals") if found.has("totals") else None
+    return report.manifest(os.path.basename(run_dir), o.mode, o.batch_size, store.read("funnel", at), batches, totals, store.read("payloads", at, PAYLOADS), ledger)
 
 
 def do_status(spark: SparkSession, a: argparse.Namespace) -> int:
@@ -145,16 +141,16 @@ def do_status(spark: SparkSession, a: argparse.Namespace) -> int:
 
 def do_next_batch(spark: SparkSession, a: argparse.Namespace) -> int:
     batch = _manifest(spark, a.run_dir).first().next_batch
-    rows = _table(spark, f"{a.run_dir}/pipeline", "queue").where(F.col("batch_id") == batch).orderBy("ord") if batch else None
+    rows = _pipeline(spark, a.run_dir).read("queue").where(F.col("batch_id") == batch).orderBy("ord") if batch else None
     print(json.dumps({"batch_id": batch, "candidates": [json.loads(r[0]) for r in rows.select(F.to_json(F.struct("*"))).collect()] if batch else []}, ensure_ascii=False))
     return 0
 
 
 def do_submit_batch(spark: SparkSession, a: argparse.Namespace) -> int:
     """Results: a JSON array of candidate_id, decision, reason, record and evidence; records stay as they are written."""
-    folder = f"{a.run_dir}/pipeline"
-    o = _table(spark, folder, "options").first()
-    queue, done = _table(spark, folder, "queue"), _table(spark, folder, "results")
+    commit = _pipeline(spark, a.run_dir).begin()
+    o = commit.read("options").first()
+    queue, done = commit.read("queue"), commit.read("results")
     batch = queue.where(F.col("batch_id") == a.batch)
     if not batch.limit(1).count() or done.where(F.col("batch_id") == a.batch).limit(1).count():
         raise run.Rejected(f"{a.batch} is not pending")
@@ -164,7 +160,7 @@ def do_submit_batch(spark: SparkSession, a: argparse.Namespace) -> int:
     own = lambda x, k: None if x.get(k) is None else json.dumps(x[k], ensure_ascii=False)
     rows = [(str(x.get("candidate_id")), x.get("decision"), x.get("reason"), own(x, "record"), own(x, "evidence")) for x in given]
     results = spark.createDataFrame(rows, "candidate_id string, decision string, reason string, record string, evidence string")
-    bytes_ = _table(spark, a.run_dir, "contents").select("candidate_id", "summary", "content", F.encode(F.to_json(F.struct("*")), "utf-8").alias("content_bytes"))
+    bytes_ = commit.read("contents").select("candidate_id", "summary", "content", F.encode(F.to_json(F.struct("*")), "utf-8").alias("content_bytes"))
     fallback = validate.search_fallback(results.join(batch.select("candidate_id", "title", "url", "content_path"), "candidate_id").join(bytes_, "candidate_id", "left"), a.engine)
     run.submit(results, batch, o.mode)
     if wrong := fallback.where("size(fallback_errors) > 0").select("candidate_id", "fallback_errors").limit(20).collect():
@@ -175,10 +171,11 @@ def do_submit_batch(spark: SparkSession, a: argparse.Namespace) -> int:
         lambda _, given, own: F.coalesce(own, given),
     )
     kept = fallback.withColumn("evidence", F.when(F.col("content_sha256").isNotNull(), F.to_json(bound)).otherwise(F.col("evidence"))).select(*results.columns)
-    all_ = done.unionByName(kept.withColumns({"batch_id": F.lit(a.batch), "submitted_at": F.lit(a.now)}))
-    _replace(all_, folder, "results")
-    if _manifest(spark, a.run_dir).first().state == "VALIDATED":
-        _replace(_payloads(_table(spark, folder, "results")), folder, "payloads")
+    with commit:  # results, and payloads once they are all there
+        commit.append("results", kept.withColumns({"batch_id": F.lit(a.batch), "submitted_at": F.lit(a.now)}))
+        every = done.unionByName(commit.written("results"))
+        if not route.batches(queue, every).where("status = 'pending'").limit(1).count():
+            commit.replace("payloads", _payloads(every))
     return do_status(spark, a)
 
 
@@ -201,10 +198,10 @@ def do_validate_payload(spark: SparkSession, a: argparse.Namespace) -> int:
 
 def do_send(spark: SparkSession, a: argparse.Namespace) -> int:
     """One payload of a validated run to the address that an environment variable has; a confirmed send leaves a receipt."""
-    folder = f"{a.run_dir}/pipeline"
+    folder, store = f"{a.run_dir}/pipeline", _pipeline(spark, a.run_dir)
     data = bytes(spark.read.format("binaryFile").load(a.payload).first().content) if a.payload else None
     manifest = _manifest(spark, a.run_dir).first()
-    known = _table(spark, folder, "payloads", "flow string, candidate_id string, path string, json string, sha256 string").where((F.col("flow") == a.flow) & (F.col("candidate_id") == a.candidate)).collect()
+    known = store.read("payloads", schema=PAYLOADS).where((F.col("flow") == a.flow) & (F.col("candidate_id") == a.candidate)).collect()
     if len(known) != 1:
         raise run.Rejected("no single validated payload of this flow and candidate")
     data = known[0].json.encode("utf-8") if data is None else data
@@ -235,24 +232,34 @@ def do_send(spark: SparkSession, a: argparse.Namespace) -> int:
 
 
 def do_record_push(spark: SparkSession, a: argparse.Namespace) -> int:
-    """History is written before the ledger, so that a run that breaks off between the two can be repeated."""
-    folder = f"{a.run_dir}/pipeline"
-    o = _table(spark, folder, "options").first()
+    """History is written before the ledger, so that a run that breaks off between the two can be repeated. The receipt lies among the
+    run's own, and the run has come so far."""
+    folder, store, history = f"{a.run_dir}/pipeline", _pipeline(spark, a.run_dir), History(Store(spark, a.seen))
+    if not config.within(a.receipt, f"{folder}/receipts"):
+        raise run.Rejected("the receipt is not among the run's receipts")
+    reached = _manifest(spark, a.run_dir).first()
+    if reached.state not in ("VALIDATED", "PUSHED"):
+        raise run.Rejected(f"the run is {reached.state}: nothing can have been sent")
     receipts = files.read_json(spark, a.receipt, schemas.RECEIPT)
-    queries = _table(spark, folder, "queue").select("candidate_id", "found_by_query", "matched_seen_record_ids")
-    records = _records(_table(spark, folder, "results")).join(queries.select("candidate_id", "found_by_query"), "candidate_id")
-    seen, ledger = _table(spark, a.seen, "seen", schemas.SEEN), _table(spark, folder, "ledger", schemas.LEDGER)
     day = os.path.basename(a.run_dir)
-    payloads = _table(spark, folder, "payloads")
+    commit, past = store.begin(), history.store.begin()
+    ledger, seen = commit.read("ledger", schemas.LEDGER), history.rows(past)
+    queries = commit.read("queue").select("candidate_id", "found_by_query")
+    records = _records(commit.read("results")).join(queries, "candidate_id")
     replayed = state.replay(receipts, ledger).where("action <> 'append'").limit(1).count() == 1
-    history, after = run.record(receipts, payloads, ledger, seen, records, o.mode, day)
-    _replace(history, a.seen, "seen")
-    _replace(after, folder, "ledger")
+    got = run.confirm(receipts, commit.read("payloads", PAYLOADS), ledger, seen, records, reached.mode, day)
+    if not replayed:
+        with past:
+            history.append(past, got.creates, got.updates, day)
+        with commit:
+            commit.append("ledger", got.ledger, schemas.LEDGER)
+        history.compact(a.compact)
     if a.stats:
         stats = spark.read.schema(schemas.QUERY_STATS).parquet(a.stats)
-        rows = state.pushed_stats(stats.where(F.col("day") == day), _table(spark, folder, "ledger"), day)
-        versioned.write(rows, f"{folder}/stats")
-        versioned.replace_day(_table(spark, folder, "stats"), a.stats)
+        rows = state.pushed_stats(stats.where(F.col("day") == day), store.read("ledger", schema=schemas.LEDGER), day)
+        with store.begin() as counted:
+            counted.replace("stats", rows)
+        versioned.replace_day(store.read("stats"), a.stats)
     print(json.dumps(report.compact(_manifest(spark, a.run_dir)) | {"idempotent": replayed}, ensure_ascii=False))
     return 0
 
@@ -285,6 +292,8 @@ def parser() -> argparse.ArgumentParser:
             p.add_argument("--mode", default="report-only")
             p.add_argument("--batch-size", type=int, default=5)
             p.add_argument("--force", action="store_true")
+            p.add_argument("--index", help="JSON lines instead of the search's index")
+            p.add_argument("--contents", help="JSON lines instead of the search's contents")
         if name == "submit-batch":
             p.add_argument("--batch", required=True)
             p.add_argument("--results", required=True)
@@ -294,6 +303,7 @@ def parser() -> argparse.ArgumentParser:
             p.add_argument("--receipt", required=True)
             p.add_argument("--seen", required=True)
             p.add_argument("--stats")
+            p.add_argument("--compact", type=int, default=10_000, help="log entries from which on history is compacted")
     p = sub.add_parser("send", help="the address comes from the environment only")
     p.add_argument("run_dir")
     p.add_argument("--flow", choices=("create", "update"), required=True)
@@ -314,9 +324,11 @@ def parser() -> argparse.ArgumentParser:
 def main(args: list[str] | None = None, spark: SparkSession | None = None) -> int:
     a = parser().parse_args(args)
     spark = spark or SparkSession.builder.appName("noticeflow").config("spark.sql.session.timeZone", "UTC").getOrCreate()
+    if hasattr(a, "run_dir"):
+        a.run_dir = config.run_folder(a.run_dir)
     try:
         return a.do(spark, a)
-    except (run.Rejected, ValueError, FileNotFoundError) as e:
+    except (run.Rejected, Conflict, ValueError, FileNotFoundError) as e:
         print(f"error: {e}", file=sys.stderr)
         return 2
 

@@ -59,28 +59,42 @@ def submit(results: DataFrame, batch: DataFrame, mode: str) -> DataFrame:
     return results
 
 
-def record(receipts: DataFrame, payloads: DataFrame, ledger: DataFrame, seen: DataFrame, records: DataFrame, mode: str, day: str) -> tuple[DataFrame, DataFrame]:
-    """(history, ledger) after receipts. History is to be written before the ledger: a run that breaks off between the two
-    finds its records in history and adds nothing twice.
+@dataclass
+class Confirmed:
+    """What receipts bring: records to be created and updated, and rows for the ledger; nothing of it is there yet."""
+
+    creates: DataFrame
+    updates: DataFrame
+    ledger: DataFrame
 
-    A record to be created that history has under its record_id, dedup_key or URL is refused, and with it the whole step, unless
-    it is the very same one. Several updates of a record are taken in the order of their confirmation. `records` has flow, candidate_id, found_by_query and the record's fields.
+
+def confirm(receipts: DataFrame, payloads: DataFrame, ledger: DataFrame, seen: DataFrame, records: DataFrame, mode: str, day: str) -> Confirmed:
+    """Checks receipts against payloads, ledger and history; anything wrong rejects them all.
+
+    A record to be created that history has under its record_id, dedup_key or URL is refused, unless it is the very same one.
+    `records` has flow, candidate_id, found_by_query and the record's fields.
     """
     checked = state.check_receipts(receipts, payloads, mode)
     _raise(checked.where("size(errors) > 0").select("candidate_id", F.array_join("errors", ",")), "receipts")
     acted = state.replay(receipts, ledger)
     _raise(acted.where("action = 'conflict'").select("candidate_id", F.lit("another payload was sent")), "ledger")
     new = acted.where("action = 'append'").drop("action")
-    todo = records.join(new.select("flow", "candidate_id"), ["flow", "candidate_id"], "left_semi")
-    creates = todo.where("flow = 'create'")
+    todo = records.join(new.select("flow", "candidate_id", "confirmed_at"), ["flow", "candidate_id"])
+    creates, updates = todo.where("flow = 'create'"), todo.where("flow = 'update'")
     found = state.create_actions(creates, seen)
     _raise(found.where("action = 'conflict'").select("candidate_id", F.lit("record_id, dedup_key or URL is in history or sent twice")), "creates")
-    fresh = creates.join(found.where("action = 'append'"), "candidate_id", "left_semi")
-    updates = todo.where("flow = 'update'").join(new.select("flow", "candidate_id", "confirmed_at"), ["flow", "candidate_id"])
     _raise(state.missing_targets(updates, seen).select("record_id", F.lit("not in history")), "updates")
-    history = state.upsert_seen(seen, fresh, updates, day)
+    fresh = creates.join(found.where("action = 'append'"), "candidate_id", "left_semi")
     rows = new.join(records.select("flow", "candidate_id", "record_id", "found_by_query"), ["flow", "candidate_id"]).withColumn("run_id", F.lit(day))
-    return history, state.append_ledger(ledger, rows)
+    return Confirmed(fresh, updates, rows)
+
+
+def record(receipts: DataFrame, payloads: DataFrame, ledger: DataFrame, seen: DataFrame, records: DataFrame, mode: str, day: str) -> tuple[DataFrame, DataFrame]:
+    """(history, ledger) after receipts, whole. History is to be written before the ledger: a run that breaks off between the two
+    finds its records in history and adds nothing twice. Several updates of a record are taken in the order of their confirmation.
+    """
+    got = confirm(receipts, payloads, ledger, seen, records, mode, day)
+    return state.upsert_seen(seen, got.creates, got.updates, day), state.append_ledger(ledger, got.ledger)
 
 
 def decision_counts(results: DataFrame) -> DataFrame:

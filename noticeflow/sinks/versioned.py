@@ -1,4 +1,4 @@
-"""Tables whose new version becomes current in one step, through Hadoop's file system so that any store does."""
+"""Small files in one step, tables by day, and the outputs of a run, through Hadoop's file system so that any store does."""
 
 from __future__ import annotations
 
@@ -9,48 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def _fs(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
+    """A path as Hadoop has it, and its file system."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def write(df: DataFrame, path: str, keep: int = 2, format: str = "parquet", by: str | None = None) -> str:
-    """Writes a version beside the others and moves the pointer to it; what reads the old one goes on. Older ones go."""
-    spark = df.sparkSession
-    version = f"v={uuid.uuid4().hex}"
-    writer = df.write.format(format)
-    (writer.partitionBy(by) if by else writer).save(f"{path}/{version}")
-    jvm = spark._jvm
-    pointer, fs = _fs(spark, f"{path}/current")
-    staged, _ = _fs(spark, f"{path}/staged.{version[2:]}")
-    out = fs.create(staged, True)
-    out.write(bytearray(version.encode()))
-    out.close()
-    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(pointer.toUri(), spark._jsc.hadoopConfiguration())
-    rename = jvm.org.apache.hadoop.fs.Options.Rename
-    options = spark.sparkContext._gateway.new_array(rename, 1)
-    options[0] = rename.OVERWRITE
-    context.rename(staged, pointer, options)
-    folders = sorted((s for s in fs.listStatus(pointer.getParent()) if s.getPath().getName().startswith("v=")), key=lambda s: -s.getModificationTime())
-    for s in folders[keep:]:
-        if s.getPath().getName() != version:
-            fs.delete(s.getPath(), True)
-    return version
-
-
-def current(spark: SparkSession, path: str, format: str = "parquet", schema: str | None = None) -> DataFrame:
-    pointer, fs = _fs(spark, f"{path}/current")
-    if not fs.exists(pointer):
-        raise FileNotFoundError(f"no version of {path}")
-    version = spark.read.text(f"{path}/current").first()[0]
-    reader = spark.read.format(format)
-    return (reader.schema(schema) if schema else reader).load(f"{path}/{version}")
-
-
 def put(spark: SparkSession, path: str, text: str) -> None:
     """One small file in one step: written beside its place and moved there."""
-    target, fs = _fs(spark, path)
-    staged, _ = _fs(spark, f"{path}.{uuid.uuid4().hex}.tmp")
+    target, fs = file_system(spark, path)
+    staged, _ = file_system(spark, f"{path}.{uuid.uuid4().hex}.tmp")
     out = fs.create(staged, True)
     out.write(bytearray(text.encode("utf-8")))
     out.close()
@@ -61,11 +29,6 @@ def put(spark: SparkSession, path: str, text: str) -> None:
     jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), spark._jsc.hadoopConfiguration()).rename(staged, target, options)
 
 
-def write_jsonl(df: DataFrame, path: str) -> None:
-    """JSON lines, as a version of their own."""
-    write(df, path, format="json")
-
-
 def replace_day(df: DataFrame, path: str) -> None:
     """Replaces the days that `df` has in a table partitioned by day; other days stay."""
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path)
@@ -74,10 +37,9 @@ def replace_day(df: DataFrame, path: str) -> None:
 ROUTES = {"queue": "flow_hint is not null", "possible_updates": "flow_hint = 'update'", "already_seen": "route = 'already_seen'", "screened_out": "route = 'screened_out'"}
 
 
-def write_routes(routed: DataFrame, path: str) -> None:
-    """Four outputs of one frame, each as a version of its own; a possible update is in the queue and by itself."""
-    for name, condition in ROUTES.items():
-        write_jsonl(routed.where(condition), f"{path}/{name}")
+def routes(routed: DataFrame) -> dict[str, DataFrame]:
+    """The four outputs of a routed frame; a possible update is in the queue and by itself."""
+    return {name: routed.where(condition) for name, condition in ROUTES.items()}
 
 
 #: What goes with every batch: what may be relied on for which results.
@@ -90,7 +52,7 @@ POLICY = {
 }
 
 
-def write_batches(batched: DataFrame, path: str) -> None:
+def batch_files(batched: DataFrame) -> DataFrame:
     """(batch_id, policy, candidates), a row for each batch of at most 20 candidates in their order."""
     rows = batched.groupBy("batch_id").agg(F.array_sort(F.collect_list(F.struct("ord", F.to_json(F.struct(*[c for c in batched.columns if c != "batch_id"])).alias("row")))).alias("all"))
-    write_jsonl(rows.select("batch_id", F.lit(json.dumps(POLICY)).alias("policy"), F.col("all.row").alias("candidates")), path)
+    return rows.select("batch_id", F.lit(json.dumps(POLICY)).alias("policy"), F.col("all.row").alias("candidates"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import posixpath
 from dataclasses import dataclass, fields, replace
 from pathlib import Path
 
@@ -61,14 +62,22 @@ def api_key(variable: str, config: dict, placeholder: str = "YOUR_") -> str:
     return key
 
 
-def manifest_dir(run_dir: str) -> Path:
-    """The folder of a run's manifest, given the run's folder or that folder itself."""
-    here = Path(run_dir)
-    found = next((p for p in (here, here / "pipeline") if (p / "manifest.json").exists()), None)
-    if found is None:
-        raise FileNotFoundError(f"no manifest in {run_dir}")
-    return found
+def run_folder(path: str) -> str:
+    """A run's folder, given that or its `pipeline` folder."""
+    bare = path.rstrip("/")
+    return posixpath.dirname(bare) if posixpath.basename(bare) == "pipeline" else bare
+
+
+def _place(path: str) -> tuple[str, str]:
+    """Store and path, parents of `..` taken out; links of a local disk are followed."""
+    scheme, _, rest = path.partition("://")
+    if not rest or scheme == "file":
+        return "file", str(Path(path.removeprefix("file://")).resolve())
+    host, _, inner = rest.partition("/")
+    return f"{scheme}://{host}", posixpath.normpath("/" + inner)
 
 
 def within(path: str, folder: str) -> bool:
-    return Path(path).resolve().is_relative_to(Path(folder).resolve())
+    """Whether a path lies in a folder (or is it), of a local disk or of any store."""
+    (store, inner), (other, outer) = _place(path), _place(folder)
+    return store == other and (inner == outer or inner.startswith(outer.rstrip("/") + "/"))

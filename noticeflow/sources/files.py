@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -19,12 +19,25 @@ def read_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
+def _blocks(spark: SparkSession, path: str) -> DataFrame:
+    """(file, before, first, bad) of each block of files that a task reads by itself: the lines before it in its file, and what of
+    its lines is no JSON object, as (at, text).
+
+    A block's rows come in their order from one task, so that their running numbers have no gaps. Counts are all that is summed up
+    over a file; no file is read whole.
+    """
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"))
+    v = F.try_parse_json("value")
+    bad = (F.trim("value") != "") & (v.isNull() | ~F.startswith(F.schema_of_variant(v), F.lit("OBJECT")))
+    each = lines.groupBy("file", "block").agg(F.count("*").alias("n"), F.min("at").alias("first"), F.collect_list(F.when(bad, F.struct("at", F.col("value").alias("text")))).alias("bad"))
+    before = F.sum("n").over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
+    return each.select("file", F.coalesce(before, F.lit(0)).alias("before"), "first", "bad")
+
+
 def bad_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file, line, text) of lines that are no JSON objects; lines count from 1. Files are read whole: meant for what a run writes."""
-    whole = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), F.posexplode(F.split("value", r"\r?\n")).alias("at", "text"))
-    lines = whole.where(F.trim("text") != "").select("file", (F.col("at") + 1).alias("line"), "text")
-    v = F.try_parse_json("text")
-    return lines.where(v.isNull() | ~F.startswith(F.schema_of_variant(v), F.lit("OBJECT")))
+    """(file, line, text) of lines that are no JSON objects; lines count from 1, blank ones are none."""
+    each = _blocks(spark, path).select("file", "before", "first", F.explode("bad").alias("x"))
+    return each.select("file", (F.col("before") + F.col("x.at") - F.col("first") + 1).alias("line"), "x.text")
 
 
 def checked_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -58,6 +71,12 @@ def declared_total(spark: SparkSession, path: str) -> DataFrame:
     return text.select(F.regexp_extract("value", r"\*\*(\d+)\s*条\*\*", 1).try_cast("int").alias("declared"))
 
 
+def file_sizes(spark: SparkSession, path: str) -> DataFrame:
+    """(name, length) of each file of a folder; the files themselves aren't read."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "length")
+    return found.select(F.regexp_extract("path", "([^/]+)$", 1).alias("name"), "length")
+
+
 def with_content(candidates: DataFrame, contents: DataFrame) -> DataFrame:
     """Adds summary, content and content_error: missing content, or content of another URL."""
     c = contents.select("candidate_id", F.col("source_url").alias("_url"), "summary", "content", F.lit(True).alias("_there"))

@@ -4,7 +4,8 @@ import threading
 
 from noticeflow import schemas
 from noticeflow.__main__ import main
-from noticeflow.sinks import versioned
+from noticeflow.sinks.history import History
+from noticeflow.sinks.store import Store
 from tests_support import PROOF, create
 
 
@@ -49,12 +50,13 @@ def test_a_run_from_search_to_history(spark, tmp_path, capsys, monkeypatch):
     assert go(*base, "--queries", "7") == 2 and go(*base) == 0
     assert "queries ok 2, failed 0; hits 3; candidates 2, of one query only 1" in capsys.readouterr().out
     day = tmp_path / "runs" / "2026-08-18"
-    versioned.write(spark.createDataFrame([], schemas.SEEN), str(tmp_path / "history" / "seen"))
+    past, pipeline = History(Store(spark, str(tmp_path / "history"))), Store(spark, str(day / "pipeline"))
+    past.begin_with(spark.createDataFrame([], schemas.SEEN))
     prepare = ["prepare", day, "--seen", tmp_path / "history", "--mode", "daily-push"]
     assert go(*prepare) == 0
     row = said(capsys)
     assert (row["state"], row["queued"], row["screened_out"], row["next_batch"]) == ("VERIFYING", 1, 1, "batch-0001")
-    assert go(*prepare) == 2
+    assert go(*prepare) == 2 and [n for n in sorted(pipeline.latest().tables) if n.startswith("routes")] == ["routes_already_seen", "routes_possible_updates", "routes_queue", "routes_screened_out"]
     assert go("next-batch", day) == 0
     candidate = said(capsys)["candidates"][0]
     assert candidate["found_by_query"] == [1, 2]
@@ -64,7 +66,7 @@ def test_a_run_from_search_to_history(spark, tmp_path, capsys, monkeypatch):
     (tmp_path / "results.json").write_text(json.dumps([{"candidate_id": candidate["candidate_id"], "decision": "create", "record": create(), "evidence": PROOF}]))
     capsys.readouterr()
     assert go(*submit) == 0 and said(capsys)["state"] == "VALIDATED" and go(*submit) == 2
-    payload = versioned.current(spark, str(day / "pipeline" / "payloads")).first()
+    payload = pipeline.read("payloads").first()
     (tmp_path / "payload.json").write_text(payload.json, encoding="utf-8")
     assert go("validate-payload", "--flow", "create", tmp_path / "payload.json") == 0 and go("validate-payload", "--flow", "update", tmp_path / "payload.json") == 2
     served = server((200, b'{"code": 1}'), (500, b"no"), (200, b'{"code": 0}'))
@@ -81,20 +83,24 @@ def test_a_run_from_search_to_history(spark, tmp_path, capsys, monkeypatch):
     assert served.got == [payload.json.encode()] * 3 and left["payload_sha256"] == payload.sha256
     served.stop()
     assert json.loads((day / "pipeline" / "manifest.json").read_text(encoding="utf-8"))["raw"] == 3
-    batch = versioned.current(spark, str(day / "pipeline" / "batches"), "json").first()
+    batch = pipeline.read("batches").first()
     assert batch.batch_id == "batch-0001" and "data" in batch.policy and len(batch.candidates) == 1
-    assert versioned.current(spark, str(day / "pipeline" / "routes" / "queue"), "json").count() == 1
+    assert pipeline.read("routes_queue").count() == 1
     receipt = {"schema_version": 1, "flow": "create", "candidate_id": payload.candidate_id, "payload_path": payload.path, "payload_sha256": payload.sha256, "http_status": 200, "remote_code": 0, "confirmed_at": "t"}
-    push = ["record-push", day, "--seen", tmp_path / "history", "--receipt", tmp_path / "receipt.json", "--stats", tmp_path / "runs" / "query_stats"]
-    (tmp_path / "receipt.json").write_text(json.dumps(receipt | {"payload_sha256": "forged"}))
-    assert go(*push) == 2 and versioned.current(spark, str(tmp_path / "history" / "seen")).count() == 0
+    push = ["record-push", day, "--seen", tmp_path / "history", "--receipt", day / "pipeline" / "receipts" / "own.json", "--stats", tmp_path / "runs" / "query_stats"]
+    own = day / "pipeline" / "receipts" / "own.json"
+    own.write_text(json.dumps(receipt | {"payload_sha256": "forged"}))
+    assert go(*push) == 2 and past.rows().count() == 0
+    own.write_text(json.dumps(receipt))
     (tmp_path / "receipt.json").write_text(json.dumps(receipt))
+    elsewhere = [tmp_path / "receipt.json" if x == own else x for x in push]
+    assert go(*elsewhere) == 2 and past.rows().count() == 0  # a receipt from elsewhere
     capsys.readouterr()
     for again in (False, True):
-        assert go(*push) == 0
+        assert go(*push) == 0 if again else go(*[day / "pipeline" if x == day else x for x in push]) == 0  # the run, or its pipeline
         row = said(capsys)
         assert (row["state"], row["confirmed"], row["idempotent"]) == ("PUSHED", 1, again)
-    seen = versioned.current(spark, str(tmp_path / "history" / "seen")).collect()
+    seen = past.rows().collect()
     assert len(seen) == 1 and seen[0].found_by_query == [1, 2] and seen[0].first_seen == "2026-08-18"
     stats = {r.query_no: (r.raw, r.unique, r.pushed) for r in spark.read.parquet(str(tmp_path / "runs" / "query_stats")).collect()}
     assert stats == {1: (2, 1, 1), 2: (1, 0, 1)}

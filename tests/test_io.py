@@ -1,4 +1,5 @@
 import hashlib
+import http.server
 import json
 import threading
 
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from noticeflow import schemas
 from noticeflow.sinks import outbox, versioned
 from noticeflow.sources import config, files, search
+from noticeflow.sinks.store import Store
 from noticeflow.streaming import receipts
 
 
@@ -32,6 +34,25 @@ def test_files(spark, tmp_path):
     assert {r.candidate_id: r.content_error for r in files.with_content(c, t).collect()} == {"C1": None, "C2": "content of another URL", "C3": "no content"}
 
 
+def test_lines_of_large_files_are_counted_by_block(spark, tmp_path):
+    good = '{"candidate_id": "' + "x" * 40 + '"}'
+    lines = [good if k % 7 else "" for k in range(4000)]
+    for k in (5, 1234, 3999):
+        lines[k] = "[1]"
+    (tmp_path / "big.jsonl").write_text("\r\n".join(lines))
+    was = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        assert files._blocks(spark, str(tmp_path)).count() > 5
+        assert sorted(r.line for r in files.bad_lines(spark, str(tmp_path)).collect()) == [6, 1235, 4000]
+        with pytest.raises(ValueError, match=r"big\.jsonl:6"):
+            files.checked_jsonl(spark, str(tmp_path), "candidate_id string")
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+
+
 def test_options(tmp_path, monkeypatch):
     o = config.SearchOptions.resolve({"count": 5, "sites": None}, {"count": 9, "sites": ["a.cn", "b.cn"], "need_content": True})
     assert (o.count, o.sites, o.need_content) == (5, "a.cn,b.cn", True)
@@ -45,6 +66,8 @@ def test_options(tmp_path, monkeypatch):
     with pytest.raises(ValueError):
         config.api_key("SOME_KEY", {"api_key": "YOUR_KEY"})
     assert config.within(str(tmp_path / "a"), str(tmp_path)) and not config.within(str(tmp_path / ".." / "b"), str(tmp_path))
+    assert config.within("hdfs://h/run/x/../receipts/a", "hdfs://h/run/receipts") and not config.within("hdfs://h/run/receipts/../a", "hdfs://h/run/receipts") and not config.within("hdfs://g/run/a", "hdfs://h/run")
+    assert config.run_folder("s3://b/runs/d/pipeline/") == config.run_folder("s3://b/runs/d") == "s3://b/runs/d"
 
 
 def test_search_source(spark):
@@ -55,6 +78,42 @@ def test_search_source(spark):
     assert [(r.query_no, r.pos, r.url, r.summary, r.error) for r in rows] == [(1, 0, "u1", "s", None), (1, 1, "u2", "x", None), (3, -1, None, None, "no answer")]
 
 
+def test_filters_go_into_the_requests(spark, tmp_path):
+    bodies = []
+
+    class Handler(http.server.BaseHTTPRequestHandler):
+        def do_POST(self):
+            bodies.append(json.loads(self.rfile.read(int(self.headers["Content-Length"]))))
+            self.send_response(200)
+            self.end_headers()
+            hits = [{"Url": f"https://a.cn/{k}", "PublishTime": f"2026-08-{k:02d}", "AuthInfoLevel": k % 2} for k in (1, 12, 20)] + [{"Url": "https://b.cn/1", "PublishTime": "2026-08-12", "AuthInfoLevel": 1}]
+            self.wfile.write(json.dumps({"Result": {"WebResults": hits}}).encode())
+
+        def log_message(self, *args):
+            pass
+
+    served = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=served.serve_forever, daemon=True).start()
+    (tmp_path / "config.json").write_text('{"api_key": "k"}')
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    try:
+        spark.dataSource.register(search.NoticeSearch)
+        payload = config.SearchOptions().payload("", "2026-08-01..2026-08-31")
+        df = spark.read.format("notice_search").option("queries", json.dumps([[k, f"q{k}"] for k in range(1, 50)])).option("payload", json.dumps(payload)).option("endpoint", f"http://127.0.0.1:{served.server_port}/").option("keyvariable", "NO_SUCH_KEY").option("config", str(tmp_path / "config.json")).option("pushdown", "true").option("qps", "1000").load()
+        some = df.where("query_no in (3, 4, 9) and query_no < 9 and publish_time >= '2026-08-10' and publish_time < '2026-08-15'")
+        assert sorted((r.query_no, r.url) for r in some.select("query_no", "url").collect()) == [(3, "https://a.cn/12"), (3, "https://b.cn/1"), (4, "https://a.cn/12"), (4, "https://b.cn/1")]
+        assert sorted(b["Query"] for b in bodies) == ["q3", "q4"] and {b["TimeRange"] for b in bodies} == {"2026-08-10..2026-08-15"}
+        bodies.clear()
+        one = df.where((F.col("query_no") == 7) & F.col("url").startswith("https://b.cn/") & (F.col("auth_info_level") == 1))
+        assert [r.url for r in one.select("url").collect()] == ["https://b.cn/1"]
+        assert [(b["Query"], b["Filter"]["Sites"], b["Filter"]["AuthInfoLevel"]) for b in bodies] == [("q7", "b.cn", 1)]
+        plan = one._jdf.queryExecution().executedPlan().toString()
+        assert "Filter" in plan and "query_no#" not in plan.split("Filter", 1)[1].split("BatchScan", 1)[0]  # Spark doesn't test the number again
+    finally:
+        spark.conf.set("spark.sql.python.filterPushdown.enabled", "false")
+        served.shutdown()
+
+
 def test_retries_and_pace():
     calls, waits = [], []
 
@@ -92,12 +151,7 @@ def test_a_fatal_answer_stops_all_lanes():
     assert list(search.run_all(flaky, {}, [(1, "q")], counted, wait=0.0, sleep=lambda s: None)) == [(1, "q", None, "x")] and slots.count("slot") == 3
 
 
-def test_versioned_tables(spark, tmp_path):
-    path = str(tmp_path / "t")
-    for k in range(4):
-        versioned.write(spark.range(k + 1), path)
-        assert versioned.current(spark, path).count() == k + 1
-    assert len([p for p in (tmp_path / "t").iterdir() if p.name.startswith("v=")]) == 2
+def test_days_are_replaced(spark, tmp_path):
     days = lambda d, n: spark.range(n).select(F.lit(d).alias("day"), "id")
     for d, n in (("a", 3), ("b", 2), ("a", 1)):
         versioned.replace_day(days(d, n), str(tmp_path / "days"))
@@ -121,9 +175,15 @@ def test_outbox():
 
 def test_receipt_stream(spark, tmp_path):
     (tmp_path / "in").mkdir()
-    row = {"schema_version": 1, "flow": "create", "candidate_id": "C1", "payload_path": "p", "payload_sha256": "s", "http_status": 200, "remote_code": 0, "confirmed_at": "t"}
-    versioned.write(spark.createDataFrame([], schemas.LEDGER), str(tmp_path / "ledger"))
-    for name, rows in (("1.json", [row, row, row | {"candidate_id": "C2", "http_status": 500}]), ("2.json", [row, row | {"candidate_id": "C3"}])):
+    row = {"schema_version": 1, "flow": "create", "candidate_id": "C1", "payload_path": "payloads/create/C1.json", "payload_sha256": "s", "http_status": 200, "remote_code": 0, "confirmed_at": "t"}
+    store = Store(spark, str(tmp_path / "run"))
+    paid = lambda c: {"flow": "create", "candidate_id": c, "path": f"payloads/create/{c}.json", "sha256": "s"}
+    with store.begin() as commit:
+        commit.replace("payloads", spark.createDataFrame([paid(c) for c in ("C1", "C2", "C3")]))
+    for name, rows in (("1.json", [row, row, row | {"candidate_id": "C2", "http_status": 500}]), ("2.json", [row, row | {"candidate_id": "C3", "payload_path": "payloads/create/C3.json"}, row | {"payload_sha256": "other"}])):
         (tmp_path / "in" / name).write_text("\n".join(map(json.dumps, rows)))
-        receipts.to_ledger(receipts.receipt_stream(spark, str(tmp_path / "in")), str(tmp_path / "ledger"), str(tmp_path / "ck")).awaitTermination()
-    assert sorted(r.candidate_id for r in versioned.current(spark, str(tmp_path / "ledger")).collect()) == ["C1", "C3"]
+        receipts.to_ledger(receipts.receipt_stream(spark, str(tmp_path / "in")), store, "daily-push", str(tmp_path / "ck")).awaitTermination()
+    assert sorted(r.candidate_id for r in store.read("ledger").collect()) == ["C1", "C3"]
+    assert sorted((r.candidate_id, r.errors[-1]) for r in store.read("refused").collect()) == [("C1", "hash differs"), ("C2", "not confirmed")]
+    entry = store.latest().tables["ledger"]
+    assert entry.rows == (1, 1) and store.latest().notes == {str(tmp_path / "ck"): "1"}
