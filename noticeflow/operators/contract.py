@@ -11,6 +11,7 @@ from .. import rules
 from ..functions import text as T
 from ..functions import time as D
 from ..functions.url import absolute, links
+from ..functions.variant import bound
 
 
 def region_table(spark) -> DataFrame:
@@ -43,16 +44,23 @@ def change_of(title: Column, new_deadline: Column, old_deadline: Column) -> Colu
     return F.struct(kind.alias("change_type"), F.when(failed, "canceled").when(award, "closed").alias("status"))
 
 
-def attachments(pages: DataFrame, types: Sequence[str] | None = rules.ATTACHMENT_TYPES, first: Sequence[str] = rules.ATTACHMENT_ORDER) -> DataFrame:
+def attachments(
+    pages: DataFrame, types: Sequence[str] | None = rules.ATTACHMENT_TYPES, first: Sequence[str] = rules.ATTACHMENT_ORDER, sizes: DataFrame | None = None
+) -> DataFrame:
     """(page_id, ord, url, main): each link of the types by its extension, completed to an absolute URL.
 
-    main is the first whose URL holds one of the words of `first`, in their order, else the first of all.
+    main is the first whose URL holds one of the words of `first`, in their order; else the largest by `sizes` (url, length; the
+    length is added then, null where it isn't known); else the first of all.
     """
     each = pages.select("page_id", F.col("url").alias("_page"), F.posexplode(links(F.col("html"), tuple(types) if types else None)).alias("ord", "_href"))
     full = each.select("page_id", "ord", absolute(F.col("_href"), F.col("_page")).alias("url"))
     decoded = F.coalesce(F.try_url_decode("url"), F.col("url"))
     rank = F.coalesce(*[F.when(F.contains(decoded, F.lit(w)), F.lit(k)) for k, w in enumerate(first)], F.lit(len(first)))
-    best = F.row_number().over(Window.partitionBy("page_id").orderBy(rank, "ord")) == 1
+    if sizes is not None:
+        known = sizes.groupBy(F.col("url").alias("_at")).agg(F.max("length").alias("length"))
+        full = full.join(known, F.col("url") == F.col("_at"), "left").drop("_at")
+    largest = [F.when(rank == len(first), F.col("length")).desc_nulls_last()] if sizes is not None else []
+    best = F.row_number().over(Window.partitionBy("page_id").orderBy(rank, *largest, "ord")) == 1
     return full.withColumn("main", best)
 
 
@@ -70,11 +78,12 @@ def best_category(matched: Column, text: Column, order: Sequence[str] = rules.MA
 
 
 def tags(text: Column, own: Sequence[str], others: Sequence[str], methods: Sequence[str] = rules.METHOD_WORDS, doubtful: Sequence[str] = rules.PRESCREEN_WORDS) -> Column:
-    """Own and other brands and methods that a notice names, and whether its words make it doubtful (a flag, no filter)."""
-    return F.struct(
-        T.words_in(text, own).alias("own_brands"), T.words_in(text, others).alias("other_brands"), T.words_in(text, methods).alias("methods"),
-        T.has_any(text, doubtful).alias("doubtful"),
-    )
+    """Own and other brands and methods that a notice names, and whether its words make it doubtful (a flag, no filter); the text
+    is read once for all of them."""
+    found = T.Found([*own, *others, *methods, *doubtful])
+    return bound(found.scan(text), lambda seen: F.struct(
+        *[T.words_seen(text, words, found, seen).alias(n) for n, words in (("own_brands", own), ("other_brands", others), ("methods", methods))], found.any_of(seen, doubtful).alias("doubtful"),
+    ))
 
 
 def masked_defaults(records: DataFrame) -> DataFrame:

@@ -65,14 +65,34 @@ def contribution(stats: DataFrame) -> DataFrame:
     return stats.select("query_no", (F.col("unique") > 0).alias("contributes")).orderBy(F.col("query_no").cast("int"))
 
 
-def run_totals(hits: DataFrame, candidates: DataFrame, queries: DataFrame) -> DataFrame:
-    """One row: queries that went well and failed, hits, candidates, and the share found by one query only."""
-    failed = hits.where(F.coalesce(F.col("error"), F.lit("")) != "").agg(F.countDistinct("query_no").alias("query_failed"))
-    n = queries.agg(F.countDistinct("query_no").alias("queries"))
-    raw = successes(hits).agg(F.count("*").alias("raw"))
-    found = candidates.agg(F.count("*").alias("candidates"), F.count_if(F.size("found_by_query") == 1).alias("single"))
-    one = n.crossJoin(failed).crossJoin(raw).crossJoin(found)  # single rows
-    return one.select((F.col("queries") - F.col("query_failed")).alias("query_ok"), "query_failed", "raw", "candidates", "single")
+def failed() -> Column:
+    return F.coalesce(F.col("error"), F.lit("")) != ""
+
+
+def hit_counts() -> dict[str, Column]:
+    """Aggregates of hits that can be observed while they are written: those of good queries, and failed queries, a row each."""
+    return {"raw": F.count_if(~failed()), "query_failed": F.count_if(failed())}
+
+
+def index_counts() -> dict[str, Column]:
+    """Aggregates of an index likewise: candidates, and those that one query only found."""
+    return {"candidates": F.count("*"), "single": F.count_if(F.size("found_by_query") == 1)}
+
+
+def run_totals(hits: DataFrame, queries: DataFrame) -> DataFrame:
+    """One row: queries that went well and failed, hits, candidates, and those found by one query only.
+
+    The hits are read once: by URL, or by query where it failed, and then summed up.
+    """
+    url = strip(F.coalesce(F.col("url"), F.lit("")))
+    each = hits.groupBy(F.when(failed(), F.lit(None)).otherwise(url).alias("u"), F.when(failed(), F.col("query_no")).alias("f")).agg(F.count("*").alias("n"), F.min("query_no").alias("lo"), F.max("query_no").alias("hi"))
+    there = F.col("u") != ""
+    sums = each.agg(
+        F.count_if(F.col("f").isNotNull()).alias("query_failed"), F.coalesce(F.sum(F.when(F.col("f").isNull(), F.col("n"))), F.lit(0)).alias("raw"),
+        F.count_if(there).alias("candidates"), F.count_if(there & (F.col("lo") == F.col("hi"))).alias("single"),
+    )
+    both = queries.agg(F.countDistinct("query_no").alias("queries")).crossJoin(sums)  # single rows
+    return both.select((F.col("queries") - F.col("query_failed")).alias("query_ok"), "query_failed", "raw", "candidates", "single")
 
 
 def histogram(df: DataFrame, column: Column, empty: str) -> DataFrame:

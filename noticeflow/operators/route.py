@@ -55,21 +55,41 @@ def funnel(routed: DataFrame, indexed: int | Column) -> DataFrame:
     )
 
 
-def assign_batches(queue: DataFrame, size: int = 5, parts: int = 64) -> DataFrame:
-    """Adds batch_id: `size` rows each in the order of `ord` (not null, distinct), batch-0001 on.
+def in_ranges(df: DataFrame, parts: int | None = None) -> DataFrame:
+    """Adds _part: which of `parts` ranges of `ord` a row is in, each with about as many rows as any other however ord is spread.
 
-    Rows are numbered within ranges of ord; each range then starts at the sum of those before it, so no task sees all rows.
+    The ends are quantiles from a sketch, one row of at most `parts` numbers; equal values of ord are in one range. As many ranges as
+    there are shuffle partitions, unless told otherwise.
     """
+    n = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if n < 2:
+        return df.withColumn("_part", F.lit(0))
+    ends = df.agg(F.percentile_approx("ord", [k / n for k in range(1, n)], 100 * n).alias("_ends"))
+    cut = F.size(F.filter(F.array_distinct("_ends"), lambda e: e < F.col("ord")))
+    return df.crossJoin(F.broadcast(ends)).withColumn("_part", cut).drop("_ends")  # one row
+
+
+def numbered(ranged: DataFrame, name: str, by: Sequence[str] = ()) -> DataFrame:
+    """Adds `name`: 0, 1, ... in the order of `ord` within each value of `by`, from rows that have their _part, which goes.
+
+    Rows are numbered within each range; a range starts at the sum of those before it, so that no task sees all rows of a value.
+    """
+    counts = ranged.groupBy(*by, "_part").agg(F.count("*").alias("_n"))
+    before = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(*[F.col(c).alias(f"_{c}") for c in by], F.col("_part").alias("_p"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    same = F.col("_part") == F.col("_p")
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    n = F.row_number().over(Window.partitionBy(*by, "_part").orderBy("ord")) - 1 + F.col("_start")
+    return ranged.join(starts, same).withColumn(name, n.cast("long")).drop("_part", "_p", "_start", *[f"_{c}" for c in by])
+
+
+def assign_batches(queue: DataFrame, size: int = 5, parts: int | None = None) -> DataFrame:
+    """Adds batch_id: `size` rows each in the order of `ord` (not null, distinct), batch-0001 on."""
     if not 1 <= size <= 20:
         raise ValueError("a batch has 1 to 20 rows")
-    cuts = F.width_bucket("ord", F.col("_lo"), F.col("_hi") + 1, F.lit(parts))
-    ends = queue.agg(F.min("ord").alias("_lo"), F.max("ord").alias("_hi"))
-    ranged = queue.crossJoin(F.broadcast(ends)).withColumn("_part", cuts).drop("_lo", "_hi")  # one row
-    counts = ranged.groupBy("_part").agg(F.count("*").alias("_n"))
-    starts = counts.select("_part", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_start"))
-    n = F.row_number().over(Window.partitionBy("_part").orderBy("ord")) + F.col("_start")
-    out = ranged.join(F.broadcast(starts), "_part")  # at most parts + 2 rows
-    return out.withColumn("batch_id", F.format_string("batch-%04d", F.floor((n - 1) / size) + 1)).drop("_part", "_start")
+    out = numbered(in_ranges(queue, parts), "_number")
+    return out.withColumn("batch_id", F.format_string("batch-%04d", F.floor(F.col("_number") / size) + 1)).drop("_number")
 
 
 def batches(queue: DataFrame, done: DataFrame) -> DataFrame:

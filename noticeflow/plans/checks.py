@@ -1,13 +1,10 @@
 """Queries of the rules and validators, and SQL with the same rows.
 
-The fixture tables have no notices: rows become notices by their number, one of a few kinds each, of which SQL tells what is
-wrong with it.
+The fixture tables have no notices: rows become notices by their values or their number.
 """
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,10 +12,11 @@ from .. import rules
 from ..functions import text as T
 from ..functions import time as D
 from ..operators import cluster, contract, dedup, match, route, state, validate
+from ..sinks import history as history_table
 from ..sources import files
 from . import report
-from .queries import AS_OF, EXCLUSIONS, INTENT, UPDATES as WORDS, candidates, history, hits, table
-from .sql import _BATCH, _CAND, _DEDUP, _FP, _SEEN, _TITLE
+from .queries import AS_OF, EXCLUSIONS, INTENT, UPDATES as WORDS, _order_records, candidates, history, hits, table
+from .sql import _BATCH, _CAND, _DEDUP, _FP, _ORD, _SEEN, _TITLE
 
 DAY = "1998-01-01"
 
@@ -28,84 +26,6 @@ def _kinds(number: Column, texts: list[str | None]) -> Column:
     return F.element_at(F.array(*[F.lit(x) for x in texts]).cast("array<string>"), (F.pmod(number, F.lit(len(texts))) + 1).cast("int"))
 
 
-def _record(fields: tuple[str, ...], **more) -> str:
-    """A record without faults, but for what is given; None leaves a field out."""
-    base = {f: 0 if f in rules.NUMBER_FIELDS else False if f in rules.BOOL_FIELDS else "null" for f in fields}
-    base |= {"title": "公告", "record_id": "T20260811-K7X2P9", "region": "华北二区", "purchaser": "医院", "category": "试剂", "match_level": "full", "matched_category": "总IgE试剂", "status": "active", "deadline": "2026-09-01", "source_url": "https://a.cn/1", "change_type": "correction"}
-    return json.dumps({k: v for k, v in (base | more).items() if (k in fields or k in more) and v is not None}, ensure_ascii=False)
-
-
-def _proof(fields: tuple[str, ...] = rules.CREATE_FIELDS, **more) -> str:
-    base = {"source_verified": True, "verification_level": "source", "checked_at": "2026-08-18T10:00:00+08:00", "field_evidence": dict.fromkeys(fields, "原文")}
-    return json.dumps(base | more, ensure_ascii=False)
-
-
-def _expected(table_: str, key: str, kinds: list[str]) -> str:
-    """SQL with the errors of each row by its kind."""
-    cases = " ".join(f"WHEN {k} THEN '{x}'" for k, x in enumerate(kinds) if x)
-    return f"SELECT {key}, CASE {key} % {len(kinds)} {cases} ELSE '' END AS errors FROM {table_}"
-
-
-#: Records to be created, and what is wrong with each.
-CREATES = [
-    (_record(rules.CREATE_FIELDS), _proof(), ""),
-    (_record(rules.CREATE_FIELDS, status="manual", requires_manual=True, notes="人工"), _proof(("title", "purchaser", "source_url")), "no evidence: matched_category"),
-    (_record(rules.CREATE_FIELDS, title=None, extra=1), _proof(), "missing: title; extra: extra"),
-    (_record(rules.CREATE_FIELDS, budget="1", agency=""), _proof(), "agency: empty string; budget: not a number"),
-    (_record(rules.CREATE_FIELDS, region="火星", match_level="unknown", source_url="ftp://a"), _proof(), "source_url; region; active needs a match"),
-    (_record(rules.CREATE_FIELDS, status="manual", match_level="unknown"), _proof(), "manual needs requires_manual; manual needs a match; manual needs notes"),
-    (_record(rules.CREATE_FIELDS, deadline="null", designated_supplier="甲", budget=5), _proof(("title", "purchaser", "source_url", "matched_category", "deadline")), "active needs a deadline; active has a designated supplier; no evidence: budget"),
-    ("[1]", _proof(), "not an object"),
-    (_record(rules.CREATE_FIELDS, record_id="T20260811-K0X2P9", category="书", title="null"), _proof(checked_at="2026-08-18T10:00:00"), "record_id; category; title is required; checked_at is no time with a zone"),
-]
-#: Updates likewise.
-UPDATES = [
-    (_record(rules.UPDATE_FIELDS), _proof(), ""),
-    (_record(rules.UPDATE_FIELDS, change_type="status_change", status="closed", winner="甲", award_amount=7), _proof(("source_url", "notice_type", "publish_date", "status")), "no evidence: award_amount,winner"),
-    (_record(rules.UPDATE_FIELDS, change_type="deadline_change"), _proof(("source_url", "notice_type", "publish_date")), "no evidence: deadline"),
-    (_record(rules.UPDATE_FIELDS, status="unheard", change_type="x"), _proof(), "status; change_type"),
-    (_record(rules.UPDATE_FIELDS, notes=["a"]), _proof(), "notes: nested; notes: not a string"),
-]
-#: Evidence by itself (source only), and its errors.
-EVIDENCE = [
-    (_proof(), ""),
-    (_proof(verification_level=None), ""),
-    (_proof(source_verified=False), "source_verified must be true"),
-    (_proof(verification_level="search_content", source_verified=False), "search_content only for status=manual"),
-    (_proof(verification_level="hearsay"), "verification_level is neither source nor search_content"),
-    (_proof(checked_at="2026-08-18", field_evidence={"title": " "}), "checked_at is no time with a zone; field_evidence has a blank"),
-    (_proof(checked_at="", field_evidence={}), "checked_at is missing; field_evidence is empty"),
-    ("7", "evidence is not an object"),
-]
-PAYLOADS = [(_record(rules.UPDATE_FIELDS, notice_type="更正公告"), ""), (_record(rules.UPDATE_FIELDS, status="null"), "status"), ('{"a":', "not an object")]
-STRUCTURES = [(_record(rules.UPDATE_FIELDS), ""), (_record(rules.UPDATE_FIELDS, winner=None, Winner="甲"), "missing; extra"), (json.dumps(json.loads(_record(rules.UPDATE_FIELDS)) | {"notes": None, "winner": {}}), "winner: null or nested; notes: null or nested")]
-
-
-def _errors(s: SparkSession, d: str, name: str, key: str, kinds: list[tuple], of) -> DataFrame:
-    columns = [_kinds(F.col(key), [k[i] for k in kinds]) for i in range(len(kinds[0]) - 1)]
-    return table(s, d, name).select(key, F.array_join(of(*columns), "; ").alias("errors"))
-
-
-def create_check(s, d):
-    return _errors(s, d, "orders", "o_orderkey", CREATES, validate.create_record)
-
-
-def update_check(s, d):
-    return _errors(s, d, "orders", "o_orderkey", UPDATES, validate.update_record)
-
-
-def evidence_check(s, d):
-    return _errors(s, d, "documents", "doc_id", EVIDENCE, lambda e: validate.evidence(e, F.lit(False)))
-
-
-def payload_check(s, d):
-    return _errors(s, d, "documents", "doc_id", PAYLOADS, lambda r: validate.payload_file("update", r))
-
-
-def structure_check(s, d):
-    return _errors(s, d, "documents", "doc_id", STRUCTURES, lambda r: validate.structure(r, rules.UPDATE_FIELDS))
-
-
 def required_evidence(s, d):
     """Documents whose languages and sources are the fields with evidence."""
     proof = F.to_json(F.struct(F.create_map("lang", F.lit("seen"), "source", F.lit("seen")).alias("field_evidence")))
@@ -240,6 +160,12 @@ def typed_attachments(s, d):
     return contract.attachments(table(s, d, "pages").withColumn("html", html), ("pdf", "docx"), ("the",)).select("page_id", "ord", "url")
 
 
+def sized_attachments(s, d):
+    """Links of pages, where the largest of the pages that they lead to is the main one, unless one ends in html."""
+    pages = table(s, d, "pages")
+    return contract.attachments(pages, None, (".html",), pages.select("url", F.octet_length("html").alias("length")))
+
+
 def _orders_as_records(s, d):
     o = table(s, d, "orders")
     given = {"record_id": F.col("o_orderkey").cast("string"), "project_code": F.col("o_custkey").cast("string"), "purchaser": F.date_format("o_orderdate", "yyyyMMdd"), "source_url": F.concat(F.lit("http://x.example/"), F.col("o_orderkey").cast("string")), "budget": F.col("o_totalprice"), "days_left": F.lit(0), "award_amount": F.lit(0.0), "requires_manual": F.lit(False)}
@@ -261,6 +187,20 @@ def update_fold(s, d):
     return state.fold_updates(u)
 
 
+def history_log(s, d):
+    """Orders as history: those with an even number its base, every other of the rest created since; each line of an order is an update
+    in the log, in the order of the lines, of which each gives another field."""
+    r = _order_records(s, d).withColumn("n", F.lit(0)).withColumn("c", F.lit(""))
+    line, ship = F.col("l_linenumber"), F.date_format("l_shipdate", "yyyy-MM-dd")
+    updates = table(s, d, "lineitem").select(
+        F.col("l_orderkey").cast("string").alias("record_id"), line.alias("n"), F.concat_ws("/", F.format_string("%08d/%08d", "l_partkey", "l_suppkey"), ship).alias("c"), F.array(line).alias("found_by_query"),
+        F.when(line % 2 == 0, F.col("l_linestatus")).alias("status"), F.when(line % 2 == 1, ship).alias("deadline"), F.when(line % 3 == 0, F.col("l_extendedprice")).alias("budget"),
+    )
+    log = history_table.entries(r.where("_key % 4 = 1"), updates, "1998-02-02", F.format_string("c%02d/%s", "n", "c"))
+    base = r.where("_key % 2 = 0").withColumn("seen_ord", F.format_string("%020d", "_key")).select(*[f.split(" ")[0] for f in history_table.PLACED.split(", ")])
+    return history_table.merged(base, log).select("record_id", "status", "deadline", "budget", "dedup_key", "first_seen", "last_seen", "pushed", "found_by_query")
+
+
 def seen_title_equal(s, d):
     return match.by_title(candidates(s, d), history(s, d), 1.0)
 
@@ -276,7 +216,7 @@ def run_manifest(s, d):
     b = route.assign_batches(pages, 5)
     funnel = pages.agg(F.count("*").alias("indexed"))
     h = hits(s, d)
-    m = report.manifest("r1", "daily-push", 5, funnel, route.batches(b, b.where("ord < 20").select("batch_id")), dedup.run_totals(h, dedup.dedup_hits(h), h.select("query_no")))
+    m = report.manifest("r1", "daily-push", 5, funnel, route.batches(b, b.where("ord < 20").select("batch_id")), dedup.run_totals(h, h.select("query_no")))
     return m.select("run_id", "indexed", "batches", "batches_done", "next_batch", "state", "next_action", "raw", "candidates")
 
 
@@ -286,9 +226,9 @@ def authority_preview(s, d):
 
 
 QUERIES = {f.__name__: f for f in (
-    create_check, update_check, evidence_check, payload_check, structure_check, required_evidence, fallback_check, query_subset, query_composition, failed_queries, contribution, light_index,
+    required_evidence, fallback_check, query_subset, query_composition, failed_queries, contribution, light_index,
     content_identity, first_row, stale_notices, notice_status, change_type, category_choice, masked_defaults, iso_times, days_left, record_ids, missing_targets, push_permission, ledger_append,
-    typed_attachments, record_push, update_fold, seen_title_equal, route_all_tiers, run_manifest, authority_preview,
+    typed_attachments, sized_attachments, record_push, update_fold, history_log, seen_title_equal, route_all_tiers, run_manifest, authority_preview,
 )}
 
 _ABS = """CASE WHEN regexp_matches(href, '^(?i)[a-z][a-z0-9+.-]*:') THEN href WHEN starts_with(href, '/') THEN regexp_extract(page, '^(https?://[^/?#]*)', 1) || href
@@ -297,11 +237,6 @@ _LETTERS = " || ".join(f"substr('ABCDEFGHJKLMNPQRSTUVWXYZ23456789', CAST(CAST('0
 _KEYS = "o AS (SELECT o_orderkey AS k, o_custkey || '|' || strftime(o_orderdate, '%Y%m%d') AS dk FROM orders)"
 
 SQL = {
-    "create_check": _expected("orders", "o_orderkey", [x[2] for x in CREATES]),
-    "update_check": _expected("orders", "o_orderkey", [x[2] for x in UPDATES]),
-    "evidence_check": _expected("documents", "doc_id", [x[1] for x in EVIDENCE]),
-    "payload_check": _expected("documents", "doc_id", [x[1] for x in PAYLOADS]),
-    "structure_check": _expected("documents", "doc_id", [x[1] for x in STRUCTURES]),
     "required_evidence": """WITH m AS (SELECT doc_id, [x FOR x IN ['en', 'src1', 'src2'] IF x <> lang AND x <> source] AS m FROM documents WHERE lang IS NOT NULL AND source IS NOT NULL)
         SELECT doc_id, CASE WHEN len(m) > 0 THEN 'no evidence: ' || array_to_string(m, ',') ELSE '' END AS errors FROM m""",
     "fallback_check": """WITH p AS (SELECT *, printf('P%06d', page_id) AS id, page_id % 6 AS k FROM pages)
@@ -338,10 +273,19 @@ SQL = {
     "typed_attachments": f"""WITH p AS (SELECT page_id, url AS page, regexp_extract_all(replace(replace(html, '/the"', '/the.PDF"'), '/de"', '/de.docx"'), '(?i)href="([^"]*\\.(?:pdf|docx))"', 1) AS x FROM pages),
         l AS (SELECT page_id, page, unnest(x) AS href, generate_subscripts(x, 1) - 1 AS ord FROM p)
         SELECT page_id, CAST(ord AS INTEGER) AS ord, {_ABS} AS url FROM l""",
+    "sized_attachments": f"""WITH l AS (SELECT page_id, url AS page, unnest(regexp_extract_all(html, '(?i)href="([^"]*)"', 1)) AS href, generate_subscripts(regexp_extract_all(html, '(?i)href="([^"]*)"', 1), 1) - 1 AS ord FROM pages),
+        a AS (SELECT page_id, CAST(ord AS INTEGER) AS ord, {_ABS} AS url FROM l), z AS (SELECT url, max(CAST(strlen(html) AS INTEGER)) AS length FROM pages GROUP BY url)
+        SELECT page_id, ord, url, length, row_number() OVER (PARTITION BY page_id ORDER BY contains(url, '.html') DESC, CASE WHEN NOT contains(url, '.html') THEN length END DESC NULLS LAST, ord) = 1 AS main FROM a LEFT JOIN z USING (url)""",
     "record_push": f"""WITH {_KEYS}, t AS (SELECT dk FROM o GROUP BY dk HAVING count(*) > 1)
         SELECT CAST(k AS VARCHAR) AS candidate_id, CASE WHEN dk IN (SELECT dk FROM t) OR k % 12 = 0 THEN 'conflict' WHEN k % 6 = 0 THEN 'recovered' ELSE 'append' END AS action FROM o""",
     "update_fold": """SELECT l_orderkey AS record_id, strftime(max(l_shipdate), '%Y-%m-%d') AS confirmed_at, arg_max(c, strftime(l_shipdate, '%Y-%m-%d') || c) AS candidate_id, arg_max(l_linestatus, strftime(l_shipdate, '%Y-%m-%d') || c) AS status, list_sort(list_distinct(list(l_linenumber))) AS found_by_query
         FROM (SELECT *, printf('%02d-%08d', l_linenumber, l_partkey) AS c FROM lineitem) GROUP BY l_orderkey""",
+    "history_log": f"""WITH {_ORD}, l AS (SELECT *, printf('%02d/%08d/%08d/', l_linenumber, l_partkey, l_suppkey) || strftime(l_shipdate, '%Y-%m-%d') AS p FROM lineitem),
+        u AS (SELECT l_orderkey AS k, arg_max(l_linestatus, p) FILTER (l_linenumber % 2 = 0) AS status, arg_max(strftime(l_shipdate, '%Y-%m-%d'), p) FILTER (l_linenumber % 2 = 1) AS deadline,
+            arg_max(l_extendedprice, p) FILTER (l_linenumber % 3 = 0) AS budget, list(l_linenumber) AS q FROM l GROUP BY 1)
+        SELECT record_id, coalesce(u.status, o.status) AS status, coalesce(u.deadline, o.deadline) AS deadline, coalesce(u.budget, o.budget) AS budget, dedup_key,
+            CASE WHEN k % 2 = 0 THEN '1998-01-01' ELSE '1998-02-02' END AS first_seen, CASE WHEN k % 2 = 0 AND q IS NULL THEN '1998-01-01' ELSE '1998-02-02' END AS last_seen, true AS pushed,
+            list_sort(list_distinct(list_concat([CAST(k % 5 AS INTEGER)], coalesce(q, [])))) AS found_by_query FROM o LEFT JOIN u USING (k) WHERE k % 2 = 0 OR k % 4 = 1""",
     "seen_title_equal": f"WITH {_CAND}, {_SEEN} SELECT c.candidate_id, seen_ord, record_id FROM c JOIN (SELECT *, {_FP.format('title')} AS fp2 FROM seen) s ON c.fp = s.fp2 WHERE length(c.fp) >= 10",
     "run_manifest": f"""WITH {_BATCH}, {_DEDUP}, g AS (SELECT batch_id, min(page_id) < 20 AS done FROM b GROUP BY 1)
         SELECT 'r1' AS run_id, (SELECT count(*) FROM pages) AS indexed, count(*) AS batches, count(*) FILTER (done) AS batches_done, min(batch_id) FILTER (NOT done) AS next_batch, 'VERIFYING' AS state, 'SUBMIT_BATCHES' AS next_action,

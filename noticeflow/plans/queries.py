@@ -17,7 +17,7 @@ from ..operators import cluster, contract, dedup, export, match, route, state, v
 EXCLUSIONS = (rules.Rule("license", "license"), rules.Rule("marks", "%%%|###"), rules.Rule("shout", "!!"))
 INTENT = ("the", "le", "der", "el")
 UPDATES = ("of", "que")
-SIGNALS = (rules.Rule("mail", "@"), rules.Rule("phone", r"[0-9]{3}[- ][0-9]{3,4}"), rules.Rule("licence", "licensed under"), rules.Rule("table", r" \| "))
+SIGNALS = (rules.Rule("mail", "@"), rules.Rule("phone", r"[0-9]{3}[- ][0-9]{3,4}"), rules.Rule("licence", "licensed under"), rules.Rule("table", r" \| ", (" | ",)))
 AS_OF = "1998-01-01 00:00:00"
 
 
@@ -77,7 +77,7 @@ def query_attribution(s, d):
 
 def run_totals(s, d):
     h = hits(s, d)
-    return dedup.run_totals(h, dedup.dedup_hits(h), h.select("query_no"))
+    return dedup.run_totals(h, h.select("query_no"))
 
 
 def title_cluster(s, d):
@@ -294,7 +294,24 @@ def preview_top(s, d):
 
 
 def page_contacts(s, d):
-    return table(s, d, "pages").select("page_id", F.size(T.phones(T.html_text(F.col("html")))).alias("phones"))
+    """Pages' owners as contacts, which stand after the sign of a copyright, and their words of four letters as numbers."""
+    c = T.contacts(F.col("html"), r"&copy; ([a-z.]+)", r"\b([a-z]{4})\b")
+    return table(s, d, "pages").select("page_id", c["name"].alias("name"), c["phone"].alias("phone"))
+
+
+def cluster_members(s, d):
+    return cluster.members(candidates(s, d)).select("cluster_key", "number", "candidate_id")
+
+
+def cluster_first(s, d):
+    """Clusters with the first two of their members."""
+    return cluster.cluster(candidates(s, d), most=2).select("candidate_id", "cluster_members", "n_members")
+
+
+def batch_assign_skewed(s, d):
+    """Orders in batches of seven by a number of which most lie close together."""
+    o = table(s, d, "orders").select("o_orderkey", (F.col("o_orderkey") * F.col("o_orderkey") * F.col("o_orderkey")).alias("ord"))
+    return route.assign_batches(o, 7, parts=16).select("o_orderkey", "batch_id")
 
 
 def word_tags(s, d):
@@ -306,5 +323,5 @@ QUERIES = {f.__name__: f for f in (
     url_normalize, title_fingerprint, candidate_id, teaser, hit_dedup, query_attribution, run_totals, title_cluster, seen_url_match, seen_code_match, seen_fuzzy_match,
     route_cases, route_funnel, clear_exclude, intent_filter, category_signals, search_evidence, overdue_sweep, seen_upsert, update_backfill, region_lookup, attachment_extract,
     batch_assign, batch_status, next_batch, decision_counts, result_summary, authority_histogram, retirement_window, ledger_idempotent, stats_recompute, push_counts,
-    index_validate, record_validate, batch_result_parity, dup_or_join, state_machine, receipt_check, payload_export, query_gaps, preview_top, page_contacts, word_tags,
+    index_validate, record_validate, batch_result_parity, dup_or_join, state_machine, receipt_check, payload_export, query_gaps, preview_top, page_contacts, word_tags, cluster_members, cluster_first, batch_assign_skewed,
 )}

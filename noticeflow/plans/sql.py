@@ -16,14 +16,40 @@ _SEEN = "seen AS (SELECT ord AS seen_ord, candidate_id AS record_id, url AS sour
 _HIT = "h AS (SELECT CAST(regexp_extract(source, '([0-9]+)', 1) AS INTEGER) AS query_no, doc_id AS pos, sha256(coalesce(text, '')) AS url, lang AS site_name, CAST(doc_id AS VARCHAR) AS title FROM documents)"
 _DEDUP = f"{_HIT}, dd AS (SELECT url, arg_min(title, query_no * 4294967296 + pos) AS title, arg_min(site_name, query_no * 4294967296 + pos) AS site_name, list_sort(list_distinct(list(query_no))) AS found_by_query FROM h GROUP BY url)"
 _LOW = "lower(title || ' ' || title)"
-_ROUTED = f"""{_CLUSTER}, {_SEEN},
+#: From pr (a, b): alike (a, b), the pairs with a similarity of 0.86 or more, strings under 200 characters. Runs of equal characters on
+#: a diagonal are found once; each range of a pair then takes its longest run, the earliest in a and b of several, and is split by it.
+_ALIKE = """p AS (SELECT row_number() OVER () AS p, a, b FROM pr WHERE 2 * least(length(a), length(b)) >= 0.86 * (length(a) + length(b))),
+  pa AS (SELECT a, unnest(string_split(a, '')) AS x, generate_subscripts(string_split(a, ''), 1) - 1 AS i FROM (SELECT DISTINCT a FROM p)),
+  pb AS (SELECT b, unnest(string_split(b, '')) AS x, generate_subscripts(string_split(b, ''), 1) - 1 AS j FROM (SELECT DISTINCT b FROM p)),
+  runs AS (SELECT p, min(i) AS i, min(j) AS j, count(*) AS n FROM (
+      SELECT p, i, j, i - row_number() OVER (PARTITION BY p, i - j ORDER BY i) AS g FROM p JOIN pa USING (a) JOIN pb ON pb.b = p.b AND pb.x = pa.x) GROUP BY p, i - j, g),
+  span AS (SELECT p, 0 AS al, length(a) AS ah, 0 AS bl, length(b) AS bh FROM p
+      UNION ALL
+      SELECT p, y.al, y.ah, y.bl, y.bh FROM (
+          SELECT p, unnest([{'al': al, 'ah': t.i, 'bl': bl, 'bh': t.j}, {'al': t.i - t.n, 'ah': ah, 'bl': t.j - t.n, 'bh': bh}]) AS y FROM (
+              SELECT p, al, ah, bl, bh, min({'n': greatest(0, al - i, bl - j) - least(n, ah - i, bh - j), 'i': i + greatest(0, al - i, bl - j), 'j': j + greatest(0, al - i, bl - j)}) AS t
+              FROM span JOIN runs USING (p) WHERE least(n, ah - i, bh - j) > greatest(0, al - i, bl - j) GROUP BY ALL)) WHERE y.al < y.ah AND y.bl < y.bh),
+  alike AS (SELECT a, b FROM p JOIN (
+      SELECT p, sum(n) AS m FROM (SELECT p, max(least(n, ah - i, bh - j) - greatest(0, al - i, bl - j)) AS n FROM span JOIN runs USING (p) WHERE least(n, ah - i, bh - j) > greatest(0, al - i, bl - j) GROUP BY p, al, ah, bl, bh) GROUP BY p
+  ) USING (p) WHERE 2.0 * m / (length(a) + length(b)) >= 0.86)"""
+_SEEN_BASES = f"sb AS (SELECT seen_ord, record_id, {_FP.format('title')} AS b FROM seen), sl AS (SELECT * FROM sb WHERE length(b) >= 10)"
+
+
+def _routed(third: bool = False) -> str:
+    """Clusters as they are routed; with the third tier, by titles, if asked for."""
+    by_title = f""", {_SEEN_BASES}, rest AS (SELECT cl.candidate_id, {_FP.format('cl.title')} AS a FROM cl WHERE regexp_matches(title, '(?i)of|que') AND candidate_id NOT IN (SELECT candidate_id FROM m1) AND candidate_id NOT IN (SELECT candidate_id FROM m2)),
+  pr AS (SELECT DISTINCT a, b FROM rest, sl WHERE length(a) >= 10), {_ALIKE}, m3 AS (SELECT DISTINCT candidate_id FROM rest JOIN alike USING (a))""" if third else ", m3 AS (SELECT NULL AS candidate_id WHERE false)"
+    return f"""{_CLUSTER}, {_SEEN},
   m1 AS (SELECT cl.candidate_id FROM cl JOIN seen ON {_NORM_OF.format('cl.url')} = {_NORM_OF.format('seen.source_url')} GROUP BY 1),
-  m2 AS (SELECT DISTINCT cl.candidate_id FROM cl JOIN seen ON contains(lower(cl.title || ' ' || cl.title), lower(code)) WHERE code <> '' AND code <> 'null' AND regexp_matches(cl.title, '(?i)of|que')),
-  r0 AS (SELECT cl.*, CASE WHEN m1.candidate_id IS NOT NULL THEN 'source_url' WHEN m2.candidate_id IS NOT NULL THEN 'project_code' END AS reason,
+  m2 AS (SELECT DISTINCT cl.candidate_id FROM cl JOIN seen ON contains(lower(cl.title || ' ' || cl.title), lower(code)) WHERE code <> '' AND code <> 'null' AND regexp_matches(cl.title, '(?i)of|que')){by_title},
+  r0 AS (SELECT cl.*, CASE WHEN m1.candidate_id IS NOT NULL THEN 'source_url' WHEN m2.candidate_id IS NOT NULL THEN 'project_code' WHEN m3.candidate_id IS NOT NULL THEN 'title_similarity' END AS reason,
          CASE WHEN regexp_matches(title, '(?i)license') THEN 'license' WHEN regexp_matches(title, '%%%|###') THEN 'marks' WHEN contains(title, '!!') THEN 'shout' END AS ex
-         FROM cl LEFT JOIN m1 USING (candidate_id) LEFT JOIN m2 USING (candidate_id)),
+         FROM cl LEFT JOIN m1 USING (candidate_id) LEFT JOIN m2 USING (candidate_id) LEFT JOIN m3 USING (candidate_id)),
   r AS (SELECT *, CASE WHEN reason IS NOT NULL AND regexp_matches(title, '(?i)of|que') THEN 'update' WHEN reason IS NOT NULL THEN 'already_seen' WHEN ex IS NOT NULL THEN 'screened_out'
         WHEN NOT regexp_matches(title, '(?i)the|le|der|el') THEN 'screened_out' ELSE 'create' END AS route FROM r0)"""
+
+
+_ROUTED = _routed()
 _SIGNALS = """[x FOR x IN [CASE WHEN contains({0}, '@') THEN 'mail' END, CASE WHEN regexp_matches({0}, '[0-9]{{3}}[- ][0-9]{{3,4}}') THEN 'phone' END,
   CASE WHEN regexp_matches({0}, '(?i)licensed under') THEN 'licence' END, CASE WHEN contains({0}, ' | ') THEN 'table' END] IF x IS NOT NULL]"""
 _ORD = """o AS (SELECT CAST(o_orderkey AS VARCHAR) AS record_id, CASE WHEN o_orderstatus = 'O' THEN 'active' ELSE 'closed' END AS status, strftime(o_orderdate, '%Y-%m-%dT%H:%M') AS deadline,
@@ -41,9 +67,23 @@ SQL = {
         SELECT query_no, count(*) AS raw, coalesce(max(u), 0) AS "unique", CAST(0 AS BIGINT) AS pushed, 1 - coalesce(max(u), 0) / count(*) AS redundancy FROM h LEFT JOIN u USING (query_no) GROUP BY query_no""",
     "run_totals": f"WITH {_DEDUP} SELECT (SELECT count(DISTINCT query_no) FROM h) AS query_ok, CAST(0 AS BIGINT) AS query_failed, (SELECT count(*) FROM h) AS raw, count(*) AS candidates, count(*) FILTER (len(found_by_query) = 1) AS single FROM dd",
     "title_cluster": f"WITH {_CLUSTER} SELECT candidate_id, title, found_by_query, cluster_members, CAST(len(cluster_members) - 1 AS INTEGER) AS n_alternates FROM cl",
+    "cluster_members": f"WITH {_CAND}, k AS (SELECT *, CASE WHEN length(fp) < 8 THEN '#' || candidate_id ELSE fp END AS key FROM c) SELECT key AS cluster_key, row_number() OVER (PARTITION BY key ORDER BY ord) - 1 AS number, candidate_id FROM k",
+    "cluster_first": f"WITH {_CLUSTER} SELECT candidate_id, cluster_members[:2] AS cluster_members, len(cluster_members) AS n_members FROM cl",
+    "batch_assign_skewed": "SELECT o_orderkey, printf('batch-%04d', CAST(floor((row_number() OVER (ORDER BY o_orderkey) - 1) / 7) + 1 AS BIGINT)) AS batch_id FROM orders",
+    "page_contacts": r"""WITH l AS (SELECT page_id, string_split(regexp_replace(regexp_replace(html, '(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->', ' ', 'g'),
+            '(?is)</?(?:p|div|br|li|ul|ol|tr|table|h[1-6]|section|article|header|footer|main|nav|aside|body|form|dl|hr|pre|blockquote)\b[^>]*>', chr(1), 'g'), chr(1)) AS l FROM pages),
+        e AS (SELECT page_id, unnest(l) AS x, generate_subscripts(l, 1) AS k FROM l),
+        t AS (SELECT page_id, k, regexp_replace(regexp_replace(x, '(?s)<[^>]*>', ' ', 'g'), '\s+', ' ', 'g') AS x FROM e),
+        f AS (SELECT page_id, k, regexp_extract(x, '&copy; ([a-z.]+)', 1) AS name, regexp_extract_all(x, '\b([a-z]{4})\b', 1) AS w FROM t),
+        n AS (SELECT page_id, max(k) AS kn, arg_max(name, k) AS name FROM f WHERE name <> '' GROUP BY page_id),
+        p AS (SELECT page_id, arg_min(w[1], k) FILTER (WHERE k >= kn) AS after, arg_max(w[-1], k) AS last FROM f LEFT JOIN n USING (page_id) WHERE len(w) > 0 GROUP BY page_id)
+        SELECT page_id, coalesce(name, 'null') AS name, coalesce(after, last, 'null') AS phone FROM pages LEFT JOIN n USING (page_id) LEFT JOIN p USING (page_id)""",
     "seen_url_match": f"""WITH {_CAND}, {_SEEN}, m AS (SELECT c.candidate_id, list(DISTINCT record_id) AS ids FROM c JOIN seen ON {_NORM_OF.format('c.url')} = {_NORM_OF.format('seen.source_url')} GROUP BY 1)
         SELECT c.candidate_id, coalesce(list_sort(ids), []) AS matched_seen_record_ids, CASE WHEN ids IS NOT NULL THEN 'source_url' END AS seen_match_reason FROM c LEFT JOIN m USING (candidate_id)""",
     "seen_code_match": f"WITH {_CAND}, {_SEEN} SELECT DISTINCT candidate_id, seen_ord, record_id FROM c JOIN seen ON contains(lower(c.title || ' ' || c.title), lower(code)) WHERE code <> '' AND code <> 'null'",
+    "seen_fuzzy_match": f"""WITH RECURSIVE {_CAND}, {_SEEN}, {_SEEN_BASES}, cb AS (SELECT candidate_id, fp AS a FROM c WHERE length(fp) >= 10), pr AS (SELECT DISTINCT a, b FROM cb, sl), {_ALIKE}
+        SELECT candidate_id, seen_ord, record_id FROM cb JOIN alike USING (a) JOIN sl USING (b)""",
+    "route_all_tiers": f"WITH RECURSIVE {_routed(True)} SELECT candidate_id, reason AS seen_match_reason, route FROM r",
     "route_cases": f"""WITH {_ROUTED} SELECT candidate_id, reason AS seen_match_reason, route, CASE WHEN route = 'already_seen' THEN 'seen' WHEN route = 'screened_out' AND ex IS NOT NULL THEN 'excluded: ' || ex
         WHEN route = 'screened_out' THEN 'no intent' END AS skip_reason, CASE WHEN route IN ('update', 'create') THEN route END AS flow_hint FROM r""",
     "route_funnel": f"""WITH {_ROUTED} SELECT (SELECT count(*) FROM pages) AS indexed, count(*) AS clusters, count(*) FILTER (route IN ('create', 'update')) AS queued, count(*) FILTER (route = 'update') AS possible_updates,

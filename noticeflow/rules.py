@@ -17,12 +17,29 @@ def java(pattern: str) -> str:
     return FLAGS + pattern.replace(r"\b", BOUNDARY)
 
 
+def literal(word: str) -> str:
+    """A word as a pattern that matches it alone."""
+    return "".join("\\" + c if not c.isalnum() and c.isascii() else c for c in word)
+
+
 @dataclass(frozen=True)
 class Rule:
-    """A named pattern; of an exclusion the pattern is the name."""
+    """A named pattern; of an exclusion the pattern is the name. A text that matches has one of the hints, case aside.
+
+    A plain pattern is nothing but words, which are its hints then.
+    """
 
     name: str
     pattern: str
+    words: tuple[str, ...] = ()
+
+    @property
+    def plain(self) -> bool:
+        return not set(self.pattern) & set(r"\.^$*+?{}[]()")
+
+    @property
+    def hints(self) -> tuple[str, ...]:
+        return tuple(self.pattern.split("|")) if self.plain else self.words
 
 
 # Enumerations, field orders, word lists and patterns of the data model.
@@ -78,7 +95,7 @@ FATAL_CODES = (10401, 10403, 10406, 10409, 10410, 10412)
 RETRY_CODES = (10500, 700429)
 TIME_RANGES = ("OneDay", "OneWeek", "OneMonth", "OneYear")
 EXCLUSIONS = tuple(
-    Rule(p, p)
+    Rule(p, p, ("食堂",))
     for p in (
         "食堂.*食材|食材.*食堂", "职工体检|员工体检", "餐饮服务", "外送检测服务|检验外送服务", "物业服务", "保洁服务",
         "科普|健康教育|患者教育|研究进展|学术论文|文献解读", "产品介绍|新品发布|促销活动|营销方案|品牌推广",
@@ -86,13 +103,13 @@ EXCLUSIONS = tuple(
     )
 )
 SIGNALS = (
-    Rule("过敏原sIgE试剂", r"过敏原|过敏源|变应原|特异性\s*IgE|sIgE"),
-    Rule("总IgE试剂", r"总\s*IgE|tIgE"),
-    Rule("自身抗体/自身免疫试剂", r"自身抗体|自身免疫|抗核抗体|\bANA\b|\bENA\b|双链\s*DNA|dsDNA|\bANCA\b"),
-    Rule("酶联免疫(ELISA)试剂", r"酶联免疫|\bELISA\b"),
-    Rule("化学发光免疫", r"化学发光.{0,8}(?:免疫|分析仪|试剂|检测)|(?:免疫|分析仪|试剂|检测).{0,8}化学发光|发光免疫"),
+    Rule("过敏原sIgE试剂", r"过敏原|过敏源|变应原|特异性\s*IgE|sIgE", ("过敏原", "过敏源", "变应原", "特异性", "sIgE")),
+    Rule("总IgE试剂", r"总\s*IgE|tIgE", ("总", "tIgE")),
+    Rule("自身抗体/自身免疫试剂", r"自身抗体|自身免疫|抗核抗体|\bANA\b|\bENA\b|双链\s*DNA|dsDNA|\bANCA\b", ("自身抗体", "自身免疫", "抗核抗体", "ANA", "ENA", "双链", "dsDNA", "ANCA")),
+    Rule("酶联免疫(ELISA)试剂", r"酶联免疫|\bELISA\b", ("酶联免疫", "ELISA")),
+    Rule("化学发光免疫", r"化学发光.{0,8}(?:免疫|分析仪|试剂|检测)|(?:免疫|分析仪|试剂|检测).{0,8}化学发光|发光免疫", ("化学发光", "发光免疫")),
     Rule("免疫荧光/免疫印迹", r"免疫荧光|免疫印迹|免疫印迹仪"),
-    Rule("免疫质控品/校准品", r"免疫.{0,8}(?:质控品|校准品)|(?:质控品|校准品).{0,8}免疫"),
+    Rule("免疫质控品/校准品", r"免疫.{0,8}(?:质控品|校准品)|(?:质控品|校准品).{0,8}免疫", ("质控品", "校准品")),
     Rule("免疫分析仪器", r"化学发光免疫分析仪|免疫分析仪|全自动酶免|酶免工作站|酶免仪|酶标仪|洗板机"),
 )
 SIGNAL_CATEGORIES = {

@@ -83,9 +83,50 @@ def test_times(spark):
     assert column(spark, ["2019-001", "2026-1", "none"], lambda c: D.stale(c, F.lit("null"), F.lit("null"), now)) == [True, False, False]
 
 
-def test_similarity_is_the_library_ratio_or_zero():
+def edited(r, s, times):
+    for _ in range(times):
+        k = r.randint(0, len(s))
+        s = r.choice([s[:k] + r.choice("abxy中1") + s[k:], s[:k] + s[k + 1 :], s[k:] + s[:k] if r.random() < 0.2 else s])
+    return s
+
+
+def test_similarity_is_the_library_ratio(spark):
     r = random.Random(1)
-    for _ in range(300):
-        a, b = ("".join(r.choice("abcd") for _ in range(r.randint(0, 14))) for _ in range(2))
-        want = SequenceMatcher(None, a, b).ratio()
-        assert similarity.similar(a, b, 0.86) in ((want,) if want >= 0.86 else (want, 0.0))
+    some = lambda letters, n: "".join(r.choice(letters) for _ in range(n))
+    pairs = [("", ""), ("", "a"), ("abcd", "abcd"), ("qabxcd", "abycdf"), ("\U0001f600a中", "中\U0001f600a")]
+    for _ in range(250):
+        a = some(r.choice(["ab", "abcdef", "abcdefghijklmnop中文字"]), r.randint(0, 40))
+        pairs.append((a, edited(r, a, r.randint(0, 6)) if r.random() < 0.6 else some("abcd", r.randint(0, 30))))
+    for n in (199, 200, 201, 230, 330):  # from 200 on, frequent characters of the second one start no block
+        for letters in ("ab", "abcdefghijklmnopqrstuvwxyz0123456789中文字母"):
+            a = some(letters, n)
+            pairs += [(a, edited(r, a, k)) for k in (0, 4, 30)] + [(a, some(letters, n))]
+    got = spark.createDataFrame([(k, *p) for k, p in enumerate(pairs)], "k int, a string, b string").repartition(4).select("k", similarity.similarity(F.col("a"), F.col("b")).alias("s")).collect()
+    assert {x.k: x.s for x in got} == {k: SequenceMatcher(None, a, b).ratio() for k, (a, b) in enumerate(pairs)}
+
+
+def rule_by_rule(ordered):
+    return lambda c: F.array_compact(F.array(*[F.when(T.matches(c, x), F.lit(x.name)) for x in ordered]))
+
+
+def test_many_rules_in_one_scan_say_what_each_says(spark):
+    r = random.Random(7)
+    parts = ["免疫", "荧光", "质控品", "化学发光", "分析仪", "sIgE", "SıGE", "ANA", "ana", " ", "1234567", "总", "　", "IgE", "Kit", "\u212ait", "职工", "体检", "食堂", "食材", "科普", "双链", "DNA", "印迹", "仪", "\n"]
+    texts = [None, ""] + ["".join(r.choice(parts) for _ in range(r.randint(0, 9))) for _ in range(400)]
+    odd = (rules.Rule("kit", "kit|免疫荧光"), rules.Rule("any", r"[0-9]{7}"), rules.Rule("more", "免疫|免疫荧光|免疫荧光免疫"))
+    for ordered in (rules.SIGNALS, rules.EXCLUSIONS, odd):
+        want = column(spark, texts, rule_by_rule(ordered))
+        assert column(spark, texts, lambda c, o=ordered: T.all_matches(c, o)) == want
+        assert column(spark, texts, lambda c, o=ordered: T.first_match(c, o)) == [w[0] if w else None for w in want]
+    words = ("免疫", "免疫荧光", "荧光免疫", "Kit", "kit", "1234", "a.b", "-^]")
+    assert column(spark, [*texts, "xa.bx", "axb", "-^]"], lambda c: T.words_in(c, words)) == [[w for w in words if t and w in t] for t in [*texts, "xa.bx", "axb", "-^]"]]
+    assert column(spark, ["x"], lambda c: T.words_in(c, ())) == [[]]
+
+
+def test_contacts_stand_in_the_last_line_that_names_one(spark):
+    pages = [
+        "<p>联系人：甲乙丙 0991-1111111</p><div>x</div><tr><td>联系人：</td><td>王小明</td></tr><p>电话 0991-2222222</p><p>0991-3333333</p>",
+        "<p>0991-1111111</p><p>经办人: 李老师</p>", "<p>0991-1111111</p><p>0991-2222222 13812345678</p>", "<!-- 联系人：甲乙 --><script>联系人：甲乙</script>", None,
+    ]
+    got = column(spark, pages, T.contacts)
+    assert [(x.name, x.phone) for x in got] == [("王小明", "0991-2222222"), ("李老师", "0991-1111111"), ("null", "13812345678"), ("null", "null"), ("null", "null")]

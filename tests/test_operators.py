@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from noticeflow import rules, schemas
 from noticeflow.operators import cluster, contract, dedup, export, match, route, state
 from noticeflow.plans import run
+from noticeflow.sources import files
 
 
 def hit(query, pos, url, title, **more):
@@ -211,3 +212,48 @@ def test_duplicates_by_any_key(spark):
     recs = spark.createDataFrame([("C1", "R1", "P", "甲", "http://a.cn/1"), ("C2", "R9", "null", "乙", "http://b.cn/"), ("C3", "R8", "Q", "丙", "http://c.cn")], "candidate_id string, record_id string, project_code string, purchaser string, source_url string")
     seen = spark.createDataFrame([("R1", "x", "http://z.cn"), ("S2", "P|甲", "http://y.cn"), ("S3", "w", "http://B.cn?t=5")], "record_id string, dedup_key string, source_url string")
     assert {tuple(r) for r in state.duplicates(recs, seen).collect()} == {("C1", "R1"), ("C1", "S2"), ("C2", "S3")}
+
+
+def test_ranges_are_of_like_size_however_the_order_is_spread(spark):
+    rows = spark.range(4000).select((F.pow(F.lit(1.006), F.col("id")) * 1000).cast("long").alias("ord")).distinct().union(spark.range(3000).select((F.col("id") + 10**15).alias("ord")))
+    n = rows.count()
+    sizes = [r["count"] for r in route.in_ranges(rows, 16).groupBy("_part").count().collect()]
+    assert len(sizes) == 16 and max(sizes) <= 2 * n / 16
+    got = route.assign_batches(rows, 20, parts=16).orderBy("ord").collect()
+    assert [r.batch_id for r in got] == [f"batch-{k // 20 + 1:04d}" for k in range(n)]
+    assert route.assign_batches(rows.limit(0), 5).count() == 0 and [r.batch_id for r in route.assign_batches(rows.limit(1), 5, parts=1).collect()] == ["batch-0001"]
+
+
+def test_a_cluster_of_any_size_is_a_relation(spark):
+    rows = spark.range(3000).select(F.col("id").alias("ord"), F.format_string("C%05d", "id").alias("candidate_id"), F.when(F.col("id") % 10 == 0, F.concat(F.lit("rare title "), F.col("id") % 100)).otherwise("one very frequent title").alias("title_fingerprint"), F.lit("s").alias("site_name"), F.lit("u").alias("url"), F.array((F.col("id") % 3).cast("int")).alias("found_by_query"))
+    got = cluster.members(rows, parts=8)
+    each = {}
+    for r in got.orderBy("ord").collect():
+        each.setdefault(r.cluster_key, []).append((r.number, r.candidate_id))
+    assert all([n for n, _ in m] == list(range(len(m))) for m in each.values()) and sum(map(len, each.values())) == 3000
+    ranged = route.in_ranges(rows.select(cluster.cluster_key().alias("k"), "ord"), 8)
+    assert max(r["count"] for r in ranged.groupBy("k", "_part").count().collect()) < 2 * 3000 / 8  # no task has the whole cluster
+    short, whole = cluster.cluster(rows, most=3), {r.candidate_id: r for r in cluster.cluster(rows).collect()}
+    for r in short.collect():
+        full = whole[r.candidate_id]
+        assert r.cluster_members == full.cluster_members[:3] and r.n_members == len(full.cluster_members) and r.found_by_query == full.found_by_query and len(r.alternate_sources) == min(2, r.n_members - 1)
+
+
+def test_the_largest_attachment_is_the_main_one(spark, tmp_path):
+    for name, n in (("a.pdf", 5), ("b.pdf", 500), ("采购文件.pdf", 1)):
+        (tmp_path / name).write_bytes(b"x" * n)
+    sizes = files.file_sizes(spark, str(tmp_path)).select(F.concat(F.lit("http://h.cn/"), "name").alias("url"), "length")
+    link = lambda *names: "".join(f'<a href="/{x}">' for x in names)
+    pages = spark.createDataFrame([(1, "http://h.cn/p", link("a.pdf", "b.pdf", "c.pdf")), (2, "http://h.cn/p", link("b.pdf", "采购文件.pdf")), (3, "http://h.cn/p", link("c.pdf", "d.pdf"))], "page_id int, url string, html string")
+    got = contract.attachments(pages, sizes=sizes).where("main").orderBy("page_id").collect()
+    assert [(r.url.rsplit("/", 1)[1], r.length) for r in got] == [("b.pdf", 500), ("采购文件.pdf", 1), ("c.pdf", None)]
+
+
+def test_totals_in_one_pass(spark):
+    queries = spark.range(1, 7).select(F.col("id").cast("int").alias("query_no"))
+    hits = frame(spark, HITS, schemas.SEARCH_HIT)
+    totals = dedup.run_totals(hits, queries)
+    assert totals.first().asDict() == {"query_ok": 5, "query_failed": 1, "raw": 7, "candidates": 5, "single": 4}
+    plan = totals._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") == 1  # the hits, once
+    assert dedup.run_totals(hits.limit(0), queries).first().asDict() == {"query_ok": 6, "query_failed": 0, "raw": 0, "candidates": 0, "single": 0}
