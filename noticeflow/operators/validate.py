@@ -247,21 +247,35 @@ def query_composition(queries: DataFrame, groups: DataFrame, most: int = 6, endi
     return rows.union(mixed.select("query_no", F.lit("several groups")))
 
 
-def select_queries(spark: SparkSession, queries: DataFrame, spec: str) -> DataFrame:
-    """The queries of a selection like 1-4,39; all for an empty one or `all`. Unknown numbers and bad ranges fail."""
-    if spec.strip() in ("", "all"):
-        return queries
+def unknown_queries(spark: SparkSession, queries: DataFrame, spec: str) -> DataFrame:
+    """(query_no) of a selection's numbers that no query has. Bad ranges fail."""
+    return _selected(spark, spec).join(queries, "query_no", "left_anti")
+
+
+def _selected(spark: SparkSession, spec: str) -> DataFrame:
     wanted: list[tuple[int, int]] = []
     for part in spec.split(","):
         a, _, b = part.strip().partition("-")
         if not a.isdigit() or (b and not b.isdigit()) or (b and int(b) < int(a)):
             raise ValueError(f"{part} selects no queries")
         wanted.append((int(a), int(b or a)))
-    ranges = spark.createDataFrame(wanted, "a int, b int").select(F.explode(F.sequence("a", "b")).alias("query_no")).distinct()
-    unknown = [r[0] for r in ranges.join(queries, "query_no", "left_anti").orderBy("query_no").limit(20).collect()]
-    if unknown:
+    return spark.createDataFrame(wanted, "a int, b int").select(F.explode(F.sequence("a", "b")).alias("query_no")).distinct()
+
+
+def select_queries(spark: SparkSession, queries: DataFrame, spec: str) -> DataFrame:
+    """The queries of a selection like 1-4,39; all for an empty one or `all`. Unknown numbers and bad ranges fail."""
+    if spec.strip() in ("", "all"):
+        return queries
+    if unknown := [r[0] for r in unknown_queries(spark, queries, spec).orderBy("query_no").limit(20).collect()]:
         raise ValueError(f"unknown queries: {unknown}")
-    return queries.join(ranges, "query_no", "left_semi")
+    return queries.join(_selected(spark, spec), "query_no", "left_semi")
+
+
+def with_candidate(results: DataFrame, batch: DataFrame) -> DataFrame:
+    """Results with their candidate's columns and an error where the batch has none; of repeated candidates one counts."""
+    own = batch.dropDuplicates(["candidate_id"]).withColumn("_there", F.lit(True))
+    joined = results.join(own, "candidate_id", "left")
+    return joined.withColumn("error", F.when(F.col("_there").isNull(), "not in batch")).drop("_there")
 
 
 def batch_results(results: DataFrame, batch: DataFrame, mode: str) -> DataFrame:

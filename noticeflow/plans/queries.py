@@ -12,7 +12,9 @@ from .. import rules
 from ..functions import text as T
 from ..functions import url as U
 from ..functions import variant as V
+from ..functions.similarity import similarity
 from ..operators import cluster, contract, dedup, export, match, route, state, validate
+from ..sinks import versioned
 
 EXCLUSIONS = (rules.Rule("license", "license"), rules.Rule("marks", "%%%|###"), rules.Rule("shout", "!!"))
 INTENT = ("the", "le", "der", "el")
@@ -98,6 +100,13 @@ def seen_fuzzy_match(s, d):
     return match.by_title(candidates(s, d), history(s, d), 0.86)
 
 
+def title_ratio(s, d):
+    """How alike the titles of pages are to those of the next page."""
+    c = candidates(s, d)
+    after = c.select((F.col("ord") - 1).alias("ord"), F.col("title_fingerprint").alias("b"))
+    return c.select("ord", "candidate_id", F.col("title_fingerprint").alias("a")).join(after, "ord").select("candidate_id", similarity(F.col("a"), F.col("b")).alias("ratio"))
+
+
 def _routed(s, d):
     c = cluster.cluster(candidates(s, d))
     return route.route(match.match_seen(c, history(s, d), UPDATES, fuzzy=False), EXCLUSIONS, INTENT, UPDATES)
@@ -107,6 +116,12 @@ def route_cases(s, d):
     return _routed(s, d).select("candidate_id", "seen_match_reason", "route", "skip_reason", "flow_hint")
 
 
+def route_outputs(s, d):
+    """What goes to each of the four outputs of a run."""
+    parts = [rows.select("candidate_id", F.lit(name).alias("output")) for name, rows in versioned.routes(_routed(s, d)).items()]
+    return parts[0].union(parts[1]).union(parts[2]).union(parts[3])
+
+
 def route_funnel(s, d):
     pages = candidates(s, d).agg(F.count("*").alias("n"))
     return route.funnel(_routed(s, d).crossJoin(F.broadcast(pages)), F.col("n"))  # one row
@@ -178,6 +193,13 @@ def batch_assign(s, d):
     return route.assign_batches(candidates(s, d), 5).select("candidate_id", "batch_id")
 
 
+def batch_files(s, d):
+    """Batch files: the candidates of each in their order, under the policy."""
+    b = versioned.batch_files(route.assign_batches(candidates(s, d), 5))
+    pages = F.transform("candidates", lambda x: F.get_json_object(x, "$.ord").cast("long"))
+    return b.select("batch_id", F.size("candidates").cast("long").alias("n"), pages.alias("pages"), F.get_json_object("policy", "$.untrusted").isNotNull().alias("has_policy"))
+
+
 def batch_status(s, d):
     b = route.assign_batches(candidates(s, d), 5)
     return route.batches(b, b.where("ord < 60").select("batch_id"))
@@ -257,6 +279,16 @@ def batch_result_parity(s, d):
     return validate.batch_results(results, table(s, d, "documents").select(F.col("doc_id").cast("string").alias("candidate_id")), "daily-push")
 
 
+def result_candidates(s, d):
+    """Labels as results, documents as the candidates that they speak of."""
+    batch = table(s, d, "documents").select(F.col("doc_id").cast("string").alias("candidate_id"), F.col("source").alias("title"))
+    return validate.with_candidate(table(s, d, "labels").select(F.col("doc_id").cast("string").alias("candidate_id")), batch)
+
+
+def unknown_queries(s, d):
+    return validate.unknown_queries(s, table(s, d, "part").select(F.col("p_partkey").cast("int").alias("query_no")), "100-1000, 149990-150010")
+
+
 def dup_or_join(s, d):
     r = table(s, d, "orders").select(F.col("o_orderkey").cast("string").alias("candidate_id"), F.col("o_orderkey"), F.col("o_custkey").cast("string").alias("project_code"), F.date_format("o_orderdate", "yyyyMMdd").alias("purchaser"))
     r = r.select("candidate_id", F.col("candidate_id").alias("record_id"), "project_code", "purchaser", F.concat(F.lit("http://x.example/"), (F.col("o_orderkey") % 5000).cast("string")).alias("source_url"), "o_orderkey")
@@ -320,8 +352,8 @@ def word_tags(s, d):
 
 
 QUERIES = {f.__name__: f for f in (
-    url_normalize, title_fingerprint, candidate_id, teaser, hit_dedup, query_attribution, run_totals, title_cluster, seen_url_match, seen_code_match, seen_fuzzy_match,
+    url_normalize, title_fingerprint, candidate_id, teaser, hit_dedup, query_attribution, run_totals, title_cluster, seen_url_match, seen_code_match, seen_fuzzy_match, title_ratio,
     route_cases, route_funnel, clear_exclude, intent_filter, category_signals, search_evidence, overdue_sweep, seen_upsert, update_backfill, region_lookup, attachment_extract,
     batch_assign, batch_status, next_batch, decision_counts, result_summary, authority_histogram, retirement_window, ledger_idempotent, stats_recompute, push_counts,
-    index_validate, record_validate, batch_result_parity, dup_or_join, state_machine, receipt_check, payload_export, query_gaps, preview_top, page_contacts, word_tags, cluster_members, cluster_first, batch_assign_skewed,
+    index_validate, record_validate, batch_result_parity, dup_or_join, state_machine, receipt_check, payload_export, query_gaps, preview_top, page_contacts, word_tags, cluster_members, cluster_first, batch_assign_skewed, route_outputs, batch_files, result_candidates, unknown_queries,
 )}

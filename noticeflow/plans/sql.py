@@ -16,9 +16,9 @@ _SEEN = "seen AS (SELECT ord AS seen_ord, candidate_id AS record_id, url AS sour
 _HIT = "h AS (SELECT CAST(regexp_extract(source, '([0-9]+)', 1) AS INTEGER) AS query_no, doc_id AS pos, sha256(coalesce(text, '')) AS url, lang AS site_name, CAST(doc_id AS VARCHAR) AS title FROM documents)"
 _DEDUP = f"{_HIT}, dd AS (SELECT url, arg_min(title, query_no * 4294967296 + pos) AS title, arg_min(site_name, query_no * 4294967296 + pos) AS site_name, list_sort(list_distinct(list(query_no))) AS found_by_query FROM h GROUP BY url)"
 _LOW = "lower(title || ' ' || title)"
-#: From pr (a, b): alike (a, b), the pairs with a similarity of 0.86 or more, strings under 200 characters. Runs of equal characters on
+#: From pr (a, b): ratios (a, b, ratio), their similarity, and alike (a, b), those with 0.86 or more; strings under 200 characters. Runs of equal characters on
 #: a diagonal are found once; each range of a pair then takes its longest run, the earliest in a and b of several, and is split by it.
-_ALIKE = """p AS (SELECT row_number() OVER () AS p, a, b FROM pr WHERE 2 * least(length(a), length(b)) >= 0.86 * (length(a) + length(b))),
+_ALIKE = """p AS (SELECT row_number() OVER () AS p, a, b FROM pr),
   pa AS (SELECT a, unnest(string_split(a, '')) AS x, generate_subscripts(string_split(a, ''), 1) - 1 AS i FROM (SELECT DISTINCT a FROM p)),
   pb AS (SELECT b, unnest(string_split(b, '')) AS x, generate_subscripts(string_split(b, ''), 1) - 1 AS j FROM (SELECT DISTINCT b FROM p)),
   runs AS (SELECT p, min(i) AS i, min(j) AS j, count(*) AS n FROM (
@@ -29,16 +29,18 @@ _ALIKE = """p AS (SELECT row_number() OVER () AS p, a, b FROM pr WHERE 2 * least
           SELECT p, unnest([{'al': al, 'ah': t.i, 'bl': bl, 'bh': t.j}, {'al': t.i - t.n, 'ah': ah, 'bl': t.j - t.n, 'bh': bh}]) AS y FROM (
               SELECT p, al, ah, bl, bh, min({'n': greatest(0, al - i, bl - j) - least(n, ah - i, bh - j), 'i': i + greatest(0, al - i, bl - j), 'j': j + greatest(0, al - i, bl - j)}) AS t
               FROM span JOIN runs USING (p) WHERE least(n, ah - i, bh - j) > greatest(0, al - i, bl - j) GROUP BY ALL)) WHERE y.al < y.ah AND y.bl < y.bh),
-  alike AS (SELECT a, b FROM p JOIN (
+  ratios AS (SELECT a, b, CASE WHEN length(a) + length(b) = 0 THEN 1.0 ELSE 2.0 * coalesce(m, 0) / (length(a) + length(b)) END AS ratio FROM p LEFT JOIN (
       SELECT p, sum(n) AS m FROM (SELECT p, max(least(n, ah - i, bh - j) - greatest(0, al - i, bl - j)) AS n FROM span JOIN runs USING (p) WHERE least(n, ah - i, bh - j) > greatest(0, al - i, bl - j) GROUP BY p, al, ah, bl, bh) GROUP BY p
-  ) USING (p) WHERE 2.0 * m / (length(a) + length(b)) >= 0.86)"""
+  ) USING (p)),
+  alike AS (SELECT a, b FROM ratios WHERE ratio >= 0.86)"""
+_BOUND = "2 * least(length(a), length(b)) >= 0.86 * (length(a) + length(b))"
 _SEEN_BASES = f"sb AS (SELECT seen_ord, record_id, {_FP.format('title')} AS b FROM seen), sl AS (SELECT * FROM sb WHERE length(b) >= 10)"
 
 
 def _routed(third: bool = False) -> str:
     """Clusters as they are routed; with the third tier, by titles, if asked for."""
     by_title = f""", {_SEEN_BASES}, rest AS (SELECT cl.candidate_id, {_FP.format('cl.title')} AS a FROM cl WHERE regexp_matches(title, '(?i)of|que') AND candidate_id NOT IN (SELECT candidate_id FROM m1) AND candidate_id NOT IN (SELECT candidate_id FROM m2)),
-  pr AS (SELECT DISTINCT a, b FROM rest, sl WHERE length(a) >= 10), {_ALIKE}, m3 AS (SELECT DISTINCT candidate_id FROM rest JOIN alike USING (a))""" if third else ", m3 AS (SELECT NULL AS candidate_id WHERE false)"
+  pr AS (SELECT DISTINCT a, b FROM rest, sl WHERE length(a) >= 10 AND {_BOUND}), {_ALIKE}, m3 AS (SELECT DISTINCT candidate_id FROM rest JOIN alike USING (a))""" if third else ", m3 AS (SELECT NULL AS candidate_id WHERE false)"
     return f"""{_CLUSTER}, {_SEEN},
   m1 AS (SELECT cl.candidate_id FROM cl JOIN seen ON {_NORM_OF.format('cl.url')} = {_NORM_OF.format('seen.source_url')} GROUP BY 1),
   m2 AS (SELECT DISTINCT cl.candidate_id FROM cl JOIN seen ON contains(lower(cl.title || ' ' || cl.title), lower(code)) WHERE code <> '' AND code <> 'null' AND regexp_matches(cl.title, '(?i)of|que')){by_title},
@@ -81,8 +83,15 @@ SQL = {
     "seen_url_match": f"""WITH {_CAND}, {_SEEN}, m AS (SELECT c.candidate_id, list(DISTINCT record_id) AS ids FROM c JOIN seen ON {_NORM_OF.format('c.url')} = {_NORM_OF.format('seen.source_url')} GROUP BY 1)
         SELECT c.candidate_id, coalesce(list_sort(ids), []) AS matched_seen_record_ids, CASE WHEN ids IS NOT NULL THEN 'source_url' END AS seen_match_reason FROM c LEFT JOIN m USING (candidate_id)""",
     "seen_code_match": f"WITH {_CAND}, {_SEEN} SELECT DISTINCT candidate_id, seen_ord, record_id FROM c JOIN seen ON contains(lower(c.title || ' ' || c.title), lower(code)) WHERE code <> '' AND code <> 'null'",
-    "seen_fuzzy_match": f"""WITH RECURSIVE {_CAND}, {_SEEN}, {_SEEN_BASES}, cb AS (SELECT candidate_id, fp AS a FROM c WHERE length(fp) >= 10), pr AS (SELECT DISTINCT a, b FROM cb, sl), {_ALIKE}
+    "seen_fuzzy_match": f"""WITH RECURSIVE {_CAND}, {_SEEN}, {_SEEN_BASES}, cb AS (SELECT candidate_id, fp AS a FROM c WHERE length(fp) >= 10), pr AS (SELECT DISTINCT a, b FROM cb, sl WHERE {_BOUND}), {_ALIKE}
         SELECT candidate_id, seen_ord, record_id FROM cb JOIN alike USING (a) JOIN sl USING (b)""",
+    "title_ratio": f"""WITH RECURSIVE {_CAND}, n AS (SELECT x.candidate_id, x.fp AS a, y.fp AS b FROM c x JOIN c y ON y.ord = x.ord + 1), pr AS (SELECT DISTINCT a, b FROM n), {_ALIKE}
+        SELECT candidate_id, CAST(ratio AS DOUBLE) AS ratio FROM n JOIN ratios USING (a, b)""",
+    "route_outputs": f"""WITH {_ROUTED} SELECT candidate_id, 'queue' AS output FROM r WHERE route IN ('create', 'update') UNION ALL SELECT candidate_id, 'possible_updates' FROM r WHERE route = 'update'
+        UNION ALL SELECT candidate_id, route FROM r WHERE route IN ('already_seen', 'screened_out')""",
+    "batch_files": f"WITH {_BATCH} SELECT batch_id, count(*) AS n, list(page_id ORDER BY page_id) AS pages, true AS has_policy FROM b GROUP BY batch_id",
+    "result_candidates": "SELECT CAST(l.doc_id AS VARCHAR) AS candidate_id, CASE WHEN d.doc_id IS NULL THEN 'not in batch' END AS error, d.source AS title FROM labels l LEFT JOIN documents d USING (doc_id)",
+    "unknown_queries": "SELECT CAST(x AS INTEGER) AS query_no FROM (SELECT unnest(range(100, 1001)) AS x UNION ALL SELECT unnest(range(149990, 150011))) WHERE x NOT IN (SELECT p_partkey FROM part)",
     "route_all_tiers": f"WITH RECURSIVE {_routed(True)} SELECT candidate_id, reason AS seen_match_reason, route FROM r",
     "route_cases": f"""WITH {_ROUTED} SELECT candidate_id, reason AS seen_match_reason, route, CASE WHEN route = 'already_seen' THEN 'seen' WHEN route = 'screened_out' AND ex IS NOT NULL THEN 'excluded: ' || ex
         WHEN route = 'screened_out' THEN 'no intent' END AS skip_reason, CASE WHEN route IN ('update', 'create') THEN route END AS flow_hint FROM r""",
