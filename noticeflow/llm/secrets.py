@@ -2,7 +2,9 @@
 
 How many guesses a value takes is the cheapest of all ways to cut it into known words, dates, repeats, keyboard walks,
 sequences and brute-force spans, found by dynamic programming. Words are known from a fixed list and from the corpus: its most
-frequent ones, counted over all documents. A value that could be a plain word, a name, a number or an address is no secret.
+frequent ones in several different texts, counted over all documents, but never in a credential's place. The cost decides. Only
+what reads like words (by the pairs of letters that known words have), a number in groups, or an address is no secret whatever
+its cost.
 """
 
 from __future__ import annotations
@@ -47,7 +49,7 @@ DATE = re.compile(r"(?:19|20)\d\d[-/._]?(?:0[1-9]|1[0-2])[-/._]?(?:0[1-9]|[12]\d
 LEET = str.maketrans("4@301!5$7+", "aaeoiisstt")
 #: Decimal digits of guesses from which on a value counts as a secret, the cost of one more span, and of a brute-force character.
 GUESSES, SPAN, BRUTE = 9.0, 0.3, 1.0
-#: Words of the corpus that are known, and in how many documents one has to be (documented bounds of the frequency table).
+#: Words of the corpus that are known, and in how many different texts one has to be (documented bounds of the frequency table).
 MOST, LEAST = 50_000, 5
 #: Letters of a word of the corpus.
 LETTERS = (3, 20)
@@ -55,7 +57,11 @@ LETTERS = (3, 20)
 KEPT = 20_000
 #: Characters around a value that belong to the sentence, and values that are addresses.
 EDGES = "()[]{}.!?:*`"
-ADDRESS = re.compile(r"[a-z][a-z0-9+.-]*://[^/@]*(?:/|$)|[\w.+-]+@[\w-]+\.[\w.-]+$|www\.", re.IGNORECASE | re.ASCII)
+ADDRESS = re.compile(r"[a-z][a-z0-9+.-]*://[^/@]*(?:/|$)|[\w.+-]+@(?:[a-z0-9-]+\.)+[a-z]{2,24}$|www\.(?:[\w-]+\.)+[a-z]{2,24}(?:/|$)", re.IGNORECASE | re.ASCII)
+#: Parts of a name in which capitals begin words, digits of such a name, and the digits of a number in groups.
+PARTS, DIGITS, GROUP = re.compile("[A-Z]?[a-z]+|[A-Z]+(?![a-z])"), 2, re.compile(r"[+(]?\d{1,6}(?:[-./ ()]{1,2}\d{1,6})+")
+#: What a pair of letters may cost on average in a word, and the share of a name's letters that such words have to be.
+READS, SHARE = 1.4, 0.7
 #: Signs between words.
 JOINTS = "-_./'"
 
@@ -111,6 +117,26 @@ class Guesser:
         self.rank = {w: k + 1 for k, w in reversed([*enumerate(COMMON), *enumerate(words, len(COMMON))])}
         self.longest = max(map(len, self.rank))
         self.known: dict[str, float] = {}
+        pairs = Counter(w[k : k + 2] for w in self.rank for k in range(len(w) - 1))
+        firsts = Counter(w[k] for w in self.rank for k in range(len(w) - 1))
+        letters = ORDERED[0]
+        self.pairs = {a + b: -math.log10((pairs[a + b] + 0.5) / (firsts[a] + 13)) for a in letters for b in letters}
+
+    def reads(self, *words: str) -> bool:
+        """Whether letters follow each other, on average over the words, as they do in known ones; other letters than a to z count as
+        the usual ones do, known words as good ones."""
+        costs = [0.0 if w.lower() in self.rank else self.pairs.get(w.lower()[k : k + 2], READS) for w in words for k in range(len(w) - 1)]
+        return sum(costs) <= READS * len(costs)
+
+    def wordlike(self, value: str) -> bool:
+        """Whether a value is made of what reads like words: joined by signs, or a name of several in one with few digits."""
+        if any(not c.isalnum() and c not in JOINTS for c in value) or sum(c.isdigit() for c in value) > DIGITS:
+            return False
+        words = [w for w in re.split(r"[\W\d_]+", value) if w]
+        parts = [p for w in words for p in ([w] if w.islower() or w.isupper() or w.istitle() else PARTS.findall(w))]
+        letters, long = sum(map(len, words)), [p for p in parts if len(p) >= 3]
+        whole = not any(c.isdigit() for c in value) and all(w.islower() or w.isupper() or w.istitle() for w in words)
+        return bool(long) and (self.reads(*words) if whole else all(map(self.reads, long)) and sum(map(len, long)) >= SHARE * letters)
 
     def guesses(self, value: str) -> float:
         """The decimal logarithm of the guesses that the cheapest segmentation of the value takes."""
@@ -138,50 +164,54 @@ class Guesser:
         while start < end and text[start] in EDGES:
             start += 1
         value = text[start:end]
-        if end - start < 6 or ADDRESS.match(value):
+        if end - start < 6 or self.guesses(value) < GUESSES or ADDRESS.match(value) or GROUP.fullmatch(value) or self.wordlike(value):
             return None
-        letters = [c for c in value if c.isalpha()]
-        plain = all(w.islower() or w.isupper() or w.istitle() for w in re.split(r"[^A-Za-z]+", value) if w)
-        signs = any(not c.isalnum() and c not in JOINTS for c in value)
-        if not letters or not (signs or not plain or any(c.isdigit() for c in value)):
-            return None
-        return (start, end) if self.guesses(value) >= GUESSES else None
+        return start, end
 
 
 @common.lean
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    shape, counts = re.compile(rb"[a-z]{%d,%d}" % LETTERS), Counter()
+    """(word, n, text): in how many documents a word is, and the hashes of at most LEAST different texts that have it, one a row."""
+    shape = re.compile(rb"[a-z]{%d,%d}" % LETTERS)
+    counts: Counter = Counter()
+    texts: dict[bytes, set[int]] = {}
 
     def flat() -> pa.RecordBatch:
-        return pa.record_batch([pa.array([w.decode() for w in counts], pa.string()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
+        rows = [(w, n if k == 0 else 0, t) for w, n in counts.items() for k, t in enumerate(texts[w])]
+        words, n, t = zip(*rows, strict=True) if rows else ((), (), ())
+        return pa.record_batch([pa.array([w.decode() for w in words], pa.string()), pa.array(n, pa.int64()), pa.array(t, pa.int64())], names=["word", "n", "text"])
 
     for whole in batches:
         for batch in common.by_bytes(whole, "text"):
-            for text in common.utf8(batch.column(0)):
-                counts.update(w for w in set(text.lower().translate(None, b".,;:!?\"'()").split()) if shape.fullmatch(w))
+            for text in common.strings(batch.column(0)):
+                low = text.lower()
+                if any(m in low for m in MARKS):
+                    low = CONTEXT.sub(" ", low)
+                data = low.encode("utf-8", "replace")
+                ident = int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "little", signed=True)
+                for w in {w for w in set(data.translate(None, b".,;:!?\"'()").split()) if shape.fullmatch(w)}:
+                    counts[w] += 1
+                    own = texts.setdefault(w, set())
+                    if len(own) < LEAST:
+                        own.add(ident)
             if len(counts) > 50_000:
                 yield flat()
                 counts.clear()
+                texts.clear()
     yield flat()
 
 
-def lexicon(docs: DataFrame, most: int = MOST, least: int = LEAST) -> tuple[str, ...]:
-    """The words (a to z, 3 to 20 letters) that most documents have, `least` of them at least; `most` words at most.
+def lexicon(docs: DataFrame, most: int = MOST, least: int = LEAST, texts: int = 1) -> tuple[str, ...]:
+    """The words (a to z, 3 to 20 letters) that most documents have, `least` at least, `most` words at most, each in `texts`
+    different texts (LEAST at most).
 
-    All documents are counted. Only the words above a number of documents that fewer than `most` words reach go to the driver.
+    All documents are counted, whole; what stands in a credential's place isn't, so that a leak that is copied over and over doesn't
+    become a word, nor, where several texts are asked for, does any other word of one text and its copies. Different texts are
+    counted by a sketch that is exact for so few but for rare accidents. Only the words that are kept go to the driver.
     """
-    counts = common.stored(docs.select(F.col("text").cast("string").alias("text")).mapInArrow(_word_counts, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= least))
-    step = F.floor(8 * F.log2(F.col("n").cast("double")))  # eight steps for each doubling
-    levels, total, cut = counts.groupBy(step.alias("step")).count().orderBy(F.desc("step")).collect(), 0, None
-    for level in levels:
-        total += level["count"]
-        if total > most:
-            break
-        cut = level["step"]
-    if cut is None:
-        return ()
-    found = counts.where(step >= cut).collect()
-    return tuple(r["word"] for r in sorted(found, key=lambda r: (-r["n"], r["word"])))
+    rows = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(_word_counts, "word string, n long, text long")
+    counts = rows.groupBy("word").agg(F.sum("n").alias("n"), F.approx_count_distinct("text", 0.02).alias("texts")).where((F.col("n") >= least) & (F.col("texts") >= min(texts, LEAST)))
+    return tuple(r["word"] for r in counts.orderBy(F.desc("n"), "word").limit(most).select("word", "n").collect())
 
 
 _fixed = Guesser()
@@ -225,7 +255,7 @@ def find_secrets(docs: DataFrame, words: tuple[str, ...] | None = None) -> DataF
     `words` are those that make a value easy to guess, the most frequent first; by default the `lexicon` of `docs`. Null counts
     as empty: no spans. Null doc_ids and repeated rows stay; an empty table gives no rows; other columns are ignored.
     """
-    known = lexicon(docs) if words is None else words
+    known = lexicon(docs, texts=LEAST) if words is None else words
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_scan(known), _KINDS)
 
 
@@ -260,4 +290,4 @@ def _mask(names: list[str], words: tuple[str, ...]):
 
 def mask_secrets(docs: DataFrame, words: tuple[str, ...] | None = None) -> DataFrame:
     """All rows and columns of `docs`, each secret in `text` replaced by [SECRET]; n_chars follows where the text changed."""
-    return docs.mapInArrow(_mask(docs.columns, lexicon(docs) if words is None else words), docs.schema)
+    return docs.mapInArrow(_mask(docs.columns, lexicon(docs, texts=LEAST) if words is None else words), docs.schema)

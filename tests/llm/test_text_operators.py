@@ -225,3 +225,23 @@ def test_lexicon(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     assert secrets.lexicon(df, most=10, least=5) == ("alpha", "beta", "delta", "gamma")
     assert secrets.lexicon(df, most=2, least=5) == ("alpha",) and secrets.lexicon(df.limit(0)) == ()
+
+
+def test_the_cost_decides_what_reads_like_no_word():
+    guess = lambda t, g=secrets.Guesser(): [t[a:b] for a, k, b in secrets.scan(t, g) if k == 3]
+    for text, value in (("password: xkqjzvwpfh", "xkqjzvwpfh"), ("pwd: xkqjzvwpfhgt", "xkqjzvwpfhgt"), ("password is 8491736205", "8491736205"), ("secret: kQ@zvh.tWq77x", "kQ@zvh.tWq77x"), ("secret: KqZvHtWxLp", "KqZvHtWxLp")):
+        assert guess(text) == [value]
+    for text in ("auth: OAuth2Authentication", "token: McDonaldsBurgerKing", "token: getElementById2", "token is 555-123-4567 ok", "mail token: bob@example.com", "secret: www.example.org/x", "The password is everything."):
+        assert guess(text) == []
+    r = random.Random(5)
+    for letters, n, least in (("abcdefghijklmnopqrstuvwxyz", 12, 0.93), ("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", 12, 0.97), ("0123456789", 12, 0.9), ("abcdefghijklmnopqrstuvwxyz0123456789!@#%^&*", 10, 0.93)):
+        values = ["".join(r.choice(letters) for _ in range(n)) for _ in range(400)]
+        assert sum(bool(guess(f"pwd: {v} and")) for v in values) >= least * 400
+
+
+def test_a_leak_that_is_copied_becomes_no_word(spark):
+    leak = "our password: kqzvhtwx and more of the same page"
+    rows = [(leak,)] * 40 + [(f"{leak} {k}",) for k in range(40)] + [("zvqkxjwp stands in one text only",)] * 30 + [(f"common words number {k} in many texts",) for k in range(12)]
+    known = secrets.lexicon(spark.createDataFrame(rows, "text string").repartition(5), texts=secrets.LEAST)
+    assert {"common", "words", "page", "many"} <= set(known) and not {"kqzvhtwx", "zvqkxjwp", "stands"} & set(known)
+    assert [k for _, k, _ in secrets.scan("password: kqzvhtwxLp", secrets.Guesser(known))] == [3]
