@@ -207,11 +207,15 @@ def lexicon(docs: DataFrame, most: int = MOST, least: int = LEAST, texts: int =
 
     All documents are counted, whole; what stands in a credential's place isn't, so that a leak that is copied over and over doesn't
     become a word, nor, where several texts are asked for, does any other word of one text and its copies. Different texts are
-    counted by a sketch that is exact for so few but for rare accidents. Only the words that are kept go to the driver.
+    counted by a sketch that is exact for so few but for rare accidents. Of words that as many documents have, all are taken or, at
+    the cut, none, unless there would be no words then. Only the words that are kept go to the driver.
     """
     rows = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(_word_counts, "word string, n long, text long")
     counts = rows.groupBy("word").agg(F.sum("n").alias("n"), F.approx_count_distinct("text", 0.02).alias("texts")).where((F.col("n") >= least) & (F.col("texts") >= min(texts, LEAST)))
-    return tuple(r["word"] for r in counts.orderBy(F.desc("n"), "word").limit(most).select("word", "n").collect())
+    found = counts.orderBy(F.desc("n"), "word").limit(most + 1).collect()
+    if len(found) > most:
+        found = [r for r in found if r["n"] > found[-1]["n"]] or found[:most]
+    return tuple(r["word"] for r in found)
 
 
 _fixed = Guesser()
