@@ -8,6 +8,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager, suppress
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -51,24 +52,27 @@ def small_batches(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(name, was)
 
 
+#: The tables that were written on the way to what `settled` is making in this thread (or task), if it is making anything.
+_made: ContextVar[list[Stored] | None] = ContextVar("made", default=None)
+
+
 class Stored:
     """A table written to the shared folder, so that a lost executor costs no recomputation of what made it."""
 
-    made: list[Stored] = []
-
     def __init__(self, df: DataFrame):
         self.spark, self.path = df.sparkSession, f"{shared_dir(df.sparkSession)}/{uuid.uuid4().hex}"
         with small_batches(self.spark):
             df.write.parquet(self.path)
         self.df = self.spark.read.schema(df.schema).parquet(self.path)
-        Stored.made.append(self)
+        if (made := _made.get()) is not None:
+            made.append(self)
 
     def drop(self) -> None:
         jvm = self.spark._jvm
         path = jvm.org.apache.hadoop.fs.Path(self.path)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
-        if self in Stored.made:
-            Stored.made.remove(self)
+        if (made := _made.get()) and self in made:
+            made.remove(self)
 
 
 def stored(df: DataFrame) -> DataFrame:
@@ -76,12 +80,19 @@ def stored(df: DataFrame) -> DataFrame:
 
 
 def settled(build: Callable[[], DataFrame]) -> DataFrame:
-    """What `build` returns, written down; the tables that were written on the way to it go."""
-    before = len(Stored.made)
-    out = Stored(build())
-    for table in Stored.made[before:]:
-        if table is not out:
-            table.drop()
+    """What `build` returns, written down; the tables that were written on the way to it go, also if it fails. What other threads
+    write meanwhile stays."""
+    own: list[Stored] = []
+    outer, out = _made.set(own), None
+    try:
+        out = Stored(build())
+    finally:
+        _made.reset(outer)
+        for table in own:
+            if table is not out:
+                table.drop()
+    if (made := _made.get()) is not None:
+        made.append(out)
     return out.df
 
 
@@ -97,7 +108,6 @@ def clean(spark: SparkSession) -> None:
     """
     path = spark._jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-    Stored.made.clear()
 
 
 def utf8(column: pa.Array) -> list[bytes]:
