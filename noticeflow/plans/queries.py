@@ -341,8 +341,10 @@ def cluster_first(s, d):
 
 
 def batch_assign_skewed(s, d):
-    """Orders in batches of seven by a number of which most lie close together."""
-    o = table(s, d, "orders").select("o_orderkey", (F.col("o_orderkey") * F.col("o_orderkey") * F.col("o_orderkey")).alias("ord"))
+    """Orders in batches of seven by a number of which most lie close together; as a double, which no key's cube is too large for, and
+    in the order of the keys up to 2**53."""
+    k = F.col("o_orderkey").cast("double")
+    o = table(s, d, "orders").select("o_orderkey", (k * k * k).alias("ord"))
     return route.assign_batches(o, 7, parts=16).select("o_orderkey", "batch_id")
 
 

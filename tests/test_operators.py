@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from noticeflow import rules, schemas
 from noticeflow.operators import cluster, contract, dedup, export, match, route, state
-from noticeflow.plans import run
+from noticeflow.plans import queries, run
 from noticeflow.sources import files
 
 
@@ -257,3 +257,10 @@ def test_totals_in_one_pass(spark):
     plan = totals._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("LogicalRDD") == 1  # the hits, once
     assert dedup.run_totals(hits.limit(0), queries).first().asDict() == {"query_ok": 6, "query_failed": 0, "raw": 0, "candidates": 0, "single": 0}
+
+
+def test_batches_by_cubes_of_large_keys(spark, tmp_path):
+    keys = [3 * 10**9 + k for k in range(20)] + list(range(20))
+    spark.createDataFrame([(k,) for k in keys], "o_orderkey long").write.parquet(str(tmp_path / "orders.parquet"))
+    got = {r.o_orderkey: r.batch_id for r in queries.batch_assign_skewed(spark, str(tmp_path)).collect()}
+    assert got == {k: f"batch-{n // 7 + 1:04d}" for n, k in enumerate(sorted(keys))}
