@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,7 +30,10 @@ def flat_record(json: Column, fields: Sequence[str], duplicates_ok: bool = False
 
     A text that doesn't parse (also one with a key twice) is one error.
     """
+    return V.bound(V.parsed(json), lambda v: _flat(v, fields))
 
+
+def _flat(v: Column, fields: Sequence[str]) -> Column:
     def found(kinds: Column) -> Column:
         keys = F.map_keys(kinds)
         missing, extra = F.array_sort(F.array_except(_set(fields), keys)), F.array_sort(F.array_except(keys, _set(fields)))
@@ -47,7 +50,7 @@ def flat_record(json: Column, fields: Sequence[str], duplicates_ok: bool = False
             ]
         return F.when(kinds.isNull(), F.array(F.lit("not an object"))).otherwise(errors(tests))
 
-    return V.bound(V.kinds(V.parsed(json)), found)
+    return V.bound(V.kinds(v), found)
 
 
 def evidence(json: Column, allow_search_content: Column) -> Column:
@@ -56,13 +59,19 @@ def evidence(json: Column, allow_search_content: Column) -> Column:
 
 
 def _evidence(v: Column, allow_search_content: Column) -> Column:
-    verified = F.when(V.kind(v, "source_verified") == "BOOLEAN", F.try_variant_get(v, "$.source_verified", "boolean"))
-    said = V.kind(v, "verification_level")
-    level = F.when((said.isNull() | (said == "VOID")) & verified, F.lit("source")).when(said == "STRING", V.text(v, "verification_level"))
+    fields = V.bound(F.try_variant_get(v, "$.field_evidence", "variant"), lambda f: F.struct(V.kinds(f).alias("kinds"), V.texts(f).alias("texts")))
     at = F.when(V.kind(v, "checked_at") == "STRING", V.text(v, "checked_at"))
-    fields = F.try_variant_get(v, "$.field_evidence", "map<string,variant>")
-    texts = F.transform_values(fields, lambda _, x: F.coalesce(F.schema_of_variant(x) == "STRING", F.lit(False)) & (F.trim(F.coalesce(F.try_variant_get(x, "$", "string"), F.lit(""))) != ""))
+    verified = F.when(V.kind(v, "source_verified") == "BOOLEAN", F.try_variant_get(v, "$.source_verified", "boolean"))
+    read = F.struct(fields.alias("fields"), verified.alias("verified"), V.kind(v, "verification_level").alias("said"), V.text(v, "verification_level").alias("level"), at.alias("at"))
+    return F.when(V.is_object(v), V.bound(read, lambda b: _proven(b, allow_search_content))).otherwise(F.array(F.lit("evidence is not an object")))
+
+
+def _proven(b: Column, allow_search_content: Column) -> Column:
+    """Errors of what `_evidence` has read."""
+    verified, said, at, fields = b["verified"], b["said"], b["at"], b["fields"]
+    level = F.when((said.isNull() | (said == "VOID")) & verified, F.lit("source")).when(said == "STRING", b["level"])
     known = F.coalesce(level.isin("source", "search_content"), F.lit(False))
+    blank = F.exists(F.map_values(fields["kinds"]), lambda k: ~k.isin("STRING", "EMPTY")) | F.exists(F.map_values(fields["texts"]), lambda x: F.trim(F.coalesce(x, F.lit(""))) == "")
     tests = [
         (~known, "verification_level is neither source nor search_content"),
         (known & (level == "source") & ~F.coalesce(verified, F.lit(False)), "source_verified must be true"),
@@ -70,10 +79,9 @@ def _evidence(v: Column, allow_search_content: Column) -> Column:
         (known & (level == "search_content") & F.coalesce(verified, F.lit(True)), "source_verified must be false"),
         (F.coalesce(at, F.lit("")) == "", "checked_at is missing"),
         ((F.coalesce(at, F.lit("")) != "") & D.zoned(at).isNull(), "checked_at is no time with a zone"),
-        (F.coalesce(F.size(fields), F.lit(0)) < 1, "field_evidence is empty"),
-        (F.exists(F.map_values(texts), lambda ok: ~ok), "field_evidence has a blank"),
+        (F.coalesce(F.size(fields["kinds"]), F.lit(0)) < 1, "field_evidence is empty"), (blank, "field_evidence has a blank"),
     ]
-    return F.when(V.is_object(v), errors(tests)).otherwise(F.array(F.lit("evidence is not an object")))
+    return errors(tests)
 
 
 def evidenced(json: Column, required: Column) -> Column:
@@ -90,15 +98,12 @@ def _evidenced(v: Column, required: Column) -> Column:
 
 def _read(json: Column, proof: Column, fields: Sequence[str], use) -> Column:
     """use(record, evidence, errors of the record's fields), each worked out once."""
-    return V.bound(F.struct(V.parsed(json).alias("v"), V.parsed(proof).alias("e"), flat_record(json, fields).alias("flat")), lambda b: use(b["v"], b["e"], b["flat"]))
+    return V.bound(F.struct(V.parsed(json).alias("v"), V.parsed(proof).alias("e")), lambda b: V.bound(_flat(b["v"], fields), lambda flat: use(b["v"], b["e"], flat)))
 
 
-def _common(v: Column, regions: Sequence[str] | None, status: Sequence[str]) -> list:
-    tests = [
-        (~T.is_record_id(V.text(v, "record_id")), "record_id"), (~V.text(v, "status").isin(*status), "status"),
-        (~is_http(V.text(v, "source_url")), "source_url"),
-    ]
-    return tests + ([(~V.text(v, "region").isin(*regions), "region")] if regions else [])
+def _common(t: Callable[[str], Column], regions: Sequence[str] | None, status: Sequence[str]) -> list:
+    tests = [(~T.is_record_id(t("record_id")), "record_id"), (~t("status").isin(*status), "status"), (~is_http(t("source_url")), "source_url")]
+    return tests + ([(~t("region").isin(*regions), "region")] if regions else [])
 
 
 def create_record(json: Column, proof: Column) -> Column:
@@ -106,12 +111,21 @@ def create_record(json: Column, proof: Column) -> Column:
     return _read(json, proof, rules.CREATE_FIELDS, _create)
 
 
+def _wrong(proof: Column, flat: Column, good: Column) -> Column:
+    """A record's errors: with wrong fields these and the evidence's, else what the rules say."""
+    return F.when(F.size(flat) > 0, F.concat(flat, _evidence(proof, F.lit(False)))).otherwise(good)
+
+
 def _create(v: Column, proof: Column, flat: Column) -> Column:
-    t = lambda f: V.text(v, f)
+    return _wrong(proof, flat, V.bound(V.texts(v), lambda said: _create_rules(v, said, proof)))
+
+
+def _create_rules(v: Column, said: Column, proof: Column) -> Column:
+    t = lambda f: F.try_element_at(said, F.lit(f))
     active, manual = t("status") == "active", t("status") == "manual"
     vague = ~t("match_level").isin("full", "partial")
     tests = [
-        *_common(v, [*rules.REGION_PROVINCES, rules.NO_REGION], rules.CREATE_STATUSES),
+        *_common(t, [*rules.REGION_PROVINCES, rules.NO_REGION], rules.CREATE_STATUSES),
         (~t("category").isin(*rules.CATEGORIES), "category"), (~t("match_level").isin(*rules.MATCH_LEVELS), "match_level"),
         (~t("matched_category").isin(*rules.MATCHED_CATEGORIES), "matched_category"),
         (t("title") == "null", "title is required"), (t("purchaser") == "null", "purchaser is required"),
@@ -124,8 +138,7 @@ def _create(v: Column, proof: Column, flat: Column) -> Column:
         *[F.lit(x) for x in ("title", "purchaser", "source_url", "matched_category")], F.when(active, F.lit("deadline")),
         F.when(V.number(v, "budget") > 0, F.lit("budget")), *[F.when(t(f) != "null", F.lit(f)) for f in ("contact", "attachment")],
     ))
-    good = F.concat(errors(tests), _evidence(proof, F.coalesce(manual, F.lit(False))), _evidenced(proof, required))
-    return F.when(F.size(flat) > 0, F.concat(flat, _evidence(proof, F.lit(False)))).otherwise(good)
+    return F.concat(errors(tests), _evidence(proof, F.coalesce(manual, F.lit(False))), _evidenced(proof, required))
 
 
 def update_record(json: Column, proof: Column) -> Column:
@@ -134,16 +147,19 @@ def update_record(json: Column, proof: Column) -> Column:
 
 
 def _update(v: Column, proof: Column, flat: Column) -> Column:
-    t = lambda f: V.text(v, f)
+    return _wrong(proof, flat, V.bound(V.texts(v), lambda said: _update_rules(v, said, proof)))
+
+
+def _update_rules(v: Column, said: Column, proof: Column) -> Column:
+    t = lambda f: F.try_element_at(said, F.lit(f))
     change = t("change_type")
-    tests = [*_common(v, None, rules.UPDATE_STATUSES), (~change.isin(*rules.CHANGE_TYPES), "change_type")]
+    tests = [*_common(t, None, rules.UPDATE_STATUSES), (~change.isin(*rules.CHANGE_TYPES), "change_type")]
     turned = change == "status_change"
     required = F.array_compact(F.array(
         *[F.lit(x) for x in ("source_url", "notice_type", "publish_date")], F.when(turned, F.lit("status")), F.when(turned & (t("winner") != "null"), F.lit("winner")),
         F.when(turned & (V.number(v, "award_amount") > 0), F.lit("award_amount")), F.when(change == "deadline_change", F.lit("deadline")),
     ))
-    good = F.concat(errors(tests), _evidence(proof, F.lit(False)), _evidenced(proof, required))
-    return F.when(F.size(flat) > 0, F.concat(flat, _evidence(proof, F.lit(False)))).otherwise(good)
+    return F.concat(errors(tests), _evidence(proof, F.lit(False)), _evidenced(proof, required))
 
 
 def payload_file(flow: str, json: Column) -> Column:
@@ -164,7 +180,7 @@ def structure(json: Column, fields: Sequence[str]) -> Column:
         tests += [(F.try_element_at(kinds, F.lit(f)).isin("VOID", "NESTED"), f"{f}: null or nested") for f in fields]
         return F.when(kinds.isNull(), F.array(F.lit("not an object"))).otherwise(errors(tests))
 
-    return V.bound(V.kinds(V.parsed(json)), found)
+    return V.bound(V.parsed(json), lambda v: V.bound(V.kinds(v), found))
 
 
 def search_fallback(

@@ -82,8 +82,10 @@ def _proof(fields: tuple[str, ...]) -> str:
 
 
 def _orders(s: SparkSession, d: str) -> DataFrame:
+    """Orders with their customers, over as many tasks as there can be: few bytes, much work, and a small table is read by one task."""
     read = lambda t: s.read.parquet(f"{d}/{t}.parquet")
-    return read("orders").join(read("customer"), F.col("o_custkey") == F.col("c_custkey"))
+    tasks = int(s.conf.get("spark.sql.shuffle.partitions"))
+    return read("orders").join(read("customer"), F.col("o_custkey") == F.col("c_custkey")).repartition(tasks, "o_orderkey")
 
 
 def _errors(s: SparkSession, d: str, record: str, proof: str, check) -> DataFrame:

@@ -5,8 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from noticeflow import rules
+from noticeflow.functions import variant
 from noticeflow.operators import validate
-from noticeflow.plans import run
+from noticeflow.plans import records, run
 from tests_support import PROOF, create
 
 def update(**more):
@@ -103,3 +104,21 @@ def test_batches_are_taken_whole(spark):
         with pytest.raises(run.Rejected):
             run.submit(spark.createDataFrame(bad, shape), batch, mode)
     assert {f.first().create for f in [run.decision_counts(spark.createDataFrame(good, shape))]} == {1}
+
+
+def test_kinds_of_flat_and_other_objects(spark):
+    texts = ['{"a":1,"b":"x","c":"","d":null,"e":true,"f":1.5,"g":1e300}', '{"a":{"b":null},"c":""}', '{"a: STRING, b":1,"c":""}', '{"a`":"","<":"x","é":[1]}', "{}", "[1]", "null", '{"a":1,"a":2}', "x", None, '{"a":"STRING, b: VOID"}']
+    rows = spark.createDataFrame(list(enumerate(texts)), "k int, j string").orderBy("k")
+    got = [r[0] for r in rows.select(variant.kinds(variant.parsed(F.col("j")))).collect()]
+    assert got == [
+        {"a": "NUMBER", "b": "STRING", "c": "EMPTY", "d": "VOID", "e": "BOOLEAN", "f": "NUMBER", "g": "NUMBER"}, {"a": "NESTED", "c": "EMPTY"}, {"a: STRING, b": "NUMBER", "c": "EMPTY"},
+        {"a`": "EMPTY", "<": "STRING", "é": "NESTED"}, {}, None, None, None, None, None, {"a": "STRING"},
+    ]
+
+
+def test_record_checks_use_all_tasks(spark, tmp_path):
+    """A table of one file is not checked by one task."""
+    spark.sql("select id as o_orderkey, id as o_custkey, 'O' as o_orderstatus, 1e4 as o_totalprice, timestamp '1997-01-01' as o_orderdate, '5-LOW' as o_orderpriority from range(40)").coalesce(1).write.parquet(str(tmp_path / "orders.parquet"))
+    spark.sql("select id as c_custkey, 'n' as c_name, 1 as c_nationkey, 1e3 as c_acctbal, 'BUILDING' as c_mktsegment from range(40)").coalesce(1).write.parquet(str(tmp_path / "customer.parquet"))
+    out = records._orders(spark, str(tmp_path))
+    assert out.select(F.spark_partition_id()).distinct().count() == 4 and records.payload_check(spark, str(tmp_path)).count() == 40
