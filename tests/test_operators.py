@@ -264,3 +264,30 @@ def test_batches_by_cubes_of_large_keys(spark, tmp_path):
     spark.createDataFrame([(k,) for k in keys], "o_orderkey long").write.parquet(str(tmp_path / "orders.parquet"))
     got = {r.o_orderkey: r.batch_id for r in queries.batch_assign_skewed(spark, str(tmp_path)).collect()}
     assert got == {k: f"batch-{n // 7 + 1:04d}" for n, k in enumerate(sorted(keys))}
+
+
+def test_duplicates_are_those_of_all_pairs_and_leave_the_join_once(spark):
+    r = random.Random(3)
+    text = lambda n: r.choice([None, "null", *map(str, range(n))])
+    new = [(f"C{r.randrange(50)}" if k % 5 == 0 else f"C{100 + k}", text(20), text(4), text(3), f"http://x.example/{r.randrange(12)}") for k in range(60)]
+    old = [(text(20) if k % 4 == 0 else f"R{k}", r.choice([None, "1|1", "2|0", "null|2"]), r.choice([None, f"http://x.example/{r.randrange(12)}/"])) for k in range(40)]
+    records = spark.createDataFrame(new, "candidate_id string, record_id string, project_code string, purchaser string, source_url string")
+    seen = spark.createDataFrame(old, "record_id string, dedup_key string, source_url string")
+    key = lambda code, who, url: url if code in (None, "null") else "|".join(x for x in (code, who) if x is not None)
+    eq = lambda a, b: a is not None and a == b
+    want = {(c, i) for c, rid, code, who, u in new for i, dk, v in old if eq(rid, i) or eq(key(code, who, u), dk) or eq(u, v and v.rstrip("/"))}
+    got = state.duplicates(records, seen)
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
+    assert got._jdf.queryExecution().optimizedPlan().nodeName() == "Union"  # pairs of rows with ids of their own aren't gathered again
+
+
+def test_create_actions_by_keys_alone(spark):
+    fields = {f: "null" for f in rules.CREATE_FIELDS}
+    row = lambda cid, **more: (cid, *(fields | more).values())
+    new = [row("A", record_id="1", source_url="http://a/1"), row("B", record_id="2", source_url="http://a/2"), row("C", record_id="3", source_url="http://a/3"), row("D", record_id="4", source_url="http://a/4"), row("E", record_id="5", source_url="http://a/5"), row("F", record_id="6", source_url="http://a/5"), row("G", record_id="7", source_url="http://a/7")]
+    old = [row("", record_id="2", source_url="http://a/2"), row("", record_id="3", source_url="http://a/3", title="other"), row("", record_id="4", source_url="http://b/4"), row("", record_id="9", source_url="http://a/4"), row("", record_id=None, source_url="http://a/7")]
+    shape = ", ".join(f"{f} string" for f in ("candidate_id", *rules.CREATE_FIELDS))
+    seen = spark.createDataFrame(old, shape).drop("candidate_id").withColumn("dedup_key", F.col("source_url")).withColumn("pushed", F.lit(True))
+    got = state.create_actions(spark.createDataFrame(new, shape), seen)
+    assert {tuple(r) for r in got.collect()} == {("A", "append"), ("B", "recovered"), ("C", "conflict"), ("D", "conflict"), ("E", "conflict"), ("F", "conflict"), ("G", "conflict")}
+    assert "LeftOuter, (seen_id" not in got._jdf.queryExecution().optimizedPlan().toString()  # records that history doesn't know don't meet in one task
