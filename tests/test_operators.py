@@ -291,3 +291,13 @@ def test_create_actions_by_keys_alone(spark):
     got = state.create_actions(spark.createDataFrame(new, shape), seen)
     assert {tuple(r) for r in got.collect()} == {("A", "append"), ("B", "recovered"), ("C", "conflict"), ("D", "conflict"), ("E", "conflict"), ("F", "conflict"), ("G", "conflict")}
     assert "LeftOuter, (seen_id" not in got._jdf.queryExecution().optimizedPlan().toString()  # records that history doesn't know don't meet in one task
+
+
+def test_similar_bases_keep_no_row_of_pairs_that_differ(spark):
+    r = random.Random(5)
+    texts = ["".join(r.choice("aaab甲") for _ in range(r.randint(3, 24))) for _ in range(40)]
+    left, right = (spark.createDataFrame([(t,) for t in part], f"{n} string") for n, part in (("a", texts[:20]), ("b", texts[15:])))
+    got = match.similar_bases(left, right, 0.86)
+    want = {(a, b) for a in texts[:20] for b in texts[15:] if SequenceMatcher(None, a, b, autojunk=False).ratio() >= 0.86}
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+    assert "max(half" not in got._jdf.queryExecution().optimizedPlan().toString()  # pairs were grouped before they were compared
