@@ -101,6 +101,16 @@ def test_code_matches_are_those_of_all_pairs(spark):
     assert {(x.candidate_id, x.record_id) for x in match.by_code(c, s).collect()} == want
 
 
+def test_pairs_of_a_code_are_not_told_apart_after_they_meet(spark):
+    """Rows of one id, records that come twice or with two codes: each pair once, by a distinct over these records alone."""
+    c = spark.createDataFrame([("1", "notice AB-1234 and CD-9876", ""), ("1", "notice AB-1234 again", ""), ("2", "CD-9876", "ab-1234"), ("3", "AB-1234", None)], "candidate_id string, title string, teaser string")
+    s = spark.createDataFrame([(0, "x", "AB-1234"), (0, "x", "CD-9876"), (1, "y", "AB-1234"), (1, "y", "ab-1234"), (2, "z", "none here"), (None, None, "AB-1234")], "seen_ord long, record_id string, project_code string")
+    got = match.by_code(c, s)
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([(i, *r) for i in "123" for r in ((0, "x"), (1, "y"), (None, None))], key=str)
+    top = got._jdf.queryExecution().optimizedPlan()
+    assert top.nodeName() == "Union" and top.children().head().nodeName() == "Project"
+
+
 def test_cluster_order_and_short_titles(spark):
     rows = [("b" * 9, "u0", [3], ""), ("abc", "u1", [1], ""), ("abc", "u2", [1], ""), ("b" * 9, "u3", [1, 3], "")]
     got = {r.candidate_id: (r.cluster_members, r.found_by_query, [a.candidate_id for a in r.alternate_sources]) for r in cluster.cluster(index_rows(spark, rows)).collect()}
