@@ -35,6 +35,22 @@ def fingerprint(features: list[bytes], seed: int = 42) -> int:
     return int.from_bytes(np.packbits(2 * ones > len(features)).tobytes(), "big")
 
 
+def wide(sets: list[np.ndarray], bits: int) -> np.ndarray:
+    """(set, bits / 64): fingerprints of as many bits of sets of hashes, each the majority of another function; zero without members."""
+    sizes = np.array([len(x) for x in sets], np.int64)
+    out, some = np.zeros((len(sets), bits), bool), np.flatnonzero(sizes)
+    if len(some):
+        h, n = np.concatenate([sets[k] for k in some]), sizes[some]
+        parts = -(-n // 255)  # eight counts in the bytes of a number, of 255 members at most
+        first = np.cumsum(parts) - parts
+        starts = np.repeat(np.cumsum(n) - n, parts) + 255 * (np.arange(int(parts.sum())) - np.repeat(first, parts))
+        for k in range(bits // 8):
+            g = passages.mix(h, 1000 + k // 8) if k % 8 == 0 else g  # noqa: F821
+            counts = np.add.reduceat((g >> np.uint64(k % 8)) & np.uint64(0x0101010101010101), starts).view(np.uint8).reshape(-1, 8)
+            out[some, 8 * k : 8 * k + 8] = 2 * np.add.reduceat(counts, first, axis=0, dtype=np.int64) > n[:, None]
+    return np.packbits(out, axis=1).view(np.int64)
+
+
 def shingles(words: list[bytes], n: int) -> list[bytes]:
     """All n-word shingles in order, repeats included; of fewer words the whole sequence."""
     if len(words) <= n:
