@@ -14,7 +14,7 @@ out to share less than a passage, its windows are grouped once more, by every st
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -302,23 +302,69 @@ AROUND = 256
 ANCHOR = np.dtype([("x", np.int32), ("y", np.int32), ("key", np.int64)])
 
 
-def supported(x: dict[str, np.ndarray], least: int) -> np.ndarray:
-    """How many hash functions have a link whose windows overlap a link's in both texts; links sorted by a, b, la."""
-    seen = np.int64(1) << x["j"].astype(np.int64)
-    bits = seen.copy()
-    at = np.arange(len(seen))
-    for d in range(1, len(seen)):
-        at = at[at + d < len(seen)]
-        to = at + d
-        on = (x["a"][at] == x["a"][to]) & (x["b"][at] == x["b"][to]) & (x["la"][to] + least - 1 <= x["ra"][at])
-        at, to = at[on], to[on]  # later ones begin later: what is out of reach stays so
-        if not len(at):
-            break
-        both = np.ones(len(at), bool)
-        for side in "ab":
-            both &= np.minimum(x["r" + side][at], x["r" + side][to]) - np.maximum(x["l" + side][at], x["l" + side][to]) + 1 >= least
-        seen[at[both]] |= bits[to[both]]
-        seen[to[both]] |= bits[at[both]]
+#: Pairs of links that are tested at once; neighbours, among the links as much shifted, that a link is held against first; links
+#: in one's reach, on average, from which on it is worth while to look in which text fewer are.
+TESTED, BESIDE, MANY = 1 << 19, 4, 500
+
+
+def supported(x: dict[str, np.ndarray], least: int, enough: int = 64, asked: np.ndarray | None = None) -> np.ndarray:
+    """How many hash functions have a link whose windows overlap a link's in both texts; links sorted by a and b.
+
+    Exact below `enough`, from which on no more are looked for; of links that aren't asked for it may be less. Most links have
+    what they need from a neighbour. The others meet the links of each other function by the length of the window in a (or in b,
+    if that leaves fewer), doubling: those in reach are then one stretch of each length.
+    """
+    own = np.int64(1) << x["j"].astype(np.int64)
+    seen = own.copy()
+    open_ = np.ones(len(own), bool) if asked is None else asked
+    if not open_.any():
+        return np.bitwise_count(seen)
+    pair = np.cumsum(np.r_[False, (x["a"][1:] != x["a"][:-1]) | (x["b"][1:] != x["b"][:-1])])
+    la, ra, lb, rb = (x[c].astype(np.int64) for c in ("la", "ra", "lb", "rb"))
+
+    def overlap(u: np.ndarray, v: np.ndarray) -> np.ndarray:
+        inside = np.minimum(ra[u], ra[v]) - np.maximum(la[u], la[v]) + 1 >= least
+        return inside & (np.minimum(rb[u], rb[v]) - np.maximum(lb[u], lb[v]) + 1 >= least)
+
+    order = np.lexsort((la, lb - la, pair))
+    for d in range(1, BESIDE + 1):
+        u, v = order[:-d], order[d:]
+        on = (pair[u] == pair[v]) & overlap(u, v)
+        seen[u] |= np.where(on, own[v], 0)
+        seen[v] |= np.where(on, own[u], 0)
+    open_ = np.flatnonzero(open_ & (np.bitwise_count(seen) < enough))
+    bits = int(max(ra.max(), rb.max()) + 1).bit_length()
+
+    def near(left: np.ndarray, right: np.ndarray, asks: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """(function, its links with windows of a length, by place, and the first and the number of them in reach of each link)."""
+        level = np.frexp((right - left).astype(float))[1].astype(np.int64)  # the least with right - left < 2 ** level
+        kind = x["j"].astype(np.int64) << 6 | level
+        base = pair[asks] << bits
+        for c in np.unique(kind).tolist():
+            to = np.flatnonzero(kind == c)
+            key = (pair[to] << bits) + left[to]
+            sort = np.argsort(key, kind="stable")
+            first = np.searchsorted(key[sort], base + np.maximum(0, left[asks] + least - (1 << (c & 63))))
+            size = np.searchsorted(key[sort], base + right[asks] - least + 1, side="right") - first
+            yield c >> 6, to[sort], first, np.where(own[asks] == 1 << (c >> 6), 0, size)
+
+    total = lambda *ends: sum((size for *_, size in near(*ends, open_)), np.zeros(len(open_), np.int64))
+    by_a = np.ones(len(open_), bool)
+    if len(open_) > MANY and (in_a := total(la, ra)).sum() > MANY * len(open_):
+        by_a = in_a <= total(lb, rb)
+    for ends, asks in (((la, ra), open_[by_a]), ((lb, rb), open_[~by_a])):
+        for j, to, first, size in near(*ends, asks) if len(asks) else ():
+            some = np.flatnonzero((size > 0) & (np.bitwise_count(seen[asks]) < enough))
+            if not len(some):
+                continue
+            at, first, size = asks[some], first[some], size[some]
+            sums = np.cumsum(size)
+            cuts = np.unique(np.r_[0, np.searchsorted(sums, np.arange(TESTED, sums[-1], TESTED)), len(at)]).tolist()
+            for i, k in pairwise(cuts):
+                begin = sums[i:k] - size[i:k]
+                other = to[np.arange(begin[0], sums[k - 1]) + np.repeat(first[i:k] - begin, size[i:k])]
+                on = np.logical_or.reduceat(overlap(np.repeat(at[i:k], size[i:k]), other), begin - begin[0])
+                seen[at[i:k][on]] |= 1 << j
     return np.bitwise_count(seen)
 
 
@@ -351,15 +397,20 @@ def _support(least: int, enough: int):
             fresh = np.ones(len(order), bool)  # links of copies come again
             fresh[1:] = np.any([x[c][1:] != x[c][:-1] for c in ("a", "b", "j", "wide", "pa", "pb")], axis=0)
             x = {k: v[fresh] for k, v in x.items()}
-            good = (x["wide"] > 0) | (supported(x, least) >= enough)
+            good = (x["wide"] > 0) | (supported(x, least, enough, x["wide"] == 0) >= enough)
             if not good.any():
                 continue
             x = {k: v[good] for k, v in x.items()}
+            x["key"] = np.where(x["wide"] > 0, x["key"], 0)
+            order = np.lexsort((x["key"], x["pb"], x["pa"], x["b"], x["a"]))
+            x = {k: v[order] for k, v in x.items()}
             starts = np.flatnonzero(np.r_[True, (x["a"][1:] != x["a"][:-1]) | (x["b"][1:] != x["b"][:-1])])
-            stops = np.r_[starts[1:], len(x["a"])]
-            all_ = np.empty(len(x["a"]), ANCHOR)
-            all_["x"], all_["y"], all_["key"] = x["pa"], x["pb"], np.where(x["wide"] > 0, x["key"], 0)
-            anchors = [np.unique(all_[i:k]).tobytes() for i, k in zip(starts, stops, strict=True)]
+            fresh = np.ones(len(order), bool)
+            fresh[1:] = np.any([x[c][1:] != x[c][:-1] for c in ("a", "b", "pa", "pb", "key")], axis=0)
+            all_ = np.empty(int(fresh.sum()), ANCHOR)
+            all_["x"], all_["y"], all_["key"] = x["pa"][fresh], x["pb"][fresh], x["key"][fresh]
+            cuts = np.r_[(np.cumsum(fresh) - 1)[starts], len(all_)].tolist()
+            anchors = [all_[i:k].tobytes() for i, k in pairwise(cuts)]
             yield common.emit({"a": pa.array(x["a"][starts]), "b": pa.array(x["b"][starts]), **_reach(x, starts), "anchors": anchors}, _PAIRS)
 
     return common.lean(run)
@@ -377,45 +428,100 @@ def _sequences(shingle: int):
     return common.lean(run)
 
 
+#: For stretches of so many places at most all are compared with all.
+ALL = 256
+#: The pairs of GAP places by their sum, as flat numbers.
+_NEAREST = np.argsort(np.add.outer(np.arange(GAP), np.arange(GAP)).ravel(), kind="stable")
+
+
 def _next_common(a: np.ndarray, b: np.ndarray, most: int) -> tuple[int, int] | None:
     """The least (places in a, places in b) by their sum to a common shingle, neither over `most`."""
     reach = GAP
     while True:
         near_a, near_b = a[: min(reach, most + 1)], b[: min(reach, most + 1)]
-        if reach == GAP:
-            u, v = (near_a[:, None] == near_b[None, :]).nonzero()
+        if len(near_a) == len(near_b) == GAP:
+            met = (near_a[:, None] == near_b).ravel()
+            k = int(_NEAREST[met[_NEAREST].argmax()])
+            if met[k]:
+                return divmod(k, GAP)
+        elif reach == GAP:
+            u, v = (near_a[:, None] == near_b).nonzero()
+            if len(u):
+                k = int(np.argmin(u + v))
+                return int(u[k]), int(v[k])
+        elif reach <= ALL:
+            u, v = (near_a[:, None] == near_b).nonzero()
+            if len(u):
+                least = np.flatnonzero(u + v == (u + v).min())
+                k = least[np.argmin(near_a[u[least]])]
+                return int(u[k]), int(v[k])
         else:
             _, u, v = np.intersect1d(near_a, near_b, return_indices=True)  # of each the first place
-        if len(u):
-            k = int(np.argmin(u + v))
-            return int(u[k]), int(v[k])
+            if len(u):
+                k = int(np.argmin(u + v))
+                return int(u[k]), int(v[k])
         if reach > most or reach >= max(len(a), len(b)):
             return None
         reach *= 4
 
 
-def _grow(a: np.ndarray, b: np.ndarray, same: int, la: int, lb: int, similarity: float) -> tuple[int, int, int, int, int]:
+def _run(a: np.ndarray, b: np.ndarray) -> int:
+    """How many places a and b begin with in common."""
+    n, size = min(len(a), len(b)), 64
+    done = 0
+    while done < n:
+        differ = a[done : min(n, done + size)] != b[done : min(n, done + size)]
+        k = int(differ.argmax())
+        if differ[k]:
+            return done + k
+        done, size = done + len(differ), 8 * size
+    return n
+
+
+class _Way:
+    """The runs that a and b have in common from their beginnings on, and the steps between them, each found once."""
+
+    def __init__(self, a: np.ndarray, b: np.ndarray):
+        self.a, self.b = a, b
+        self.runs: list[int] = []
+        self.steps: list[tuple[tuple[int, int] | None, int]] = []
+
+    def run(self, k: int, i: int, j: int) -> int:
+        if k == len(self.runs):
+            self.runs.append(_run(self.a[i:], self.b[j:]))
+        return self.runs[k]
+
+    def step(self, k: int, i: int, j: int, most: int) -> tuple[int, int] | None:
+        """What `_next_common` finds: the same for a lesser bound, unless over it, and for a greater one that shows no nearer place."""
+        if k < len(self.steps):
+            known, bound = self.steps[k]
+            if (most <= bound or known and sum(known) <= bound) and max(known or (0,)) <= most:
+                return known
+            del self.steps[k:], self.runs[k + 1 :]
+        found = _next_common(self.a[i:], self.b[j:], most)
+        self.steps.append((found, most))
+        return found
+
+
+def _grow(way: _Way, same: int, la: int, lb: int, similarity: float) -> tuple[int, int, int, int, int]:
     """How far a and b go on alike from their beginnings, (places, places, same, la, lb), given what is alike before them."""
-    i = j = gone_a = gone_b = 0
+    end_a, end_b = len(way.a), len(way.b)
+    i = j = gone_a = gone_b = k = 0
     best = (0, 0, same, la, lb)
-    while i < len(a) and j < len(b):
-        n = min(len(a) - i, len(b) - j)
-        differ = np.flatnonzero(a[i : i + min(n, 64)] != b[j : j + min(n, 64)])
-        if not len(differ) and n > 64:
-            differ = np.flatnonzero(a[i : i + n] != b[j : j + n])
-        run = int(differ[0]) if len(differ) else n
+    while i < end_a and j < end_b:
+        run = way.run(k, i, j)
         i, j, same = i + run, j + run, same + run
         la, lb = la + run + gone_a, lb + run + gone_b
         gone_a = gone_b = 0
         if same >= similarity * (la + lb - same):
             best = (i, j, same, la, lb)
         # With all that can still be alike, so many differences at most leave the similarity.
-        could = same + min(len(a) - i, len(b) - j)
+        could = same + min(end_a - i, end_b - j)
         most = int(could / similarity) - (la + lb - same) - (could - same)
-        if most < 0 or i >= len(a) or j >= len(b) or (step := _next_common(a[i:], b[j:], most)) is None:
+        if most < 0 or i >= end_a or j >= end_b or (step := way.step(k, i, j, most)) is None:
             break
         gone_a, gone_b = step
-        i, j = i + gone_a, j + gone_b
+        i, j, k = i + gone_a, j + gone_b, k + 1
     return best
 
 
@@ -425,11 +531,11 @@ def extend(a: np.ndarray, b: np.ndarray, x: int, y: int, similarity: float) -> t
     From the end of a run in common, the next common place on both sides, the nearest by their sum, goes on, as far as the
     similarity can still be reached. What one side lacks the other can make good, so that they grow in turn.
     """
-    sides = ((a[x:], b[y:]), (a[:x][::-1], b[:y][::-1]))
+    sides = (_Way(a[x:], b[y:]), _Way(a[:x][::-1], b[:y][::-1]))
     ends, own = [(0, 0), (0, 0)], [(0, 0, 0), (0, 0, 0)]
     for k in (0, 1, 0, 1, 0, 1):
         other = own[1 - k]
-        i, j, *all_ = _grow(*sides[k], *other, similarity)
+        i, j, *all_ = _grow(sides[k], *other, similarity)
         same = (i, j) == ends[k]
         ends[k], own[k] = (i, j), tuple(u - v for u, v in zip(all_, other, strict=True))
         if same and (k or ends[1] != (0, 0)):  # nothing more for the other side

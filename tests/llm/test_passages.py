@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 
@@ -194,3 +195,64 @@ def test_support_against_all_pairs():
         got = passages.supported({c: np.array(v, np.int32) for c, v in zip(("a", "b", "j", "la", "ra", "lb", "rb"), zip(*rows))}, least)
         want = [len({y[2] for y in rows if y[:2] == x[:2] and min(x[4], y[4]) - max(x[3], y[3]) + 1 >= least and min(x[6], y[6]) - max(x[5], y[5]) + 1 >= least}) for x in rows]
         assert got.tolist() == want
+
+
+def test_support_up_to_what_is_needed():
+    r = random.Random(11)
+    for least in (3, 8):
+        rows = []
+        for _ in range(400):
+            la, lb = r.randrange(60), r.randrange(60)
+            rows.append((r.randrange(2), r.randrange(2), r.choice((0, 0, 0, 1, 2)), la, la + r.randrange(least - 1, 40), lb, lb + r.randrange(least - 1, 14)))
+        rows.sort(key=lambda x: (x[0], x[1], x[3]))
+        x = {c: np.array(v, np.int32) for c, v in zip(("a", "b", "j", "la", "ra", "lb", "rb"), zip(*rows))}
+        want, asked = passages.supported(x, least), np.array([r.random() < 0.6 for _ in rows])
+        for enough in (2, 3):
+            got = passages.supported(x, least, enough, asked)
+            assert ((got >= enough) == (want >= enough))[asked].all() and 0 < (want[asked] >= enough).sum() < asked.sum()
+
+
+def test_support_in_proportion_to_the_links_of_two_texts():
+    """Windows of all lengths, all around one place, as long texts have many: none has another function's in reach in both texts."""
+    seconds = []
+    for n in (2000, 16000):
+        k = np.arange(n)
+        x = {"a": np.zeros(n, np.int64), "b": np.zeros(n, np.int64), "j": k % 2, "la": k, "ra": n + 50 + k, "lb": k % 2 * 10**6 + k, "rb": k % 2 * 10**6 + n + 50 + k}
+        begun = time.process_time()
+        # The odd ones are far away in b; the last two meet.
+        x["lb"][-2:], x["rb"][-2:] = 3 * 10**6, 3 * 10**6 + 100
+        got = passages.supported({c: v.astype(np.int32) for c, v in x.items()}, 47, 2)
+        seconds.append(time.process_time() - begun)
+        assert got[:-2].max() == 1 and got[-2:].tolist() == [2, 2]
+    assert seconds[1] < 24 * seconds[0] + 0.5, seconds  # 8 times the links
+
+
+def test_steps_of_an_extension_are_found_once(monkeypatch):
+    """But for the last ones, where the bound was too narrow before."""
+    r, searched, next_common = random.Random(12), [], passages._next_common
+    monkeypatch.setattr(passages, "_next_common", lambda a, b, most: searched.append((len(a), len(b), a.strides)) or next_common(a, b, most))
+    for _ in range(40):
+        one = [r.getrandbits(62) for _ in range(600)]
+        two = [x if r.random() > 0.05 or k == 300 else r.getrandbits(62) for k, x in enumerate(one)]
+        for _ in range(2):
+            at = r.randrange(320, 580)
+            two[at : at + r.randrange(3)] = [r.choice(one) for _ in range(r.randrange(10))]
+        a, b, x, y = np.array(one), np.array(two), 300, 300
+        searched.clear()
+        passages.extend(a, b, x, y, 0.8)
+        assert 10 < len(searched) <= len(set(searched)) + 6
+
+
+def test_known_steps_are_those_of_any_bound():
+    r = random.Random(13)
+    for _ in range(300):
+        few = r.choice((3, 40, 400))
+        a, b = (np.array([r.randrange(few) for _ in range(r.randrange(1, 400))]) for _ in "ab")
+        way = passages._Way(a, b)
+        for _ in range(8):
+            most = r.choice((0, 3, 15, 16, 40, 63, 64, 200, 300, 1000))
+            u = len(np.intersect1d(a[: most + 1], b[: most + 1]))
+            got = way.step(0, 0, 0, most)
+            assert got == passages._next_common(a, b, most) and (got is not None or not u)
+            if got:
+                assert a[got[0]] == b[got[1]] and max(got) <= most
