@@ -1,10 +1,10 @@
 """Exact top-k search by inner product with no random access (NRA).
 
 Candidates come in blocks. A block has one sorted list for each dimension, read from the end that a query's sign of the
-dimension favours. All lists are read in step, a stretch at a time; what was read adds up to what is known of each candidate,
-and the values where reading stands bound every one not yet seen. Once no outsider can reach the query's k-th best score, the
-seen ones that can by their upper bounds are all that is left; reading goes on until they are few, and their scores are then
-resolved. A query's k-th best score is carried from block to block, so that later blocks are read less far.
+dimension favours. All lists are read in step, a stretch at a time and for a block of queries at once, so that what is known of
+each candidate, and what can be at most by the values where reading stands, are matrix products. Candidates that can't reach the
+query's k-th best score by their upper bounds go; reading goes on until few are left, and their scores are then resolved. A
+query's k-th best score is carried from block to block.
 """
 
 from __future__ import annotations
@@ -20,9 +20,10 @@ from . import common
 
 #: Candidates and queries in a block, and bytes of candidates that a task holds: bounds of its memory.
 BLOCK, QUERIES, HELD = 4096, 512, 64 << 20
-#: The share of each list that is read first, where nothing tells how far to read, and at a time after, and the share of a block
-#: that may be left to resolve.
-FIRST, STEP, FEW = 0.3, 1 / 12, 0.15
+#: The share of each list that is read first and at a time after, and the share of a block that may be left to resolve.
+FIRST, STEP, FEW = 0.3, 1 / 6, 0.1
+#: Pairs that are resolved at a time.
+RESOLVED = 1 << 16
 #: Stands for a null vec_id, which is the last among equal scores.
 NONE = 2**63 - 1
 
@@ -68,98 +69,93 @@ def _pack(size: int, scale: int):
 
 
 class Lists:
-    """A block's vectors, and for each dimension the candidates from the lowest value to the highest."""
+    """A block's vectors, and the values of each dimension from the lowest to the highest."""
 
     def __init__(self, ids: np.ndarray, values: np.ndarray):
         self.ids, self.x = ids, values
-        self.order = np.argsort(values, axis=0, kind="stable").astype(np.int32)
-        self.sorted = np.take_along_axis(values, self.order, axis=0)
+        self.sorted = np.sort(values, axis=0)
         self.most = float(np.abs(values).max(initial=0))
+        # As single precision where its sums are exact, for queries that allow it.
+        self.single = (self.x.astype(np.float32), self.sorted.astype(np.float32)) if self.most < 2**24 else None
 
 
-class Reading:
-    """One query's way through the lists: what is known of each candidate, and which of its components were read."""
-
-    def __init__(self, lists: Lists, query: np.ndarray):
-        self.lists, self.n, self.at = lists, len(lists.x), 0
-        # Each side's lists: their dimensions, and whether they are read from the high end. Lists of other dimensions add nothing.
-        self.sides = [(c, top, query[c]) for c, top in ((np.flatnonzero(query > 0), True), (np.flatnonzero(query < 0), False)) if len(c)]
-        self.q = np.concatenate([q for _, _, q in self.sides]) if self.sides else np.zeros(0)
-        self.known = np.zeros(self.n)
-        self.seen = np.zeros((self.n, len(self.q)))
-
-    def row(self, at: int) -> np.ndarray:
-        """What each list adds at a place counted from its best end."""
-        return np.concatenate([self.lists.sorted[self.n - 1 - at if top else at, c] * q for c, top, q in self.sides])
-
-    def on(self, step: int) -> None:
-        """Reads the next `step` entries of each list."""
-        a, b = self.at, min(self.n, self.at + step)
-        flat, first = self.seen.reshape(-1), 0
-        for c, top, q in self.sides:
-            rows = slice(self.n - b, self.n - a) if top else slice(a, b)
-            ids = self.lists.order[rows][:, c]
-            self.known += np.bincount(ids.ravel(), (self.lists.sorted[rows][:, c] * q).ravel(), self.n)
-            flat[(ids.astype(np.int64) * len(self.q) + np.arange(first, first + len(c))).ravel()] = 1
-            first += len(c)
-        self.at = b
-        self.ahead = self.row(min(b, self.n - 1))
-
-    def depth(self, low: float, step: int) -> int:
-        """How far to read, in whole steps, until no outsider reaches `low`; the lists' values alone tell it."""
-        at = np.arange(step, self.n, step)
-        sums = sum((self.lists.sorted[self.n - 1 - at if top else at][:, c] @ q for c, top, q in self.sides), np.zeros(len(at)))
-        enough = np.flatnonzero(sums < low)
-        return int(at[enough[0]]) if len(enough) else self.n
-
-    def outsider(self) -> float:
-        """What a candidate that no list has shown yet can have at most."""
-        return float(self.ahead.sum()) if self.at < self.n else -np.inf
-
-    def upper(self) -> np.ndarray:
-        return self.known + self.ahead.sum() - self.seen @ self.ahead
-
-    def lower(self) -> np.ndarray:
-        last = self.row(self.n - 1)
-        return self.known + last.sum() - self.seen @ last
-
-
-def search(lists: Lists, query: np.ndarray, own: int | None, k: int, floor: float) -> list[tuple[int, int]]:
-    """(score, id): at least all candidates of the block that are among the query's k best with a score of `floor` or more."""
+class Best:
+    """The k best of each query of a block so far: scores and ids, the best first, and how many there are."""
+
+    def __init__(self, own: np.ndarray, queries: np.ndarray, k: int):
+        self.own, self.q, self.k = own, queries, k
+        self.at, self.score, self.id = (np.zeros(0, np.int64) for _ in range(3))
+        self.most = np.abs(queries).max(axis=1, initial=0)
+        self.share = FIRST  # of each list that most queries had to read in the block before
+
+    def floor(self) -> np.ndarray:
+        """Each query's k-th best score, as a double; minus infinity with fewer."""
+        out = np.full(len(self.q), -np.inf)
+        full = np.flatnonzero(np.bincount(self.at, minlength=len(self.q)) == self.k)
+        out[full] = self.score[np.searchsorted(self.at, full, side="right") - 1]
+        return out
+
+    def add(self, at: np.ndarray, score: np.ndarray, id_: np.ndarray) -> None:
+        at, score, id_ = np.r_[self.at, at], np.r_[self.score, score], np.r_[self.id, id_]
+        order = np.lexsort((id_, ~score, at))  # ~score falls as score rises, at any 64-bit value
+        at, score, id_ = at[order], score[order], id_[order]
+        rank = np.arange(len(at)) - np.searchsorted(at, at)
+        self.at, self.score, self.id = (x[rank < self.k] for x in (at, score, id_))
+
+
+def _resolved(lists: Lists, best: Best, x: np.ndarray, at: np.ndarray, which: np.ndarray, floor: np.ndarray) -> None:
+    """Adds the pairs (query, candidate) that are left, by their scores."""
+    for a in range(0, len(at), RESOLVED):
+        q, c = at[a : a + RESOLVED], which[a : a + RESOLVED]
+        score = np.einsum("ij,ij->i", best.q[q].astype(x.dtype), x[c])
+        good = (score >= floor[q]) & ((lists.ids[c] != best.own[q]) | (best.own[q] == NONE))
+        best.add(q[good], score[good].astype(np.int64), lists.ids[c[good]])
+        floor = np.maximum(floor, best.floor())
+
+
+def search(lists: Lists, best: Best) -> None:
+    """Takes a block of candidates into the k best of a block of queries.
+
+    The lists are read to the same depth for all queries at once. A query's upper bound of a candidate is the product with what was
+    read of it and, for the rest, with the values where reading stands; its lower bound that with the lists' last values instead.
+    """
     n, dim = lists.x.shape
-    others = lists.ids != own
-    if lists.most * float(np.abs(query).max(initial=0)) * max(1, dim) >= 2**52:  # beyond what doubles add exactly
-        q = [int(v) for v in query]
-        exact = [(max(-(2**63), min(2**63 - 1, sum(int(a) * b for a, b in zip(x, q, strict=True)))), int(i)) for x, i in zip(lists.x, lists.ids, strict=True) if i != own]
-        return sorted(exact, key=lambda s: (-s[0], s[1]))[:k]
-    reading = Reading(lists, query)
-    step = max(1, int(np.ceil(n * STEP)))
-    left: np.ndarray | None = None
-    while reading.at < n and len(reading.q):
-        if reading.at:
-            reading.on(step)
+    bound = lists.most * best.most * max(1, dim)
+    for i in np.flatnonzero(bound >= 2**51):  # beyond what doubles add exactly
+        q, own = [int(v) for v in best.q[i]], best.own[i]
+        found = [(max(-(2**63), min(2**63 - 1, sum(int(a) * b for a, b in zip(x, q, strict=True)))), int(c)) for x, c in zip(lists.x, lists.ids, strict=True) if own == NONE or c != own]
+        best.add(np.full(len(found), i), np.array([s for s, _ in found], np.int64), np.array([c for _, c in found], np.int64))
+    left = np.flatnonzero(bound < 2**51)
+    if not len(left):
+        return
+    single = lists.single is not None and bound[left].max() < 2**23 and best.most[left].max() < 2**24
+    x, ordered = lists.single if single else (lists.x, lists.sorted)
+    high, low = (part(best.q[left], 0).astype(x.dtype) for part in (np.maximum, np.minimum))
+    sides, floor = np.hstack([high, low]), best.floor()
+    depth, step, half = max(1, int(n * best.share)), max(1, int(np.ceil(n * STEP))), len(left) / 2
+    while True:
+        top, bottom = ordered[n - depth], ordered[depth - 1]
+        if (unknown := np.flatnonzero(floor[left] == -np.inf)).size and n > best.k:
+            worst = np.hstack([np.where(x >= top, x, ordered[0]), np.where(x <= bottom, x, ordered[-1])])
+            lower = sides[unknown] @ worst.T
+            own = best.own[left][unknown]
+            lower[(own[:, None] == lists.ids) & (own != NONE)[:, None]] = -np.inf
+            kth = np.partition(lower, n - best.k, axis=1)[:, n - best.k]
+            least = floor.copy()
+            least[left[unknown]] = kth
         else:
-            reading.on(max(step, int(n * FIRST)) if floor == -np.inf else reading.depth(floor, step))
-        low = floor
-        if low == -np.inf:
-            lower = reading.lower()[others]
-            if len(lower) > k:
-                low = float(np.partition(lower, len(lower) - k)[len(lower) - k])
-        if reading.outsider() >= low:
-            continue
-        if left is None:
-            left = np.flatnonzero(others)  # those that no list has shown yet have the outsider's bound
-        left = left[reading.upper()[left] >= low - 0.5]  # scores are whole numbers
-        if len(left) <= max(k, FEW * n):
-            break
-    if left is None:
-        left = np.flatnonzero(others)
-    scores = lists.x[left] @ query  # resolved
-    if len(left) > k:
-        keep = scores >= np.partition(scores, len(scores) - k)[len(scores) - k]
-        left, scores = left[keep], scores[keep]
-    best = np.lexsort((lists.ids[left], -scores))[:k]
-    return [(int(scores[b]), int(lists.ids[left[b]])) for b in best]
+            least = floor
+        upper = sides @ np.hstack([np.maximum(x, top), np.minimum(x, bottom)]).T
+        open_ = upper >= least[left, None].astype(x.dtype)
+        done = np.count_nonzero(open_, axis=1) <= max(best.k, FEW * n) if depth < n else np.ones(len(left), bool)
+        at, which = np.nonzero(open_[done])
+        _resolved(lists, best, x, left[done][at], which, least)
+        if len(left) > half >= len(left) - np.count_nonzero(done):
+            best.share = depth / n
+        left, sides = left[~done], sides[~done]
+        if not len(left):
+            return
+        depth = min(n, depth + step)
 
 
 def _search(k: int):
@@ -177,14 +173,11 @@ def _search(k: int):
                 if not row["asks"]:
                     held.append(Lists(ids, values))
                     continue
-                out: list[tuple] = []
-                for qi, (own, query) in enumerate(zip(ids.tolist(), values, strict=True)):
-                    found: list[tuple[int, int]] = []
-                    for lists in held:
-                        floor = float(found[k - 1][0]) if len(found) == k else -np.inf
-                        found = sorted(found + search(lists, query, None if own == NONE else own, k, floor), key=lambda s: (-s[0], s[1]))[:k]
-                    out += [(None if own == NONE else own, row["block"], qi, None if i == NONE else i, s) for s, i in found]
-                yield common.emit(dict(zip(schema.names, map(list, zip(*out, strict=True)) if out else [[]] * 5, strict=True)), schema)
+                best = Best(ids, values, k)
+                for lists in held:
+                    search(lists, best)
+                own, vec = (pa.array(x, mask=x == NONE) for x in (ids[best.at], best.id))
+                yield common.emit({"query_id": own, "qb": [row["block"]] * len(own), "qi": pa.array(best.at.astype(np.int32)), "vec_id": vec, "score": pa.array(best.score)}, schema)
 
     return common.lean(run)
 

@@ -2,6 +2,8 @@ import math
 import random
 from collections import defaultdict
 
+import numpy as np
+
 from noticeflow.llm import mixing, sharding, topk
 
 
@@ -118,3 +120,26 @@ def test_sources_are_told_apart_to_the_last_character(spark):
     got = {x.doc_id: x.shard for x in sharding.shard(df, 2).collect()}
     assert len({got[k] for k in range(0, 400, 2)}) == 1 and len(set(got.values())) == 2
     assert max(x.shard for x in sharding.shard(df, target=500).collect()) == -(-400 * 11 // 500) - 1
+
+
+def test_blocks_of_queries_are_searched_together(monkeypatch):
+    """Ties, own ids, few candidates and values beyond single precision, block by block; each level is one product for all queries."""
+    r = np.random.default_rng(3)
+    x = np.floor(40 * r.normal(size=(700, 12)))
+    x[::7] = x[0]
+    x[600:, 0] *= 2.0**20
+    ids = np.r_[np.arange(699), topk.NONE]
+    queries, own = np.vstack([x[::9], np.zeros((1, 12)), x[640:641] * 2.0**30]), np.r_[ids[::9], 9999, 640]
+    seen, resolved = [], topk._resolved
+    monkeypatch.setattr(topk, "_resolved", lambda lists, best, x, at, *rest: seen.append((len(at), x.dtype)) or resolved(lists, best, x, at, *rest))
+    for few, kind in ((67, np.float32), (len(queries), np.float64)):
+        own_, asked, want = own[:few], queries[:few], []
+        best = topk.Best(own_, asked, 5)
+        for a in range(0, 600 if few == 67 else 700, 200):
+            topk.search(topk.Lists(ids[a : a + 200], x[a : a + 200]), best)
+        for k, (o, q) in enumerate(zip(own_.tolist(), asked, strict=True)):
+            scores = sorted((-max(-(2**63), min(2**63 - 1, sum(int(a) * int(b) for a, b in zip(q, y)))), i) for i, y in zip(ids[:a + 200].tolist(), x) if o == topk.NONE or i != o)
+            want += [(k, -s, i) for s, i in scores[:5]]
+        assert list(zip(best.at.tolist(), best.score.tolist(), best.id.tolist())) == want
+        assert len(seen) <= 4 * 8 < few and np.dtype(kind) in {d for _, d in seen}
+        seen.clear()
