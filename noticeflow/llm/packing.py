@@ -184,7 +184,8 @@ def pack(docs: DataFrame, path: str, size: int = 1024, end: int | None = 2, roun
     Null and empty texts are the end id alone (with `end=None` they have no piece). Null doc_ids and repeated rows are packed
     like others; an empty table gives no rows; other columns are ignored.
     """
-    cut = common.numbered(pieces(docs, path, size, end), "length", "rank")
+    cut = common.stored(pieces(docs, path, size, end))  # written first, lest each task keeps a second worker
+    cut = common.numbered(cut, "length", "rank")
     cut = common.stored(cut)
     histogram = np.zeros(size + 1, np.int64)
     for length, n in cut.groupBy("length").count().collect():  # `size` rows at most
