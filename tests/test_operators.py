@@ -1,6 +1,7 @@
 import random
 from difflib import SequenceMatcher
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -311,3 +312,48 @@ def test_similar_bases_keep_no_row_of_pairs_that_differ(spark):
     want = {(a, b) for a in texts[:20] for b in texts[15:] if SequenceMatcher(None, a, b, autojunk=False).ratio() >= 0.86}
     assert sorted(map(tuple, got.collect())) == sorted(want)
     assert "max(half" not in got._jdf.queryExecution().optimizedPlan().toString()  # pairs were grouped before they were compared
+
+
+def test_pairs_in_another_order_never_reach_the_ratio():
+    """Anagrams have all characters in common; the longest common subsequence, at least what blocks in order hold, tells them apart."""
+    r = random.Random(7)
+    a = ["".join(r.choices("abcdé😀 ", k=r.choice([0, 1, 9, 30, 64, 90]))) for _ in range(300)]
+    b = ["".join(r.sample(x, len(x))) if k % 3 else x[3:] + "zz" for k, x in enumerate(a)]
+    a, b = zip(*[(x, y) for x, y in zip(a, b) if min(len(x), len(y)) <= match.WORD])
+
+    def longest(x, y):
+        row = [0] * (len(y) + 1)
+        for c in x:
+            row = [0, *row]
+            row = [0] + [0] * len(y) if not y else _next(row[1:], c, y)
+        return row[-1]
+
+    def _next(row, c, y):
+        out = [0]
+        for k, d in enumerate(y):
+            out.append(row[k] + 1 if c == d else max(out[k], row[k + 1]))
+        return out
+
+    want = [longest(x, y) for x, y in zip(a, b)]
+    assert match.common_subsequence(list(a), list(b)).tolist() == want
+    assert all(2 * w >= SequenceMatcher(None, x, y, False).ratio() * (len(x) + len(y)) - 1e-6 for w, x, y in zip(want, a, b) if x or y)
+    base = "".join(chr(97 + k % 26) for k in range(0, 60 * 7, 7))
+    batch = pa.record_batch({"a": [base, base, base], "b": [base[::-1], base[:30] + "x" + base[30:], base[1:] + "q" * 90]})
+    assert next(match._ordered_in_common(0.86)(iter([batch])))["b"].to_pylist() == [batch["b"][1].as_py()]
+
+
+def test_similar_bases_against_all_pairs_of_edited_titles(spark):
+    r = random.Random(8)
+    texts = ["".join(r.choices("etaoin shrdlu", k=r.choice([1, 2, 10, 25, 60, 80, 230]))) for _ in range(60)]
+
+    def edited(t):
+        for _ in range(r.randint(0, max(1, len(t) // 7))):
+            k = r.randrange(len(t) + 1)
+            t = r.choice([t[:k] + r.choice("xyz") + t[k:], t[:k] + t[k + 1 :], t[: k // 2] + t[k:] + t[k // 2 : k]])
+        return t
+
+    other = sorted({edited(t) for t in texts for _ in range(3)})
+    left, right = (spark.createDataFrame([(t,) for t in x], f"{n} string") for x, n in ((texts, "a"), (other, "b")))
+    got = {tuple(x) for x in match.similar_bases(left, right, 0.86).collect()}
+    want = {(x, y) for x in texts for y in other if SequenceMatcher(None, x, y).ratio() >= 0.86}
+    assert got == want and len(want) > 60
