@@ -30,10 +30,10 @@ def flat_record(json: Column, fields: Sequence[str], duplicates_ok: bool = False
 
     A text that doesn't parse (also one with a key twice) is one error.
     """
-    return V.bound(V.parsed(json), lambda v: _flat(v, fields))
+    return V.bound(V.parsed(json), lambda v: _flat(v, json, fields))
 
 
-def _flat(v: Column, fields: Sequence[str]) -> Column:
+def _flat(v: Column, json: Column, fields: Sequence[str]) -> Column:
     def found(kinds: Column) -> Column:
         keys = F.map_keys(kinds)
         missing, extra = F.array_sort(F.array_except(_set(fields), keys)), F.array_sort(F.array_except(keys, _set(fields)))
@@ -41,16 +41,29 @@ def _flat(v: Column, fields: Sequence[str]) -> Column:
             (F.size(missing) > 0, F.concat(F.lit("missing: "), F.array_join(missing, ","))),
             (F.size(extra) > 0, F.concat(F.lit("extra: "), F.array_join(extra, ","))),
         ]
-        for f in fields:
-            k = F.try_element_at(kinds, F.lit(f))
+
+        def wrong(f: str) -> Column:
             want = "NUMBER" if f in rules.NUMBER_FIELDS else "BOOLEAN" if f in rules.BOOL_FIELDS else "STRING"
-            right = ("STRING", "EMPTY") if want == "STRING" else (want,)
-            tests += [
-                (k == "VOID", f"{f}: null"), (k == "NESTED", f"{f}: nested"), (~k.isin(*right), f"{f}: not a {want.lower()}"), (k == "EMPTY", f"{f}: empty string"),
-            ]
-        return F.when(kinds.isNull(), F.array(F.lit("not an object"))).otherwise(errors(tests))
+            other, empty = f"{f}: not a {want.lower()}", f"{f}: empty string"
+            said = lambda *x: F.array(*[F.lit(m) for m in x])
+            return V.bound(F.try_element_at(kinds, F.lit(f)), lambda k: (
+                F.when(k.isNull() | (k == want), None).when(k == "VOID", said(f"{f}: null", other)).when(k == "NESTED", said(f"{f}: nested", other))
+                .when(k == "EMPTY", said(empty) if want == "STRING" else said(other, empty)).otherwise(said(other))
+            ))
+
+        each = F.flatten(F.array_compact(F.array(*[wrong(f) for f in fields])))
+        return F.when(kinds.isNull(), F.array(F.lit("not an object"))).otherwise(F.concat(errors(tests), each))
+
+    # Most records are as they should be: their schema, one text, tells it at once, and no empty string is written in them.
+    right = F.coalesce(F.schema_of_variant(v).rlike(_right(fields)) & ~F.contains(json, F.lit('""')), F.lit(False))
+    return F.when(right, F.array().cast("array<string>")).otherwise(V.bound(V.kinds(v), found))
 
-    return V.bound(V.kinds(v), found)
+
+def _right(fields: Sequence[str]) -> str:
+    """A pattern of the schema of an object with exactly these fields, each of its kind."""
+    number = r"(?:BIGINT|DOUBLE|FLOAT|DECIMAL\([0-9]+,[0-9]+\))"
+    kinds = (f"{f}: {number if f in rules.NUMBER_FIELDS else 'BOOLEAN' if f in rules.BOOL_FIELDS else 'STRING'}" for f in sorted(fields))
+    return f"^OBJECT<{', '.join(kinds)}>$"
 
 
 def evidence(json: Column, allow_search_content: Column) -> Column:
@@ -98,7 +111,7 @@ def _evidenced(v: Column, required: Column) -> Column:
 
 def _read(json: Column, proof: Column, fields: Sequence[str], use) -> Column:
     """use(record, evidence, errors of the record's fields), each worked out once."""
-    return V.bound(F.struct(V.parsed(json).alias("v"), V.parsed(proof).alias("e")), lambda b: V.bound(_flat(b["v"], fields), lambda flat: use(b["v"], b["e"], flat)))
+    return V.bound(F.struct(V.parsed(json).alias("v"), V.parsed(proof).alias("e")), lambda b: V.bound(_flat(b["v"], json, fields), lambda flat: use(b["v"], b["e"], flat)))
 
 
 def _common(t: Callable[[str], Column], regions: Sequence[str] | None, status: Sequence[str]) -> list:
@@ -120,11 +133,11 @@ def _create(v: Column, proof: Column, flat: Column) -> Column:
     return _wrong(proof, flat, V.bound(V.texts(v), lambda said: _create_rules(v, said, proof)))
 
 
-def _create_rules(v: Column, said: Column, proof: Column) -> Column:
+def _create_tests(v: Column, said: Column) -> list:
     t = lambda f: F.try_element_at(said, F.lit(f))
     active, manual = t("status") == "active", t("status") == "manual"
     vague = ~t("match_level").isin("full", "partial")
-    tests = [
+    return [
         *_common(t, [*rules.REGION_PROVINCES, rules.NO_REGION], rules.CREATE_STATUSES),
         (~t("category").isin(*rules.CATEGORIES), "category"), (~t("match_level").isin(*rules.MATCH_LEVELS), "match_level"),
         (~t("matched_category").isin(*rules.MATCHED_CATEGORIES), "matched_category"),
@@ -134,11 +147,16 @@ def _create_rules(v: Column, said: Column, proof: Column) -> Column:
         (manual & ~F.try_variant_get(v, "$.requires_manual", "boolean"), "manual needs requires_manual"),
         (manual & vague, "manual needs a match"), (manual & (t("notes") == "null"), "manual needs notes"),
     ]
+
+
+def _create_rules(v: Column, said: Column, proof: Column) -> Column:
+    t = lambda f: F.try_element_at(said, F.lit(f))
+    active, manual = t("status") == "active", t("status") == "manual"
     required = F.array_compact(F.array(
         *[F.lit(x) for x in ("title", "purchaser", "source_url", "matched_category")], F.when(active, F.lit("deadline")),
         F.when(V.number(v, "budget") > 0, F.lit("budget")), *[F.when(t(f) != "null", F.lit(f)) for f in ("contact", "attachment")],
     ))
-    return F.concat(errors(tests), _evidence(proof, F.coalesce(manual, F.lit(False))), _evidenced(proof, required))
+    return F.concat(errors(_create_tests(v, said)), _evidence(proof, F.coalesce(manual, F.lit(False))), _evidenced(proof, required))
 
 
 def update_record(json: Column, proof: Column) -> Column:
@@ -150,25 +168,27 @@ def _update(v: Column, proof: Column, flat: Column) -> Column:
     return _wrong(proof, flat, V.bound(V.texts(v), lambda said: _update_rules(v, said, proof)))
 
 
+def _update_tests(v: Column, said: Column) -> list:
+    t = lambda f: F.try_element_at(said, F.lit(f))
+    return [*_common(t, None, rules.UPDATE_STATUSES), (~t("change_type").isin(*rules.CHANGE_TYPES), "change_type")]
+
+
 def _update_rules(v: Column, said: Column, proof: Column) -> Column:
     t = lambda f: F.try_element_at(said, F.lit(f))
     change = t("change_type")
-    tests = [*_common(t, None, rules.UPDATE_STATUSES), (~change.isin(*rules.CHANGE_TYPES), "change_type")]
     turned = change == "status_change"
     required = F.array_compact(F.array(
         *[F.lit(x) for x in ("source_url", "notice_type", "publish_date")], F.when(turned, F.lit("status")), F.when(turned & (t("winner") != "null"), F.lit("winner")),
         F.when(turned & (V.number(v, "award_amount") > 0), F.lit("award_amount")), F.when(change == "deadline_change", F.lit("deadline")),
     ))
-    return F.concat(errors(tests), _evidence(proof, F.lit(False)), _evidenced(proof, required))
+    return F.concat(errors(_update_tests(v, said)), _evidence(proof, F.lit(False)), _evidenced(proof, required))
 
 
 def payload_file(flow: str, json: Column) -> Column:
-    """Errors of a payload by itself, all its fields taken as proven."""
-    proof = F.to_json(F.struct(
-        F.lit(True).alias("source_verified"), F.lit("2000-01-01T00:00:00+00:00").alias("checked_at"),
-        F.map_from_arrays(_set(rules.CREATE_FIELDS if flow == "create" else rules.UPDATE_FIELDS), F.transform(_set(rules.CREATE_FIELDS if flow == "create" else rules.UPDATE_FIELDS), lambda _: F.lit("-"))).alias("field_evidence"),
-    ))
-    return create_record(json, proof) if flow == "create" else update_record(json, proof)
+    """Errors of a payload by itself, all its fields taken as proven: those of its fields, or if these are right those of the rules."""
+    fields, tests = (rules.CREATE_FIELDS, _create_tests) if flow == "create" else (rules.UPDATE_FIELDS, _update_tests)
+    said = lambda v: V.bound(V.texts(v), lambda t: errors(tests(v, t)))
+    return V.bound(V.parsed(json), lambda v: V.bound(_flat(v, json, fields), lambda flat: F.when(F.size(flat) > 0, flat).otherwise(said(v))))
 
 
 def structure(json: Column, fields: Sequence[str]) -> Column:

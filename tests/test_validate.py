@@ -122,3 +122,20 @@ def test_record_checks_use_all_tasks(spark, tmp_path):
     spark.sql("select id as c_custkey, 'n' as c_name, 1 as c_nationkey, 1e3 as c_acctbal, 'BUILDING' as c_mktsegment from range(40)").coalesce(1).write.parquet(str(tmp_path / "customer.parquet"))
     out = records._orders(spark, str(tmp_path))
     assert out.select(F.spark_partition_id()).distinct().count() == 4 and records.payload_check(spark, str(tmp_path)).count() == 40
+
+
+def test_right_records_are_told_by_their_schema_alone(spark):
+    """The pattern fits what Spark says of a right record, and of no other; a payload's constant evidence isn't read at all."""
+    good = create(budget=1.5, days_left=10**30, title='a ""quoted"" word')
+    bad = [good | {"title": None}, good | {"budget": "1"}, good | {"requires_manual": 0}, good | {"more": "x"}, {k: v for k, v in good.items() if k != "title"}, good | {"notes": ["x"]}]
+    rows = spark.createDataFrame([(json.dumps(x, ensure_ascii=False),) for x in (good, *bad)], "j string")
+    fits = F.schema_of_variant(variant.parsed(F.col("j"))).rlike(validate._right(rules.CREATE_FIELDS))
+    assert [r.fits for r in rows.select(fits.alias("fits")).collect()] == [True] + [False] * 6
+    found = rows.select(validate.flat_record(F.col("j"), rules.CREATE_FIELDS).alias("e"), validate.payload_file("create", F.col("j")).alias("p"))
+    want = [[], ["title: null", "title: not a string"], ["budget: not a number"], ["requires_manual: not a boolean"], ["extra: more"], ["missing: title"], ["notes: nested", "notes: not a string"]]
+    assert [r.e for r in found.collect()] == want and [r.p for r in found.collect()] == want
+    blank = spark.createDataFrame([(json.dumps(good | {"agency": "", "budget": ""}),), ("[1]",), (None,)], "j string")
+    got = [r.e for r in blank.select(validate.flat_record(F.col("j"), rules.CREATE_FIELDS).alias("e")).collect()]
+    assert got == [["agency: empty string", "budget: not a number", "budget: empty string"], ["not an object"], ["not an object"]]
+    plan = blank.select(validate.payload_file("create", F.col("j")))._jdf.queryExecution().optimizedPlan().toString()
+    assert "checked_at" not in plan and "field_evidence" not in plan
